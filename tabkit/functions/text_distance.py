@@ -54,7 +54,7 @@ def jaro_text(s: str, t: str) -> float:
     if not m:
         return 1.0
     right = [t[j] for j, used in enumerate(taken) if used]
-    swaps = sum(p != q for p, q in zip(left, right)) / 2
+    swaps = sum(p != q for p, q in zip(left, right)) // 2
     return 1 - (m / len(s) + m / len(t) + (m - swaps) / m) / 3
 
 

@@ -11,7 +11,7 @@ from tabkit.functions import text_distance as td
 from tabkit.session import stage
 
 # Scores up to which a round settles names; names still open go to the next.
-ROUNDS = (0.5, 1.0, 1.5)
+ROUNDS = (0.6, 1.5)
 
 
 def default_score(d: dict[str, Column]) -> Column:

@@ -126,11 +126,11 @@ def _(spark, d):
 
 @query(
     "J11_compare_outputs",
-    "select o_orderkey, round(o_totalprice, 2) as price_old, case when o_orderstatus <> 'P' then round(o_totalprice * 1.5, 2) end as price_new from orders",
+    "select o_orderkey, round(o_totalprice, 2) as price_old, case when o_orderstatus <> 'P' then round(o_totalprice * 2, 2) end as price_new from orders",
 )
 def _(spark, d):
     o = table(spark, d, "orders")
-    new = o.where("o_orderstatus <> 'P'").select("o_orderkey", F.round(F.col("o_totalprice") * 1.5, 2).alias("price"))
+    new = o.where("o_orderstatus <> 'P'").select("o_orderkey", F.round(F.col("o_totalprice") * 2, 2).alias("price"))
     old = o.select("o_orderkey", F.round("o_totalprice", 2).alias("price"))
     return joins.compare_tables(old, new, "o_orderkey", ["price"])
 

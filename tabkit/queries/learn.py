@@ -1,0 +1,488 @@
+"""Feature recipe steps, resampling and metrics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabkit.features import steps as st
+from tabkit.features.levels import rank_table, with_codes
+from tabkit.features.recipe import Recipe, all_nominal_predictors, all_numeric_predictors, matches
+from tabkit.modelling import metrics as m
+from tabkit.modelling import resample as rs
+from tabkit.queries.registry import query, table
+
+
+def rounded(df, *cols, digits=6):
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+def one_step(df, step, **roles):
+    return Recipe(**roles).add(step).prep(df).juice()
+
+
+# ---- recipe -----------------------------------------------------------------
+
+
+@query("F1_recipe")
+def _(spark, d):
+    """A whole recipe: ids and outcome keep out of the numeric and nominal steps."""
+    p = table(spark, d, "part")
+    r = Recipe.from_formula("p_retailprice ~ .", p, ids=["p_partkey"])
+    r.add(
+        st.StepOther(["p_type"], 0.1), st.StepDummy(["p_type"]), st.StepTokenize(["p_name"]), st.StepTokenfilter(["p_name"], 10), st.StepTf(["p_name"]),
+        st.StepRankEncode(all_nominal_predictors()), st.StepNzv(all_numeric_predictors()), st.StepNormalize(all_numeric_predictors()),
+    )
+    return r.prep(p).bake(p)
+
+
+@query("F2_remove", "select p_partkey, p_brand, p_type, p_retailprice from part")
+def _(spark, d):
+    return one_step(table(spark, d, "part"), st.StepRm(matches("name|size")))
+
+
+@query("F3_mutate", "select l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 6) as net, round(ln(l_extendedprice * (1 - l_discount)), 6) as log_net, l_quantity / 10 as l_quantity from lineitem")
+def _(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_quantity")
+    r = Recipe().add(st.StepMutate(net="l_extendedprice * (1 - l_discount)", log_net="ln(net)"), st.StepMutateAt(["l_quantity"], "{x} / 10"), st.StepRm(["l_extendedprice", "l_discount"]))
+    return rounded(r.prep(li).juice(), "net", "log_net")
+
+
+GAPPY = "(select event_id, case when event_type = 'error' then null else value end as a, case when user_id % 7 = 0 then null else value * 2 end as b, nullif(event_type, 'view') as t from events)"
+
+
+def gappy(spark, d):
+    return table(spark, d, "events").select(
+        "event_id",
+        F.when(F.col("event_type") != "error", F.col("value")).alias("a"),
+        F.when(F.col("user_id") % 7 != 0, F.col("value") * 2).alias("b"),
+        F.nullif("event_type", F.lit("view")).alias("t"),
+    )
+
+
+@query(
+    "F4_impute_mean_median_mode",
+    f"with g as {GAPPY}, mo as (select t from g where t is not null group by 1 order by count(*) desc, t limit 1) select event_id, round(coalesce(a, (select avg(a) from g)), 6) as a, round(coalesce(b, (select median(b) from g)), 6) as b, coalesce(t, (select t from mo)) as t from g",
+)
+def _(spark, d):
+    r = Recipe(ids=["event_id"]).add(st.StepImputeMean(["a"]), st.StepImputeMedian(["b"]), st.StepImputeMode(all_nominal_predictors()))
+    return rounded(r.prep(gappy(spark, d)).juice(), "a", "b")
+
+
+@query(
+    "F5_impute_linear",
+    "with g as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, case when l_discount < 0.05 then l_extendedprice end as price from lineitem), f as (select regr_slope(price, l_quantity) as b, regr_intercept(price, l_quantity) as a from g) select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(coalesce(price, a + b * l_quantity), 4) as price from g, f",
+)
+def _(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.when(F.col("l_discount") < 0.05, F.col("l_extendedprice")).alias("price"))
+    return rounded(one_step(li, st.StepImputeLinear(["price"], ["l_quantity"])), "price", digits=4).drop("l_quantity")
+
+
+GOWER = """with p as (select p_partkey, p_brand, p_type, p_size::double as s, case when p_partkey % 10 <> 0 then p_retailprice end as y from part),
+    r as (select max(s) - min(s) as rs from p),
+    n as (select a.p_partkey, b.y, row_number() over (partition by a.p_partkey order by round(abs(a.s - b.s) / rs + cast(a.p_brand <> b.p_brand as int) + cast(a.p_type <> b.p_type as int), 9), b.p_partkey) as rk from p a, p b, r where a.y is null and b.y is not null),
+    f as (select p_partkey, avg(y) as y from n where rk <= 5 group by 1) select p.p_partkey, round(coalesce(p.y, f.y), 4) as y from p left join f using (p_partkey)"""
+
+
+@query("F6_impute_knn", GOWER)
+def _(spark, d):
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size", F.when(F.col("p_partkey") % 10 != 0, F.col("p_retailprice")).alias("y"))
+    out = one_step(p, st.StepImputeKnn(["y"], "p_partkey", ["p_brand", "p_type", "p_size"]))
+    return out.select("p_partkey", F.round("y", 4).alias("y"))
+
+
+@query(
+    "F7_normalise",
+    "select event_id, round((a - (select avg(a) from g)) / (select stddev_samp(a) from g), 6) as a, round(b - (select avg(b) from g), 6) as b from g".replace(" g)", f" {GAPPY})").replace("from g", f"from {GAPPY}"),
+)
+def _(spark, d):
+    r = Recipe(ids=["event_id"]).add(st.StepNormalize(["a"]), st.StepCenter(["b"]), st.StepRm(["t"]))
+    return rounded(r.prep(gappy(spark, d)).juice(), "a", "b")
+
+
+NZV = """with w as (select case when l_orderkey % 50 = 0 then 'x' else 'y' end as rare, 'k' as const, l_returnflag, l_linestatus from lineitem),
+    l as (select 'rare' as "column", rare as v from w union all select 'const', const from w union all select 'l_returnflag', l_returnflag from w union all select 'l_linestatus', l_linestatus from w),
+    n as (select "column", v, count(*) as n from l group by 1, 2), r as (select *, row_number() over (partition by "column" order by n desc, v) as k from n),
+    t as (select "column", sum(n) as total, count(*) as uniq, max(n) filter (k = 1) as f, max(n) filter (k = 2) as s from r group by 1),
+    z as (select "column", uniq <= 1 as zero_var, coalesce(f / s, 0) as fr, 100.0 * uniq / total as pu from t)"""
+
+
+def odd_columns(spark, d):
+    return table(spark, d, "lineitem").select(F.when(F.col("l_orderkey") % 50 == 0, "x").otherwise("y").alias("rare"), F.lit("k").alias("const"), "l_returnflag", "l_linestatus")
+
+
+@query("F8_zero_variance", NZV + ' select "column", zero_var from z')
+def _(spark, d):
+    df = odd_columns(spark, d)
+    kept = one_step(df, st.StepZv(df.columns)).columns
+    t = st.nzv_table(df, df.columns)
+    return t.select("column", (~F.col("column").isin(kept)).alias("zero_var"))
+
+
+@query("F9_near_zero_variance", NZV + ' select "column", round(fr, 6) as freq_ratio, round(pu, 6) as pct_unique, zero_var or (fr > 19 and pu <= 10) as dropped from z')
+def _(spark, d):
+    df = odd_columns(spark, d)
+    kept = one_step(df, st.StepNzv(df.columns)).columns
+    t = st.nzv_table(df, df.columns)
+    return rounded(t.select("column", "freq_ratio", "pct_unique", (~F.col("column").isin(kept)).alias("dropped")), "freq_ratio", "pct_unique")
+
+
+def related(spark, d):
+    return table(spark, d, "lineitem").select(
+        "l_quantity", "l_extendedprice", "l_discount", "l_tax", (F.col("l_quantity") * 3 + F.col("l_tax")).alias("near_quantity"), (F.col("l_discount") - F.col("l_tax") * 2).alias("combo")
+    )
+
+
+@query("F10_drop_correlated")
+def _(spark, d):
+    df = related(spark, d)
+    kept = one_step(df, st.StepCorr(all_numeric_predictors(), 0.9)).columns
+    return df.limit(1).select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(c in kept).alias("kept")) for c in df.columns])).alias("s")).select("s.*")
+
+
+@query("F11_drop_linear_combinations")
+def _(spark, d):
+    df = related(spark, d)
+    kept = one_step(df, st.StepLincomb(all_numeric_predictors())).columns
+    return df.limit(1).select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(c in kept).alias("kept")) for c in df.columns])).alias("s")).select("s.*")
+
+
+BRAND = "(select p_partkey, case when p_size <= 12 then p_brand when p_size <= 45 then 'Brand#X' end as brand from part)"
+
+
+def brands(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.when(F.col("p_size") <= 12, F.col("p_brand")).when(F.col("p_size") <= 45, "Brand#X").alias("brand"))
+
+
+@query("F12_pool_rare_levels", f"with g as {BRAND}, k as (select brand from g where brand is not null group by 1 having count(*) >= 0.012 * (select count(brand) from g)) select p_partkey, case when brand is null then null when brand in (select brand from k) then brand else 'other' end as brand from g")
+def _(spark, d):
+    return one_step(brands(spark, d), st.StepOther(["brand"], 0.012))
+
+
+@query(
+    "F13_novel_and_unknown",
+    f"with g as {BRAND}, tr as (select distinct brand from g where p_partkey % 40 = 0 and brand is not null) select p_partkey, coalesce(case when brand is null or brand in (select brand from tr) then brand else 'new' end, 'unknown') as brand from g",
+)
+def _(spark, d):
+    b = brands(spark, d)
+    r = Recipe(ids=["p_partkey"]).add(st.StepNovel(all_nominal_predictors()), st.StepUnknown(all_nominal_predictors()))
+    return r.prep(b.where("p_partkey % 40 = 0")).bake(b)
+
+
+@query(
+    "F14_dummies",
+    "select o_orderkey, " + ", ".join(f"cast(o_orderpriority = '{v}' as double) as o_orderpriority_{n}" for v, n in [("2-HIGH", "2_HIGH"), ("3-MEDIUM", "3_MEDIUM"), ("4-NOT SPECIFIED", "4_NOT_SPECIFIED"), ("5-LOW", "5_LOW")]) + " from orders",
+)
+def _(spark, d):
+    return one_step(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), st.StepDummy(["o_orderpriority"]))
+
+
+@query("F15_binary_digits", "select p_partkey, (code >> 2) & 1 as p_type_0, (code >> 1) & 1 as p_type_1, code & 1 as p_type_2 from (select p_partkey, dense_rank() over (order by p_type) as code from part)")
+def _(spark, d):
+    return one_step(table(spark, d, "part").select("p_partkey", "p_type"), st.StepBinary(["p_type"]))
+
+
+@query("F16_string_to_factor", "select p_partkey, dense_rank() over (order by p_type) - 1 as p_type from part")
+def _(spark, d):
+    return one_step(table(spark, d, "part").select("p_partkey", "p_type"), st.StepString2Factor(["p_type"]))
+
+
+RANKED = "with r as (select p_brand, row_number() over (order by count(*) desc, p_brand) as rnk from part group by 1) select p_partkey, rnk from part join r using (p_brand)"
+
+
+@query("F17_rank_encoding", RANKED)
+def _(spark, d):
+    return one_step(table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("rnk")), st.StepRankEncode(["rnk"]))
+
+
+@query("F17_rank_encoding_by_join", RANKED)
+def _(spark, d):
+    p = table(spark, d, "part")
+    return with_codes(p, "p_brand", rank_table(p, "p_brand"), "rnk").select("p_partkey", "rnk")
+
+
+@query("F18_date_features", "select o_orderkey, strftime(o_orderdate, '%b') as o_orderdate_month, year(o_orderdate) as o_orderdate_year, strftime(o_orderdate, '%a') as o_orderdate_dow, dayofyear(o_orderdate) as o_orderdate_doy from orders")
+def _(spark, d):
+    return one_step(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), st.StepDate(["o_orderdate"], ("month", "year", "dow", "doy"), keep=False))
+
+
+@query("F19_interaction", "select l_orderkey, l_linenumber, round(l_quantity * l_discount, 6) as l_quantity_x_l_discount from lineitem")
+def _(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    return rounded(one_step(li, st.StepInteract(("l_quantity", "l_discount"))), "l_quantity_x_l_discount").drop("l_quantity", "l_discount")
+
+
+CUBE = "(power(greatest({x} - {k}, 0), 3) - power(greatest({x} - {e}, 0), 3)) / ({e} - {k})"
+
+
+@query(
+    "F20_natural_spline",
+    "with k as (select min(x) as k1, quantile_cont(x, 1/3.) as k2, quantile_cont(x, 2/3.) as k3, max(x) as k4 from (select c_acctbal as x from customer)), c as (select c_custkey, c_acctbal as x from customer), "
+    f"b as (select c_custkey, x, {CUBE.format(x='x', k='k1', e='k4')} as d1, {CUBE.format(x='x', k='k2', e='k4')} as d2, {CUBE.format(x='x', k='k3', e='k4')} as d3 from c, k) select c_custkey, round(x, 4) as c_acctbal_ns_1, round((d1 - d3) / 1e6, 4) as c_acctbal_ns_2, round((d2 - d3) / 1e6, 4) as c_acctbal_ns_3 from b",
+)
+def _(spark, d):
+    out = one_step(table(spark, d, "customer").select("c_custkey", "c_acctbal"), st.StepNs(["c_acctbal"], 3))
+    return out.select("c_custkey", F.round("c_acctbal_ns_1", 4).alias("c_acctbal_ns_1"), *[F.round(F.col(f"c_acctbal_ns_{i}") / 1e6, 4).alias(f"c_acctbal_ns_{i}") for i in (2, 3)])
+
+
+@query(
+    "F20_b_spline",
+    "with u as (select c_custkey, (c_acctbal - (select min(c_acctbal) from customer)) / ((select max(c_acctbal) from customer) - (select min(c_acctbal) from customer)) as u from customer) select c_custkey, round(3 * u * (1 - u) ** 2, 6) as c_acctbal_bs_1, round(3 * u ** 2 * (1 - u), 6) as c_acctbal_bs_2, round(u ** 3, 6) as c_acctbal_bs_3 from u",
+)
+def _(spark, d):
+    out = one_step(table(spark, d, "customer").select("c_custkey", "c_acctbal"), st.StepBs(["c_acctbal"], 3))
+    return rounded(out, "c_acctbal_bs_1", "c_acctbal_bs_2", "c_acctbal_bs_3")
+
+
+@query(
+    "F21_yeo_johnson_fixed",
+    "select c_custkey, round(case when x >= 0 then (power(1 + x, 0.5) - 1) / 0.5 else -(power(1 - x, 1.5) - 1) / 1.5 end, 6) as c_acctbal from (select c_custkey, c_acctbal / 1000 as x from customer)",
+)
+def _(spark, d):
+    return table(spark, d, "customer").selectExpr("c_custkey", "c_acctbal / 1000 as x").select("c_custkey", F.round(F.expr(st.yeo_johnson("x", 0.5)), 6).alias("c_acctbal"))
+
+
+@query("F21_yeo_johnson")
+def _(spark, d):
+    c = table(spark, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_extendedprice / 1000 as price", "exp(l_discount * 20) as skewed")
+    return rounded(one_step(c, st.StepYeoJohnson(["price", "skewed"])), "price", "skewed")
+
+
+@query("F22_pca")
+def _(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    r = Recipe(ids=["l_orderkey", "l_linenumber"]).add(st.StepNormalize(all_numeric_predictors()), st.StepPca(all_numeric_predictors(), 2))
+    return rounded(r.prep(li).juice(), "PC1", "PC2")
+
+
+@query("F22_pca_loadings")
+def _(spark, d):
+    dims = [F.col("embedding")[i].cast("double").alias(f"e{i:02d}") for i in range(64)]
+    e = table(spark, d, "embeddings").select(*dims)
+    return rounded(st.pca_loadings(e, e.columns, 5), "value", digits=4)
+
+
+TOK = r"select doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}'']+'), lambda t: t <> '')) as token from documents"
+
+
+def tokens(spark, d):
+    return one_step(table(spark, d, "documents").select("doc_id", "text"), st.StepTokenize(["text"]))
+
+
+@query("F23_tokens", f"select doc_id, count(*) as n, count(distinct token) as n_distinct from ({TOK}) group by 1")
+def _(spark, d):
+    t = tokens(spark, d)
+    return t.where(F.size("text") > 0).select("doc_id", F.size("text").cast("long").alias("n"), F.size(F.array_distinct("text")).cast("long").alias("n_distinct"))
+
+
+STOP = ", ".join(f"'{w}'" for w in st.STOP_WORDS)
+
+
+@query("F24_stop_words", f"select doc_id, count(*) as n from ({TOK}) where token not in ({STOP}) group by 1")
+def _(spark, d):
+    t = Recipe().add(st.StepTokenize(["text"]), st.StepStopwords(["text"])).prep(table(spark, d, "documents").select("doc_id", "text")).juice()
+    return t.where(F.size("text") > 0).select("doc_id", F.size("text").cast("long").alias("n"))
+
+
+@query("F25_token_filter", f"with n as (select token, count(*) as n from ({TOK}) group by 1) select token, n from n where n >= 10 order by n desc, token limit 200")
+def _(spark, d):
+    t = one_step(tokens(spark, d), st.StepTokenfilter(["text"], 200, 10))
+    return st.token_counts(t, "text")
+
+
+@query(
+    "F26_term_frequencies",
+    f"with t as ({TOK}), k as (select token from t group by 1 order by count(*) desc, token limit 5) select d.doc_id, coalesce(max(n) filter (k = 1), 0)::double as first_term, coalesce(max(n) filter (k = 2), 0)::double as second_term, coalesce(sum(n), 0)::double as total from documents d left join (select doc_id, token, row_number() over (partition by doc_id order by token) as _, dense_rank() over (order by token) as k, n from (select doc_id, token, count(*) as n from t where token in (select token from k) group by 1, 2)) using (doc_id) group by 1",
+)
+def _(spark, d):
+    t = Recipe().add(st.StepTokenize(["text"]), st.StepTokenfilter(["text"], 5), st.StepTf(["text"])).prep(table(spark, d, "documents").select("doc_id", "text")).juice()
+    tf = [c for c in t.columns if c.startswith("tf_")]
+    total = sum((F.col(f"`{c}`") for c in tf), F.lit(0.0))
+    return t.select("doc_id", F.col(f"`{tf[0]}`").alias("first_term"), F.col(f"`{tf[1]}`").alias("second_term"), total.alias("total"))
+
+
+H = "md5(concat('{s}-', o_orderkey))"
+
+
+@query(
+    "F27_downsample",
+    f"with r as (select o_orderkey, o_orderstatus, row_number() over (partition by o_orderstatus order by {H.format(s=0)}, o_orderkey) as rn from orders where o_orderkey % 3 = 0 or o_orderstatus <> 'F') select o_orderkey, o_orderstatus from r where rn <= (select min(n) from (select count(*) as n from r group by o_orderstatus))",
+)
+def _(spark, d):
+    o = table(spark, d, "orders").where("o_orderkey % 3 = 0 OR o_orderstatus <> 'F'").select("o_orderkey", "o_orderstatus")
+    return one_step(o, st.StepDownsample("o_orderstatus", "o_orderkey"))
+
+
+@query(
+    "F27_upsample",
+    f"with r as (select o_orderkey, o_orderstatus, row_number() over (partition by o_orderstatus order by {H.format(s=0)}, o_orderkey) as rn, count(*) over (partition by o_orderstatus) as n from orders where o_orderkey % 3 = 0 or o_orderstatus <> 'F'), m as (select max(n) as m from r) select o_orderkey, o_orderstatus, m // n + cast(rn <= m % n as int) as copies from r, m",
+)
+def _(spark, d):
+    o = table(spark, d, "orders").where("o_orderkey % 3 = 0 OR o_orderstatus <> 'F'").select("o_orderkey", "o_orderstatus")
+    return one_step(o, st.StepUpsample("o_orderstatus", "o_orderkey")).groupBy("o_orderkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("F28_numeric_matrix")
+def _(spark, d):
+    from pyspark.ml.functions import vector_to_array
+
+    g = st.numeric_matrix(gappy(spark, d), ["a", "b"])
+    return g.select("event_id", F.transform(vector_to_array("features"), lambda x: F.round(x, 4)).alias("row"))
+
+
+# ---- resampling -------------------------------------------------------------
+
+
+@query("V1_initial_split", f"select o_orderkey, row_number() over (partition by o_orderstatus order by {H.format(s=7)}, o_orderkey) <= floor(0.75 * count(*) over (partition by o_orderstatus)) as is_train from orders")
+def _(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return rs.initial_split(o, "o_orderkey", 0.75, "o_orderstatus", seed=7).select("o_orderkey", "is_train")
+
+
+@query(
+    "V1_split_numeric_strata",
+    f"with q as (select quantile_cont(o_totalprice, 0.25) as a, quantile_cont(o_totalprice, 0.5) as b, quantile_cont(o_totalprice, 0.75) as c from orders), s as (select o_orderkey, cast(o_totalprice > a as int) + cast(o_totalprice > b as int) + cast(o_totalprice > c as int) as s from orders, q) select o_orderkey, row_number() over (partition by s order by {H.format(s=1)}, o_orderkey) <= floor(0.8 * count(*) over (partition by s)) as is_train from s",
+)
+def _(spark, d):
+    o = rs.numeric_strata(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice")
+    return rs.initial_split(o, "o_orderkey", 0.8, "stratum", seed=1).select("o_orderkey", "is_train")
+
+
+@query("V2_vfold", f"select o_orderkey, ntile(5) over (partition by o_orderstatus order by {H.format(s=7)}, o_orderkey) as fold from orders")
+def _(spark, d):
+    return rs.vfold(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", 5, "o_orderstatus", seed=7).select("o_orderkey", "fold")
+
+
+@query("V3_group_vfold", "select l_orderkey, l_linenumber, cast(floor(('0x' || substr(md5(concat('3-', l_orderkey)), 1, 8))::bigint / 4294967296.0 * 10) + 1 as int) as fold from lineitem")
+def _(spark, d):
+    return rs.group_vfold(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", 10, seed=3)
+
+
+@query("V3_group_vfold_balanced")
+def _(spark, d):
+    o = rs.group_vfold_balanced(table(spark, d, "orders"), "o_custkey", 5)
+    return o.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_custkey").alias("n_groups"))
+
+
+def _poisson_sql(u):
+    from math import exp, factorial
+
+    acc, parts = 0.0, []
+    for k in range(12):
+        acc += exp(-1.0) / factorial(k)
+        parts.append(f"cast({u} >= {round(acc, 12)!r} as int)")
+    return " + ".join(parts)
+
+
+@query(
+    "V4_bootstraps",
+    "with u as (select o_orderkey, r as replicate, ('0x' || substr(md5(concat('5-', r, '-', o_orderkey)), 1, 8))::bigint / 4294967296.0 as u from orders, range(1, 11) t(r)) select replicate, " + f"sum({_poisson_sql('u')})::bigint as n, count(*) filter (({_poisson_sql('u')}) = 0) as n_out, sum(({_poisson_sql('u')}) * (o_orderkey % 97))::bigint as mark from u group by 1",
+)
+def _(spark, d):
+    b = rs.bootstraps(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 10, seed=5)
+    return b.groupBy("replicate").agg(F.sum("weight").alias("n"), F.count_if(F.col("weight") == 0).alias("n_out"), F.sum(F.col("weight") * (F.col("o_orderkey") % 97)).alias("mark"))
+
+
+@query("V5_split_by_ids", "select c_custkey, c_custkey in (select o_custkey from orders where o_totalprice > 300000) as is_train from customer")
+def _(spark, d):
+    ids = table(spark, d, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
+    return rs.split_by_ids(table(spark, d, "customer").select("c_custkey"), ids, "c_custkey")
+
+
+@query(
+    "V5_fold_ids",
+    f"with f as (select o_orderkey, ntile(5) over (order by {H.format(s=2)}, o_orderkey) as k from orders) select v as fold, case when k = v then 'assess' else 'analyse' end as part, count(*) as n, sum(o_orderkey)::bigint as ids from f, range(1, 6) t(v) group by 1, 2",
+)
+def _(spark, d):
+    f = rs.vfold(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 5, seed=2)
+    return rs.fold_ids(f, "o_orderkey").groupBy("fold", "part").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("ids"))
+
+
+# ---- metrics ----------------------------------------------------------------
+
+SCORED = """(select o_orderkey, o_orderstatus as truth, case when o_totalprice > 320000 then 'F' when o_totalprice > 150000 then 'O' else 'P' end as pred,
+    round(o_totalprice / 500000, 3) as s, 0.2 + 0.6 * (o_orderkey % 10) / 10 as pf, (0.8 - 0.6 * (o_orderkey % 10) / 10) * (1 + o_custkey % 4) / 5 as po from orders)"""
+
+
+def scored(spark, d):
+    pf = 0.2 + 0.6 * (F.col("o_orderkey") % 10) / 10
+    return table(spark, d, "orders").select(
+        "o_orderkey",
+        F.col("o_orderstatus").alias("truth"),
+        F.when(F.col("o_totalprice") > 320000, "F").when(F.col("o_totalprice") > 150000, "O").otherwise("P").alias("pred"),
+        F.round(F.col("o_totalprice") / 500000, 3).alias("s"),
+        pf.alias("pf"),
+        ((0.8 - 0.6 * (F.col("o_orderkey") % 10) / 10) * (1 + F.col("o_custkey") % 4) / 5).alias("po"),
+    ).withColumn("pp", 1 - F.col("pf") - F.col("po"))
+
+
+@query("E1_accuracy", f"select round(avg(cast(truth = pred as double)), 6) as accuracy from {SCORED}")
+def _(spark, d):
+    return scored(spark, d).agg(F.round(m.accuracy("truth", "pred"), 6).alias("accuracy"))
+
+
+@query(
+    "E2_log_loss",
+    f"select round(-avg(ln(case truth when 'F' then pf when 'O' then po else 1 - pf - po end)), 6) as multi, round(-avg(ln(case when truth = 'F' then pf else 1 - pf end)), 6) as two from {SCORED}",
+)
+def _(spark, d):
+    return scored(spark, d).agg(F.round(m.class_log_loss("truth", {"F": "pf", "O": "po", "P": "pp"}), 6).alias("multi"), F.round(m.binary_log_loss("truth", "pf", "F"), 6).alias("two"))
+
+
+AUC = "(sum(rk) filter (e) - count(*) filter (e) * (count(*) filter (e) + 1) / 2.0) / (count(*) filter (e) * count(*) filter (not e)::double)"
+RANKS = "rank() over ({w} order by {s}) + (count(*) over ({w2} {s}) - 1) / 2.0"
+
+
+@query("E3_roc_auc", f"select round({AUC}, 6) as auc from (select truth = 'F' as e, rank() over (order by s) + (count(*) over (partition by s) - 1) / 2.0 as rk from {SCORED})")
+def _(spark, d):
+    return rounded(m.roc_auc(scored(spark, d), F.col("truth") == "F", "s"), "auc")
+
+
+@query(
+    "E3_roc_auc_multiclass",
+    f"with l as (select truth, a, b, case a when 'F' then pf when 'O' then po else round(1 - pf - po, 9) end as s from (select truth, pf, round(po, 9) as po from {SCORED}), (values ('F', 'O'), ('F', 'P'), ('O', 'F'), ('O', 'P'), ('P', 'F'), ('P', 'O')) v(a, b) where truth in (a, b)), r as (select a, b, truth = a as e, rank() over (partition by a, b order by s) + (count(*) over (partition by a, b, s) - 1) / 2.0 as rk from l) select round(avg(auc), 6) as auc from (select a, b, {AUC} as auc from r group by 1, 2)",
+)
+def _(spark, d):
+    s = scored(spark, d).withColumn("po", F.round("po", 9)).withColumn("pp", F.round(1 - F.col("pf") - F.col("po"), 9))
+    return rounded(m.roc_auc_multiclass(s, "truth", {"F": "pf", "O": "po", "P": "pp"}), "auc")
+
+
+CUM = f"(select s, sum(count(*) filter (truth = 'F')) over (order by s desc) as tp, sum(count(*) filter (truth <> 'F')) over (order by s desc) as fp, sum(count(*) filter (truth = 'F')) over () as p, sum(count(*) filter (truth <> 'F')) over () as n from {SCORED} group by 1)"
+
+
+@query("E4_roc_curve", f"select s as threshold, round(tp / p, 6) as sensitivity, round(1 - fp / n, 6) as specificity from {CUM}")
+def _(spark, d):
+    return rounded(m.roc_curve(scored(spark, d), F.col("truth") == "F", "s"), "sensitivity", "specificity")
+
+
+@query("E4_pr_curve", f"select s as threshold, round(tp / p, 6) as recall, round(tp / (tp + fp), 6) as precision from {CUM}")
+def _(spark, d):
+    return rounded(m.pr_curve(scored(spark, d), F.col("truth") == "F", "s"), "recall", "precision")
+
+
+@query("E5_confusion_matrix", f"select truth, pred as prediction, count(*) as n from {SCORED} group by 1, 2")
+def _(spark, d):
+    return m.confusion(scored(spark, d), "truth", "pred")
+
+
+EST = "(select l_returnflag, l_extendedprice as y, l_quantity * 1500 + l_tax * 1000 as p from lineitem)"
+
+
+def estimated(spark, d):
+    return table(spark, d, "lineitem").select("l_returnflag", F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 1500 + F.col("l_tax") * 1000).alias("p"))
+
+
+@query("E6_regression_metrics", f"select l_returnflag, round(sqrt(avg((y - p) ** 2)), 4) as rmse, round(avg(abs(y - p)), 4) as mae, round(corr(y, p) ** 2, 6) as rsq, round(100 * avg(abs((y - p) / y)), 4) as mape from {EST} group by 1")
+def _(spark, d):
+    w = estimated(spark, d).groupBy("l_returnflag").agg(*[m.METRICS[k].expr("y", "p").alias(k) for k in ("rmse", "mae", "rsq", "mape")])
+    return w.select("l_returnflag", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), F.round("rsq", 6).alias("rsq"), F.round("mape", 4).alias("mape"))
+
+
+@query("E7_rmsle", f"select l_returnflag, 'rmsle' as metric, round(sqrt(avg((ln(1 + y) - ln(1 + p)) ** 2)), 6) as value from {EST} group by 1")
+def _(spark, d):
+    return rounded(m.evaluate(estimated(spark, d), "y", "p", ["rmsle"], ["l_returnflag"]), "value")
+
+
+@query("E9_member_agreement", f"select 'pred' as member, round(avg(cast(truth = pred as double)), 6) as accuracy from {SCORED} union all select 'other', round(avg(cast(truth = case when pf > 0.5 then 'F' else 'P' end as double)), 6) from {SCORED}")
+def _(spark, d):
+    s = scored(spark, d).withColumn("other", F.when(F.col("pf") > 0.5, "F").otherwise("P"))
+    return rounded(m.member_agreement(s, "truth", ["pred", "other"]), "accuracy")

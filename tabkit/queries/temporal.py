@@ -1,0 +1,111 @@
+"""Time series."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabkit.operators import series as ts
+from tabkit.queries.registry import query, table
+
+
+@query("Q1_duplicate_index", "select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
+def _(spark, d):
+    return ts.duplicate_index(table(spark, d, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+def hourly(spark, d):
+    """Events per type and hour, hours without events as 0."""
+    e = table(spark, d, "events").withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    n = e.groupBy("event_type", "hour").agg(F.count(F.lit(1)).cast("double").alias("x"))
+    return ts.complete_series(n, "event_type", "1 hour", "x", "hour", fill=0.0)
+
+
+HOURLY = """with n as (select event_type, date_trunc('hour', ts) as hour, count(*)::double as x from events group by 1, 2),
+    span as (select event_type, min(hour) as lo, max(hour) as hi from n group by 1),
+    grid as (select event_type, unnest(generate_series(lo, hi, interval 1 hour)) as hour from span),
+    s as (select grid.event_type, grid.hour, coalesce(n.x, 0) as x from grid left join n on grid.event_type = n.event_type and grid.hour = n.hour)"""
+
+
+@query("Q1_complete_series", HOURLY + " select event_type, strftime(hour, '%Y-%m-%d %H') as hour, x from s")
+def _(spark, d):
+    return ts.declare_series(hourly(spark, d), "event_type", "hour").withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH"))
+
+
+@query(
+    "Q2_decompose",
+    HOURLY
+    + """, t as (select *, case when count(x) over (w rows between 12 preceding and 12 following) = 25 then (sum(x) over (w rows between 11 preceding and 11 following) + 0.5 * (lag(x, 12) over w + lead(x, 12) over w)) / 24 end as trend, hour(hour) as ph from s window w as (partition by event_type order by hour)),
+    r as (select event_type, ph, avg(x - trend) as v from t group by 1, 2), c as (select *, v - avg(v) over (partition by event_type) as season from r)
+    select t.event_type, strftime(t.hour, '%Y-%m-%d %H') as hour, x, round(trend, 6) as trend, round(season, 6) as season, round(x - trend - season, 6) as remainder from t join c on t.event_type = c.event_type and t.ph = c.ph""",
+)
+def _(spark, d):
+    out = ts.decompose(hourly(spark, d), "event_type", "hour", "x", 24, F.hour("hour"))
+    return out.select("event_type", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "x", *[F.round(c, 6).alias(c) for c in ("trend", "season", "remainder")])
+
+
+@query(
+    "Q3_exponential_smoothing",
+    "with recursive e as (select event_id, user_id, value, row_number() over (partition by user_id order by ts) as i from events), r as (select event_id, user_id, i, value as level from e where i = 1 union all select e.event_id, e.user_id, e.i, 0.3 * e.value + 0.7 * r.level from r join e on e.user_id = r.user_id and e.i = r.i + 1) select event_id, round(level, 6) as level from r",
+)
+def _(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", "ts", "value")
+    return ts.smooth(e, "user_id", "ts", "value", 0.3).select("event_id", F.round("level", 6).alias("level"))
+
+
+@query("Q3_smoothing_weight")
+def _(spark, d):
+    return ts.smooth_best(table(spark, d, "events"), "event_type", "ts", "value", [0.1, 0.3, 0.5, 0.7, 0.9])
+
+
+DAY = "date_diff('day', date '1992-01-01', cast(o_orderdate as date))::double"
+
+
+@query(
+    "Q4_trend_by_month",
+    f"""with b as (select o_orderpriority, month(o_orderdate) as month, {DAY} as t, o_totalprice as x from orders), m as (select *, avg(t) over (partition by o_orderpriority, month) as mt, avg(x) over (partition by o_orderpriority, month) as mx from b),
+    s as (select o_orderpriority, sum((t - mt) * (x - mx)) / sum((t - mt) ** 2) as slope from m group by 1)
+    select o_orderpriority, month, round(slope, 4) as slope, round(mx - slope * mt, 2) as intercept from (select distinct o_orderpriority, month, mt, mx from m) join s using (o_orderpriority)""",
+)
+def _(spark, d):
+    t = F.date_diff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date"))
+    f = ts.trend_month_fit(table(spark, d, "orders"), "o_orderpriority", t, F.month("o_orderdate"), "o_totalprice")
+    return f.select("o_orderpriority", "month", F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"))
+
+
+def forecasts(spark, d):
+    """Two forecasts of the last week of hourly counts: level by type, and level by type and hour of day."""
+    h = hourly(spark, d).withColumn("test", F.col("hour") >= F.lit("2024-01-24").cast("timestamp_ntz"))
+    lvl = h.where("NOT test").groupBy("event_type").agg(F.avg("x").alias("pred"))
+    byh = h.where("NOT test").groupBy("event_type", F.hour("hour").alias("ph")).agg(F.avg("x").alias("pred"))
+    t = h.where("test").withColumn("ph", F.hour("hour"))
+    a = t.join(lvl, "event_type").withColumn("model_id", F.lit("level"))
+    b = t.join(byh, ["event_type", "ph"]).withColumn("model_id", F.lit("hour_of_day"))
+    return a.unionByName(b).select("model_id", "event_type", "hour", F.col("x").alias("actual"), "pred")
+
+
+FORECAST = (
+    HOURLY
+    + """, q as (select *, hour >= timestamp '2024-01-24' as test from s), f as (select 'level' as model_id, q.x as actual, p.pred from q join (select event_type, avg(x) as pred from q where not test group by 1) p using (event_type) where test union all select 'hour_of_day', q.x, p.pred from q join (select event_type, hour(hour) as ph, avg(x) as pred from q where not test group by 1, 2) p on q.event_type = p.event_type and hour(q.hour) = p.ph where test),
+    acc as (select model_id, count(*) as n, round(sqrt(avg((actual - pred) ** 2)), 6) as rmse, round(avg(abs(actual - pred)), 6) as mae, round(avg(case when actual <> 0 then abs((actual - pred) / actual) end) * 100, 6) as mape, round(corr(actual, pred) ** 2, 6) as rsq from f group by 1)"""
+)
+
+
+@query("Q5_forecast_accuracy", FORECAST + " select * from acc")
+def _(spark, d):
+    a = ts.accuracy_table(forecasts(spark, d))
+    return a.select("model_id", "n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "mape", "rsq")])
+
+
+@query("Q5_best_model", FORECAST + " select model_id, rmse from acc order by rmse limit 1")
+def _(spark, d):
+    return ts.best_model(forecasts(spark, d)).select("model_id", F.round("rmse", 6).alias("rmse"))
+
+
+@query(
+    "Q6_period_summary",
+    "select cast(cast(date_trunc('month', o_orderdate) as date) as varchar) as period, count(*) as n, round(avg(o_totalprice), 4) as mean, round(median(o_totalprice), 4) as median from orders where month(o_orderdate) = 7 group by 1",
+)
+def _(spark, d):
+    o = table(spark, d, "orders").where(F.month("o_orderdate") == 7)
+    s = ts.period_summary(o, "o_orderdate", "month", "o_totalprice")
+    return s.select(F.col("period").cast("string").alias("period"), "n", F.round("mean", 4).alias("mean"), F.round("median", 4).alias("median"))

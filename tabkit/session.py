@@ -53,6 +53,10 @@ def stage(df: DataFrame) -> DataFrame:
     partition number that a second run could compute differently. Being
     Parquet, later readers fetch only the columns they use.
     """
+    return df.sparkSession.read.schema(df.schema).parquet(stage_path(df))
+
+
+def stage_path(df: DataFrame) -> str:
     path = f"{scratch_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
