@@ -195,32 +195,29 @@ class StepYeoJohnson(Step):
     three passes narrow it. Columns with fewer than 5 distinct values stay.
     """
 
-    def __init__(self, select, limits: tuple[float, float] = (-5.0, 5.0), points: int = 21, passes: int = 4):
+    def __init__(self, select, limits: tuple[float, float] = (-5.0, 5.0), points: int = 15, passes: int = 3):
         super().__init__(select)
         self.limits, self.points, self.passes = limits, points, passes
 
     def learn(self, df, cols):
-        d = df.select(*[_present(df, c).alias(c) for c in cols])
-        few = _melt(d, cols, "double").distinct().groupBy("column").count().where("count >= 5").collect()
+        long = _melt(df.select(*[_present(df, c).alias(c) for c in cols]), cols, "double")
+        few = long.distinct().groupBy("column").count().where("count >= 5").collect()
         lo, hi = self.limits
         span = {r["column"]: (lo, hi) for r in few}
+        v, lam = F.col("v"), F.col("lam")
+        up = F.when(F.abs(lam) < 1e-9, F.log1p(v)).otherwise((F.pow(1 + v, lam) - 1) / lam)
+        down = F.when(F.abs(2 - lam) < 1e-9, -F.log1p(-v)).otherwise(-(F.pow(1 - v, 2 - lam) - 1) / (2 - lam))
+        spread = F.var_pop(F.when(v >= 0, up).otherwise(down))
+        fit = -0.5 * F.count(v) * F.log(spread) + (F.first(lam) - 1) * F.sum(F.signum(v) * F.log1p(F.abs(v)))
         best = {}
-        for _ in range(self.passes):
+        for _ in range(self.passes if span else 0):
             grid = {c: np.linspace(a, b, self.points) for c, (a, b) in span.items()}
-            aggs = []
+            choices = F.create_map(*[x for c, ls in grid.items() for x in (F.lit(c), F.array(*[F.lit(float(g)) for g in ls]))])
+            d = long.withColumn("lam", F.explode(choices[F.col("column")]))
+            rows = d.groupBy("column", "lam").agg(fit.alias("fit")).collect()
             for c, ls in grid.items():
-                pull = F.sum(F.signum(c) * F.log1p(F.abs(c)))
-                ll = [
-                    -0.5 * F.count(c) * F.log(F.var_pop(F.expr(yeo_johnson(q(c), float(v))))) + (float(v) - 1) * pull
-                    for v in ls
-                ]
-                aggs.append(F.array(*ll).alias(c))
-            if not aggs:
-                break
-            row = d.agg(*aggs).first()
-            for c, ls in grid.items():
-                vals = [x if x is not None and np.isfinite(x) else -np.inf for x in row[c]]
-                i = int(np.argmax(vals))
+                at = {r["lam"]: r["fit"] for r in rows if r["column"] == c and r["fit"] is not None and np.isfinite(r["fit"])}
+                i = max(range(len(ls)), key=lambda i: at.get(float(ls[i]), -np.inf))
                 best[c] = float(ls[i])
                 span[c] = (float(ls[max(i - 1, 0)]), float(ls[min(i + 1, self.points - 1)]))
         return [(c, yeo_johnson(q(c), best[c])) for c in cols if c in best], []

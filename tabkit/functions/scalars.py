@@ -108,6 +108,14 @@ def safe_divide(a, b) -> Column:
     return F.try_divide(_c(a), _c(b))
 
 
+def correlation(a, b) -> Column:
+    """Pearson correlation of complete pairs; NULL where a side does not vary (corr raises there)."""
+    x, y = _c(a).cast("double"), _c(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.sqrt(F.var_pop(F.when(both, x))) * F.sqrt(F.var_pop(F.when(both, y)))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def round_half_even(x, digits: int = 0) -> Column:
     return F.bround(_c(x), digits)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from math import sqrt
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,19 +20,19 @@ def jaccard(a: Column, b: Column) -> Column:
     return 1 - F.coalesce(F.try_divide(F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y))), F.lit(0.0))
 
 
-def _dot(x: Column, y: Column, over: Column) -> Column:
-    def n(arr, c):
-        return F.size(F.filter(arr, lambda e: e == c)).cast("double")
+def _count(text: Column, ch: Column) -> Column:
+    return (F.length(text) - F.length(F.replace(text, ch, F.lit("")))).cast("double")
+
 
-    return F.aggregate(over, F.lit(0.0), lambda acc, c: acc + n(x, c) * n(y, c))
+def _dot(a: Column, b: Column) -> Column:
+    """Sum over the characters of a of their counts in a and b."""
+    return F.aggregate(F.array_distinct(_chars(a)), F.lit(0.0), lambda acc, c: acc + _count(a, c) * _count(b, c))
 
 
 def cosine(a: Column, b: Column) -> Column:
     """1 - cosine of the character counts."""
-    x, y = _chars(a), _chars(b)
-    dot = _dot(x, y, F.array_intersect(x, y))
-    norm = F.sqrt(_dot(x, x, F.array_distinct(x)) * _dot(y, y, F.array_distinct(y)))
-    return F.greatest(1 - F.coalesce(F.try_divide(dot, norm), F.lit(0.0)), F.lit(0.0))
+    dist = 1 - F.coalesce(F.try_divide(_dot(a, b), F.sqrt(_dot(a, a) * _dot(b, b))), F.lit(0.0))
+    return F.greatest(dist, F.lit(0.0))
 
 
 def soundex(a: Column, b: Column) -> Column:
@@ -58,6 +61,36 @@ def jaro_text(s: str, t: str) -> float:
     return 1 - (m / len(s) + m / len(t) + (m - swaps) / m) / 3
 
 
+def _counts(s: str, seen: dict) -> tuple[dict, float]:
+    if s not in seen:
+        n = Counter(s)
+        seen[s] = n, sqrt(sum(v * v for v in n.values()))
+    return seen[s]
+
+
+def cosine_text(s: str, t: str, seen: dict) -> float:
+    (a, na), (b, nb) = _counts(s, seen), _counts(t, seen)
+    if not na or not nb:
+        return 1.0
+    return max(1 - sum(v * b[c] for c, v in a.items() if c in b) / (na * nb), 0.0)
+
+
+def cosine_and_jaro(a: Column, b: Column) -> Column:
+    """Both distances as a struct (cosine, jw), for many pairs of few names.
+
+    The counts of a name are kept for the batch, which beats counting anew per
+    pair inside a column expression by far.
+    """
+
+    @F.pandas_udf("cosine double, jw double")
+    def run(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+        seen: dict = {}
+        pairs = list(zip(x, y))
+        return pd.DataFrame({"cosine": [cosine_text(s, t, seen) for s, t in pairs], "jw": [jaro_text(s, t) for s, t in pairs]})
+
+    return run(a, b)
+
+
 def jaro(a: Column, b: Column) -> Column:
     """Jaro distance; matching is sequential, so it runs in Arrow batches."""
     @F.pandas_udf("double")

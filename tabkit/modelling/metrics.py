@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabkit.functions.scalars import correlation
 from tabkit.scale import names, running
 
 # Fixed value: probabilities are kept this far from 0 and 1.
@@ -56,7 +57,7 @@ def mape(truth: str, est: str) -> Column:
 
 def rsq(truth: str, est: str) -> Column:
     """Squared correlation (not 1 - SSE/SST)."""
-    return F.corr(truth, est) ** 2
+    return correlation(truth, est) ** 2
 
 
 def rmsle(truth: str, est: str, na_rm: bool = True) -> Column:

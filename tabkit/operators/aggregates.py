@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabkit.functions.beta import beta_quantile
+from tabkit.functions.scalars import correlation
 from tabkit.operators.frames import is_missing, typed
 from tabkit.operators.windows import average_rank
 from tabkit.scale import exact_quantiles, join_null_safe, names
@@ -127,7 +128,7 @@ def _pair_structs(cols: Sequence[str], both_ways: bool) -> Column:
     if both_ways:
         pairs += [(b, a) for a, b in pairs]
     return F.array(
-        *[F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.corr(a, b).alias("value")) for a, b in pairs]
+        *[F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), correlation(a, b).alias("value")) for a, b in pairs]
     )
 
 

@@ -20,12 +20,15 @@ def default_score(d: dict[str, Column]) -> Column:
 
 def _score(pairs: DataFrame, f_score: Callable[[dict[str, Column]], Column], at_most: float | None) -> DataFrame:
     x, y = F.col("name_x"), F.col("name_y")
-    p = pairs.withColumns({"cosine": td.cosine(x, y), "jaccard": td.jaccard(x, y), "soundex": td.soundex(x, y)})
-    d = {c: F.col(c) for c in ("cosine", "jaccard", "soundex")}
+    # few bytes but much work per row, so spread them whatever their size
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    p = pairs.repartition(n).withColumns({"jaccard": td.jaccard(x, y), "soundex": td.soundex(x, y)})
     if at_most is not None:
-        # drop what cannot score low enough before the costly distance
-        p = p.where(f_score(d | {"jw": F.lit(0.0)}) <= at_most)
-    return p.withColumn("jw", td.jaro(x, y)).withColumn("score", f_score(d | {"jw": F.col("jw")}))
+        # drop what cannot score low enough before the costlier distances
+        zero = {"cosine": F.lit(0.0), "jw": F.lit(0.0)}
+        p = p.where(f_score(zero | {c: F.col(c) for c in ("jaccard", "soundex")}) <= at_most)
+    p = p.withColumn("_d", td.cosine_and_jaro(x, y)).select("name_x", "name_y", "_d.cosine", "jaccard", "_d.jw", "soundex")
+    return p.withColumn("score", f_score({c: F.col(c) for c in ("cosine", "jaccard", "jw", "soundex")}))
 
 
 def _sets(n: DataFrame, rarity: DataFrame, side: str) -> DataFrame:
@@ -138,6 +141,6 @@ def join_fuzzily(
         out = out.withColumn("rk", F.row_number().over(per_left)).where("rk = 1").drop("rk")
     if exact:
         both = xs.join(ys, xs.name_x == ys.name_y).select("name_x", "name_y")
-        zero = {c: F.lit(0.0) for c in ("cosine", "jaccard", "soundex", "jw", "score")}
+        zero = {c: F.lit(0.0) for c in ("cosine", "jaccard", "jw", "soundex", "score")}
         out = out.unionByName(both.withColumns(zero))
     return out

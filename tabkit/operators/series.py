@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.scale import join_null_safe, names, near_rows
+from tabkit.scale import join_null_safe, names, near_rows, range_slices
 from tabkit.session import stage
 
 
@@ -61,7 +61,7 @@ def decompose(df: DataFrame, keys, time: str, x: str, period: int, phase: Column
     return out.withColumn("remainder", F.col(x) - F.col("trend") - F.col("season"))
 
 
-def smooth(df: DataFrame, keys, time: str, x: str, alpha: float | str) -> DataFrame:
+def smooth(df: DataFrame, keys, time: str, x: str, alpha: float | str, parts: int | None = None) -> DataFrame:
     """Simple exponential smoothing: adds ``level`` (after the row) per key.
 
     The first level is the first value. The recursion is a chain of maps
@@ -73,10 +73,7 @@ def smooth(df: DataFrame, keys, time: str, x: str, alpha: float | str) -> DataFr
     cols = df.columns
     d = df if isinstance(alpha, str) else df.withColumn("_alpha", F.lit(float(alpha)))
     acol = alpha if isinstance(alpha, str) else "_alpha"
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = stage(
-        d.repartitionByRange(n, *[F.col(k) for k in keys], F.col(time)).withColumn("_slice", F.spark_partition_id())
-    )
+    cut = range_slices(d, [*[F.col(k) for k in keys], F.col(time)], parts)
     first = cut.groupBy(*keys).agg(F.min("_slice").alias("_first"))
     cut = join_null_safe(cut, first, keys, "inner").withColumn("_start", F.col("_slice") == F.col("_first"))
     schema = T.StructType([*cut.schema.fields, T.StructField("_a", T.DoubleType()), T.StructField("_b", T.DoubleType())])

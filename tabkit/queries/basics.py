@@ -14,7 +14,7 @@ from tabkit.functions import text_distance as td
 from tabkit.operators import frames as fr
 from tabkit.operators import joins
 from tabkit.operators.windows import rank_desc
-from tabkit.queries.registry import query, table
+from tabkit.queries.registry import query, soundex_sql, table
 from tabkit.session import scratch_dir
 from tabkit.sources import tables as io
 
@@ -243,6 +243,12 @@ def _(spark, d):
     return fr.sample_n(table(spark, d, "orders"), "o_orderkey", 1000, seed=42).select("o_orderkey")
 
 
+@query("P16_sample_n_large", "select count(*) as n, sum(event_id)::bigint as total from (select event_id from events order by md5(concat('42-', event_id)), event_id limit 10001)")
+def _(spark, d):
+    e = fr.sample_n(table(spark, d, "events"), "event_id", 10001, seed=42)
+    return e.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
+
+
 @query(
     "P17_first_per_key",
     "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity from (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity) as rn from lineitem) where rn = 1",
@@ -395,10 +401,10 @@ def _(spark, d):
     return _word_pairs(spark, d).select("p_partkey", F.round(td.jaro(F.col("a"), F.col("b")), 6).alias("dist"))
 
 
-@query("T10_soundex_distance")
+@query("T10_soundex_distance", f"select p_partkey, case when {soundex_sql('a')} = {soundex_sql('b')} then 0.0 else 1.0 end::double as dist, {soundex_sql('b')} as code from (select p_partkey, split_part(p_name, ' ', 1) as a, split_part(p_name, ' ', 2) as b from part)")
 def _(spark, d):
     p = table(spark, d, "part")
-    return p.select("p_partkey", td.soundex(F.split("p_name", " ")[0], F.split("p_name", " ")[1]).alias("dist"))
+    return p.select("p_partkey", td.soundex(F.split("p_name", " ")[0], F.split("p_name", " ")[1]).alias("dist"), F.soundex(F.split("p_name", " ")[1]).alias("code"))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabkit.operators import geo, joins, matching, reshape
-from tabkit.queries.registry import query, table
+from tabkit.queries.registry import query, soundex_sql, table
 
 # ---- joins ------------------------------------------------------------------
 
@@ -74,10 +74,26 @@ def _names(spark, d):
     return parts, brands
 
 
-@query("J8_fuzzy_join")
+NAMES = "x as (select distinct p_name || ' ' || p_brand as nx from part), y as (select distinct regexp_replace(p_name, '^(.)(.)', '\\2\\1') || p_brand as ny from part)"
+
+
+@query(
+    "J8_fuzzy_join",
+    f"""with {NAMES},
+    cx as (select nx, ch, count(*) as n from (select nx, unnest(string_split(nx, '')) as ch from x) group by 1, 2), cy as (select ny, ch, count(*) as n from (select ny, unnest(string_split(ny, '')) as ch from y) group by 1, 2),
+    nx as (select nx, sqrt(sum(n * n)) as v, any_value({soundex_sql('nx')}) as sx from cx group by 1), ny as (select ny, sqrt(sum(n * n)) as v, any_value({soundex_sql('ny')}) as sx from cy group by 1),
+    dot as (select nx, ny, sum(cx.n * cy.n) as v from cx join cy using (ch) group by 1, 2),
+    s as (select nx.nx, ny.ny, round((greatest(1 - coalesce(dot.v, 0) / (nx.v * ny.v), 0) + 1 - jaccard(nx.nx, ny.ny) + 1 - jaro_similarity(nx.nx, ny.ny)) * (case when nx.sx = ny.sx then 1 else 2 end), 9) as score from nx cross join ny left join dot on dot.nx = nx.nx and dot.ny = ny.ny),
+    b as (select * from (select *, row_number() over (partition by ny order by score, nx) as rk from s) where rk = 1)
+    select nx as name_x, ny as name_y, round(score, 6) as score from (select *, row_number() over (partition by nx order by score, ny) as r2 from b) where r2 = 1""",
+)
 def _(spark, d):
-    x, y = _names(spark, d)
-    return matching.join_fuzzily(x, y, exact=True).select("name_x", "name_y", F.round("score", 6).alias("score"))
+    """Part names with a brand against misspelt ones without the blank."""
+    p = table(spark, d, "part")
+    x = p.select(F.concat_ws(" ", "p_name", "p_brand").alias("name"))
+    y = p.select(F.concat(F.regexp_replace("p_name", "^(.)(.)", "$2$1"), "p_brand").alias("name"))
+    out = matching.join_fuzzily(x, y, f_score=lambda k: F.round(matching.default_score(k), 9))
+    return out.select("name_x", "name_y", F.round("score", 6).alias("score"))
 
 
 PAIRS = """with x as (select distinct p_name || ' ' || p_type as nx from part), y as (select distinct p_type || ' ' || split_part(p_name, ' ', 2) as ny from part),

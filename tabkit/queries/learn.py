@@ -321,12 +321,13 @@ def _(spark, d):
     return one_step(o, st.StepUpsample("o_orderstatus", "o_orderkey")).groupBy("o_orderkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("copies"))
 
 
-@query("F28_numeric_matrix")
+@query("F28_numeric_matrix", f"select event_id, round(a, 4) as x1, round(b, 4) as x2 from {GAPPY}")
 def _(spark, d):
     from pyspark.ml.functions import vector_to_array
 
     g = st.numeric_matrix(gappy(spark, d), ["a", "b"])
-    return g.select("event_id", F.transform(vector_to_array("features"), lambda x: F.round(x, 4)).alias("row"))
+    row = vector_to_array("features")
+    return g.select("event_id", *[F.round(F.nanvl(row[i], F.lit(None)), 4).alias(f"x{i + 1}") for i in range(2)])
 
 
 # ---- resampling -------------------------------------------------------------

@@ -1,0 +1,393 @@
+"""Models, tuning, explanation and ensembling."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabkit.functions import udf
+from tabkit.modelling import ensemble, explain, metrics, models, neighbours, resample, tune
+from tabkit.operators import joins
+from tabkit.plans import adversarial, modelling as runs
+from tabkit.queries.registry import query, table
+from tabkit.session import stage
+
+NUM = ["l_quantity", "l_discount", "l_tax"]
+
+
+def lines(spark, d):
+    """Line items with a row id (the listed keys are not unique) and the part's price."""
+    li = table(spark, d, "lineitem")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("long"), "l_shipdate")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", "p_size")
+    out = li.withColumn("id", F.xxhash64(key)).join(p, "l_partkey")
+    return out.select("id", "l_orderkey", *NUM, "l_extendedprice", "p_retailprice", F.col("p_size").cast("double").alias("p_size"), "l_returnflag", "l_linestatus")
+
+
+def folded(spark, d, v=3):
+    return stage(resample.group_vfold(lines(spark, d), "l_orderkey", v))
+
+
+def rounded(df, *cols, digits=6):
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+# ---- models -----------------------------------------------------------------
+
+
+@query("M1_univariate_logistic")
+def _(spark, d):
+    li = lines(spark, d).withColumn("y", (F.col("l_returnflag") == "R").cast("int"))
+    return rounded(models.univariate_logistic(li, "y", NUM), "estimate", "std_error", "statistic", "p_value", digits=4)
+
+
+@query(
+    "M2_linear_model",
+    "with f as (select regr_slope(l_extendedprice, l_quantity) as b, regr_intercept(l_extendedprice, l_quantity) as a from lineitem) select l_linestatus, count(*) as n, round(avg(a + b * l_quantity), 3) as mean_pred, round(sqrt(avg((l_extendedprice - a - b * l_quantity) ** 2)), 3) as rmse from lineitem, f group by 1",
+)
+def _(spark, d):
+    li = table(spark, d, "lineitem")
+    p = models.linear_reg().fit(li, "l_extendedprice", ["l_quantity"]).predict(li)
+    g = p.groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.avg("pred").alias("mean_pred"), metrics.rmse("l_extendedprice", "pred").alias("rmse"))
+    return rounded(g, "mean_pred", "rmse", digits=3)
+
+
+def class_report(fit, df, truth="l_returnflag"):
+    return rounded(fit.predict(df).groupBy(F.col(truth).alias("truth"), "pred").agg(F.count(F.lit(1)).alias("n"), F.avg(fit.score_expr()).alias("mean_prob")), "mean_prob")
+
+
+def value_report(fit, df, truth="l_extendedprice"):
+    m = metrics.evaluate(fit.predict(df), truth, "pred", ["rmse", "mae", "rsq"])
+    return rounded(m, "value", digits=4)
+
+
+@query("M3_elastic_net")
+def _(spark, d):
+    li = lines(spark, d)
+    return value_report(models.linear_reg(penalty=10.0, mixture=0.5).fit(li, "l_extendedprice", NUM + ["p_retailprice"]), li)
+
+
+@query("M3_multinomial")
+def _(spark, d):
+    li = lines(spark, d)
+    return class_report(models.linear_reg("classification", penalty=0.001, mixture=0.5, epochs=30).fit(li, "l_returnflag", NUM), li)
+
+
+@query("M4_neural_network")
+def _(spark, d):
+    li = lines(spark, d).withColumn("l_quantity", F.col("l_quantity") / 50)
+    return class_report(models.mlp(hidden_units=4, epochs=20).fit(li, "l_returnflag", NUM), li)
+
+
+@query("M5_random_forest")
+def _(spark, d):
+    li = lines(spark, d)
+    return class_report(models.rand_forest(trees=10, mtry=2, min_n=5, tree_depth=5).fit(li, "l_returnflag", NUM), li)
+
+
+@query("M5_random_forest_regression")
+def _(spark, d):
+    li = lines(spark, d)
+    return value_report(models.rand_forest("regression", trees=10, mtry=2, min_n=5, tree_depth=5).fit(li, "l_extendedprice", NUM), li)
+
+
+@query("M6_boosted_trees")
+def _(spark, d):
+    li = lines(spark, d).withColumn("valid", F.col("l_orderkey") % 5 == 0)
+    spec = models.boost_tree("regression", trees=15, tree_depth=3, learn_rate=0.3, sample_size=0.8)
+    return value_report(spec.fit(li, "l_extendedprice", NUM, valid="valid"), li)
+
+
+@query("M6_boosted_trees_multiclass")
+def _(spark, d):
+    li = lines(spark, d)
+    return class_report(models.boost_tree(trees=5, tree_depth=3).fit(li, "l_returnflag", NUM), li)
+
+
+@query("M7_bagged_trees")
+def _(spark, d):
+    li = lines(spark, d)
+    return value_report(models.bag_tree(min_n=10, tree_depth=5, trees=10).fit(li, "l_extendedprice", NUM), li)
+
+
+@query("M8_hinge_regression")
+def _(spark, d):
+    li = lines(spark, d)
+    return value_report(models.mars(num_terms=12, prod_degree=2).fit(li, "l_extendedprice", NUM), li)
+
+
+@query("M9_kmeans_feature")
+def _(spark, d):
+    li = lines(spark, d)
+    add = models.kmeans_feature(li.where("l_orderkey % 2 = 0"), NUM, k=3, seed=7)
+    return rounded(add(li).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("l_quantity").alias("q")), "q", digits=3)
+
+
+@query(
+    "M10_case_weights",
+    "with w as (select *, case when l_returnflag = 'R' then 3.0 else 1.0 end as w from lineitem), m as (select sum(w * l_quantity) / sum(w) as mx, sum(w * l_extendedprice) / sum(w) as my from w), f as (select sum(w * (l_quantity - mx) * (l_extendedprice - my)) / sum(w * (l_quantity - mx) ** 2) as b from w, m) select round(b, 2) as slope, round(my - b * mx, 1) as intercept from f, m",
+)
+def _(spark, d):
+    li = table(spark, d, "lineitem").withColumn("w", F.when(F.col("l_returnflag") == "R", 3.0).otherwise(1.0))
+    fit = models.linear_reg().fit(li, "l_extendedprice", ["l_quantity"], weight="w")
+    # slope and intercept as the fitted rows show them
+    p = fit.predict(li)
+    return p.agg(F.round(F.regr_slope("pred", "l_quantity"), 2).alias("slope"), F.round(F.regr_intercept("pred", "l_quantity"), 1).alias("intercept"))
+
+
+DIST = "round(sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: (z[1]::double - z[2]::double) ** 2))), 9)"
+
+
+@query(
+    "M11_nearest_neighbours",
+    f"select q_id, r_id, round(d, 5) as d, rk from (select *, row_number() over (partition by q_id order by d, r_id) as rk from (select a.vec_id as q_id, b.vec_id as r_id, {DIST} as d from embeddings a, embeddings b)) where rk <= 5",
+)
+def _(spark, d):
+    e = table(spark, d, "embeddings")
+    return rounded(neighbours.knn(e, e, 5, "vec_id", "vec_id", "embedding", "embedding"), "d", digits=5)
+
+
+@query(
+    "M11_neighbour_vote",
+    f"with n as (select q_id, r_id from (select *, row_number() over (partition by q_id order by d, r_id) as rk from (select a.vec_id as q_id, b.vec_id as r_id, {DIST} as d from embeddings a, embeddings b where b.vec_id % 2 = 0)) where rk <= 7), v as (select q_id, label, count(*) as v from n join embeddings on r_id = vec_id group by 1, 2) select q_id, label as pred, round(v / 7.0, 6) as prob from (select *, row_number() over (partition by q_id order by v desc, label) as k from v) where k = 1",
+)
+def _(spark, d):
+    e = table(spark, d, "embeddings")
+    ref = e.where("vec_id % 2 = 0")
+    n = neighbours.knn(e, ref, 7, "vec_id", "vec_id", "embedding", "embedding")
+    return rounded(neighbours.knn_predict(n, ref, "vec_id", "label", classify=True), "prob")
+
+
+@query(
+    "M12_predict_on",
+    "with f as (select regr_slope(l_extendedprice, l_quantity) as b, regr_intercept(l_extendedprice, l_quantity) as a from lineitem where l_orderkey % 2 = 0) select l_orderkey, count(*) as n, round(sum(a + b * l_quantity), 2) as total from lineitem, f where l_orderkey % 2 = 1 group by 1",
+)
+def _(spark, d):
+    li = table(spark, d, "lineitem")
+    p = models.predict_on(models.linear_reg(), li.where("l_orderkey % 2 = 0"), li.where("l_orderkey % 2 = 1"), "l_extendedprice", ["l_quantity"], ["l_orderkey"])
+    return rounded(p.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum("pred").alias("total")), "total", digits=2)
+
+
+@query("V6_adversarial_validation")
+def _(spark, d):
+    li = lines(spark, d)
+    dr = adversarial.drift(li.where("l_linestatus = 'F'"), li.where("l_linestatus = 'O'"), NUM + ["p_retailprice"], models.rand_forest(trees=5, tree_depth=4))
+    kept = adversarial.split_by_likeness(dr.scored, "id").groupBy("is_train").agg(F.count(F.lit(1)).alias("n"))
+    return kept.crossJoin(F.broadcast(rounded(dr.auc, "auc", digits=3)))
+
+
+@query(
+    "V6_rank_by_likeness",
+    "select o_orderkey, row_number() over (order by o_totalprice desc, o_orderkey) <= floor(0.8 * count(*) over ()) as is_train from orders where o_orderstatus <> 'P'",
+)
+def _(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.when(F.col("o_orderstatus") == "P", "yes").otherwise("no").alias("is_hold"))
+    return adversarial.split_by_likeness(o, "o_orderkey", score="o_totalprice").select("o_orderkey", "is_train")
+
+
+# ---- tuning -----------------------------------------------------------------
+
+
+@query("H1_parameter_grid", "select a.size as trees, b.size as mtry from (select distinct p_size * 20 as size from part where p_size <= 10) a, (select distinct p_size as size from part where p_size <= 4) b")
+def _(spark, d):
+    p = table(spark, d, "part")
+    trees = p.where("p_size <= 10").select((F.col("p_size") * 20).alias("trees"))
+    return joins.crossing(trees, p.where("p_size <= 4").select(F.col("p_size").alias("mtry")))
+
+
+@query("H2_space_filling_grid")
+def _(spark, d):
+    """Bounds close with what the data holds: mtry with the columns, min_n with the smallest class."""
+    n = table(spark, d, "lineitem").groupBy("l_returnflag").count().agg(F.min("count")).first()[0]
+    r = tune.finalize_mtry({"mtry": (1, None), "min_n": (2, max(3, n // 1000)), "learn_rate": (-3, -1, "log10")}, NUM)
+    return rounded(tune.grid_table(spark, tune.latin_hypercube(12, seed=1, **r)), "learn_rate")
+
+
+@query("H3_tune_grid")
+def _(spark, d):
+    wf = tune.Workflow(models.linear_reg("classification", epochs=10), "l_linestatus", NUM)
+    r = tune.tune_grid(wf, folded(spark, d), tune.crossing(penalty=[0.001, 0.1], mixture=[0.0, 1.0]), "id", ["log_loss", "accuracy", "roc_auc"])
+    return rounded(r.metrics, "value", digits=3)
+
+
+@query("H4_boosting_rounds")
+def _(spark, d):
+    t = tune.tune_boost_rounds(models.boost_tree("regression", trees=8), folded(spark, d), [{"tree_depth": 2}, {"tree_depth": 4}], "l_extendedprice", NUM)
+    return rounded(t, "loss_trn", "loss_tst", digits=0)
+
+
+METRIC = "(select cast(substr(o_orderpriority, 1, 1) as int) as config, (o_custkey % 6)::int as fold, 'rmse' as metric, avg(o_totalprice) / 1000 as value from orders group by 1, 2)"
+
+
+def metric_table(spark, d):
+    """A table of the shape tuning gives: five configurations by six folds."""
+    o = table(spark, d, "orders").groupBy(F.substring("o_orderpriority", 1, 1).cast("int").alias("config"), (F.col("o_custkey") % 6).cast("int").alias("fold"))
+    return o.agg((F.avg("o_totalprice") / 1000).alias("value")).withColumn("metric", F.lit("rmse"))
+
+
+@query(
+    "H5_race_elimination",
+    f"with m as {METRIC}, l as (select config from m group by 1 order by avg(value), config limit 1), b as (select fold, value as best from m where config = (select config from l)), d as (select config, avg(value - best) as diff, count(*) as n, stddev_samp(value - best) / sqrt(count(*)) as se from m join b using (fold) group by 1) select config, round(diff, 6) as diff, n, round(diff - 2.015048 * se, 4) as lower, diff - 2.015048 * se <= 0 as stays from d",
+)
+def _(spark, d):
+    r = tune.race_step(metric_table(spark, d), "rmse", alpha=0.05)
+    return r.select("config", F.round("diff", 6).alias("diff"), "n", F.round("lower", 4).alias("lower"), "stays")
+
+
+@query("H5_race")
+def _(spark, d):
+    wf = tune.Workflow(models.rand_forest("regression", trees=3, min_n=5), "l_extendedprice", NUM)
+    r = tune.tune_race(wf, folded(spark, d, 5), [{"tree_depth": 1}, {"tree_depth": 4}], "id", "rmse")
+    return rounded(tune.collect_metrics(r.metrics), "mean", "std_err", digits=0)
+
+
+@query("H6_annealing")
+def _(spark, d):
+    wf = tune.Workflow(models.linear_reg(epochs=10, mixture=0.0), "l_extendedprice", NUM)
+    best, log = tune.tune_anneal(wf, folded(spark, d), {"penalty": 50.0}, {"penalty": (0.0, 100.0)}, "id", "rmse", iters=3)
+    out = spark.createDataFrame([(r["iter"], float(r["penalty"]), float(r["value"]), r["penalty"] == best["penalty"]) for r in log], "iter int, penalty double, value double, is_best boolean")
+    return rounded(out, "penalty", "value", digits=2)
+
+
+@query("H7_workflow_set")
+def _(spark, d):
+    from tabkit.features.recipe import Recipe, all_numeric_predictors
+    from tabkit.features.steps import StepNormalize
+
+    li = folded(spark, d).select("id", "fold", *NUM, "l_extendedprice")
+    rec = Recipe("l_extendedprice", ids=["id", "fold"]).add(StepNormalize(all_numeric_predictors()))
+    wfs = tune.workflow_set("l_extendedprice", {"plain": ["l_quantity"], "scaled": rec}, {"lm": models.linear_reg(), "tree": models.rand_forest("regression", trees=3, tree_depth=4)})
+    r = tune.workflow_map(wfs, li, {}, "id", ["rmse", "rsq"])
+    return rounded(tune.rank_results(r.metrics, "rmse", ["wflow_id", "config"]), "mean", "std_err", digits=2)
+
+
+@query("H8_collect_metrics", f"select config, metric, round(avg(value), 6) as mean, count(*) as n, round(stddev_samp(value) / sqrt(count(*)), 6) as std_err from {METRIC} group by 1, 2")
+def _(spark, d):
+    return rounded(tune.collect_metrics(metric_table(spark, d)), "mean", "std_err")
+
+
+@query("H9_show_best", f"select config, round(avg(value), 6) as mean, row_number() over (order by avg(value), config) as rank from {METRIC} group by 1 order by 3 limit 3")
+def _(spark, d):
+    return tune.show_best(metric_table(spark, d), "rmse", 3).select("config", F.round("mean", 6).alias("mean"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("H10_finalize_last_fit")
+def _(spark, d):
+    li = stage(resample.initial_split(lines(spark, d), "id", 0.75))
+    wf = tune.Workflow(models.linear_reg(), "l_extendedprice", NUM + ["p_retailprice"])
+    _, test = tune.last_fit(wf, li, {"penalty": 0.1})
+    return rounded(metrics.evaluate(test, "l_extendedprice", "pred", ["rmse", "rsq"]), "value", digits=3)
+
+
+@query("H10_tune_and_submit")
+def _(spark, d):
+    li = lines(spark, d)
+    wf = tune.Workflow(models.linear_reg("classification", epochs=10), "l_linestatus", NUM)
+    _, sub = runs.tune_and_submit(wf, li.where("l_orderkey % 4 > 0"), li.where("l_orderkey % 4 = 0"), [{"penalty": 0.01}, {"penalty": 0.5}], "id", "log_loss", "is_open", v=3)
+    return rounded(sub, "is_open", digits=3)
+
+
+@query("E8_evaluate_fit")
+def _(spark, d):
+    li = lines(spark, d)
+    fit = models.linear_reg("classification", epochs=20).fit(li.where("l_orderkey % 3 > 0"), "l_returnflag", NUM)
+    return rounded(runs.evaluate_classes(fit, li.where("l_orderkey % 3 = 0"), "l_returnflag").metrics, "value", digits=3)
+
+
+# ---- explanation ------------------------------------------------------------
+
+
+@query("I1_importance")
+def _(spark, d):
+    fit = models.rand_forest("regression", trees=5, tree_depth=4).fit(lines(spark, d), "l_extendedprice", NUM)
+    return rounded(explain.importance(fit, spark), "importance", digits=3)
+
+
+@query("I1_permutation_importance")
+def _(spark, d):
+    li = stage(lines(spark, d))
+    fit = models.linear_reg().fit(li, "l_extendedprice", NUM)
+    return rounded(explain.permutation_importance(fit, li, "id", metrics.rmse("l_extendedprice", "pred"), True), "importance", digits=0)
+
+
+@query("I2_shapley_monte_carlo", "with f as (select regr_slope(l_extendedprice, l_quantity) as b, regr_intercept(l_extendedprice, l_quantity) as a from lineitem) select l_orderkey, l_linenumber, round(a + b * l_quantity, 2) as total from lineitem, f")
+def _(spark, d):
+    """Values and baseline of each row add up to its prediction."""
+    li = table(spark, d, "lineitem").withColumn("id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"))
+    fit = models.linear_reg().fit(li, "l_extendedprice", ["l_quantity"])
+    phi = explain.shapley(fit.predict, li, li, ["l_quantity"], "id", nsim=3)
+    total = F.round(F.col("phi") + F.col("baseline"), 2).alias("total")
+    out = li.select("id", "l_orderkey", "l_linenumber").join(phi.withColumnRenamed("l_quantity", "phi"), "id")
+    return out.select("l_orderkey", "l_linenumber", total)
+
+
+@query("I3_tree_contributions")
+def _(spark, d):
+    p = table(spark, d, "part").withColumn("p_size", F.col("p_size").cast("double")).withColumn("brand", F.substring("p_brand", 7, 2).cast("double"))
+    fit = models.boost_tree("regression", trees=5, tree_depth=3).fit(p, "p_retailprice", ["p_size", "brand"])
+    return rounded(explain.tree_contributions(fit, p, p, "p_partkey", nsim=4), "p_size", "brand", "baseline", digits=3)
+
+
+@query("I4_linear_shapley", "select c_custkey, round(2.5 * (c_acctbal - avg(c_acctbal) over ()), 4) as c_acctbal, round(-3.0 * (c_nationkey - avg(c_nationkey) over ()), 6) as c_nationkey from customer")
+def _(spark, d):
+    s = explain.linear_shapley(table(spark, d, "customer"), {"c_acctbal": 2.5, "c_nationkey": -3.0}, "c_custkey")
+    return s.select("c_custkey", F.round("c_acctbal", 4).alias("c_acctbal"), F.round("c_nationkey", 6).alias("c_nationkey"))
+
+
+@query(
+    "I5_global_importance",
+    "with c as (select c_acctbal - avg(c_acctbal) over () as c_acctbal, 10 * (c_nationkey - avg(c_nationkey) over ()) as c_nationkey from customer), l as (select 'c_acctbal' as feature, avg(abs(c_acctbal)) as importance from c union all select 'c_nationkey', avg(abs(c_nationkey)) from c) select feature, round(importance, 4) as importance, row_number() over (order by importance desc) as rnk from l",
+)
+def _(spark, d):
+    s = explain.linear_shapley(table(spark, d, "customer"), {"c_acctbal": 1.0, "c_nationkey": 10.0}, "c_custkey")
+    return rounded(explain.global_importance(s, ["c_acctbal", "c_nationkey"]), "importance", digits=4)
+
+
+# ---- ensembling -------------------------------------------------------------
+
+OOF = "(select o_orderkey, config, o_totalprice as truth, (o_custkey % 3)::int as fold, o_totalprice * (1 + (config - 2) * 0.1) + (o_custkey * config) % 1000 as pred from orders, (values (1), (2), (3)) c(config))"
+
+
+def oof(spark, d):
+    o = table(spark, d, "orders").withColumn("config", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    pred = F.col("o_totalprice") * (1 + (F.col("config") - 2) * 0.1) + (F.col("o_custkey") * F.col("config")) % 1000
+    return o.select("o_orderkey", "config", F.col("o_totalprice").alias("truth"), (F.col("o_custkey") % 3).cast("int").alias("fold"), pred.alias("pred"))
+
+
+@query("B1_candidates", f"select o_orderkey, round(any_value(truth), 4) as truth, round(max(pred) filter (config = 1), 4) as cand_1, round(max(pred) filter (config = 2), 4) as cand_2, round(max(pred) filter (config = 3), 4) as cand_3 from {OOF} group by 1")
+def _(spark, d):
+    c = ensemble.candidates(oof(spark, d), "o_orderkey", "truth", [1, 2, 3])
+    return rounded(c, "truth", "cand_1", "cand_2", "cand_3", digits=4)
+
+
+@query("B2_blend")
+def _(spark, d):
+    c = stage(ensemble.candidates(oof(spark, d), "o_orderkey", "truth", [1, 2, 3], keep=["fold"]))
+    return rounded(ensemble.weights_table(spark, ensemble.blend(c, "truth", ["cand_1", "cand_2", "cand_3"])), "weight", digits=4)
+
+
+@query("B3_weighted_sum", f"select o_orderkey, round(5 + 0.25 * max(pred) filter (config = 1) + 0.75 * max(pred) filter (config = 3), 4) as pred from {OOF} group by 1")
+def _(spark, d):
+    c = ensemble.candidates(oof(spark, d), "o_orderkey", "truth", [1, 2, 3])
+    return rounded(ensemble.blend_predict(c, {"cand_1": 0.25, "cand_2": 0.0, "cand_3": 0.75}, 5.0).select("o_orderkey", "pred"), "pred", digits=4)
+
+
+@query("B3_stack")
+def _(spark, d):
+    li = folded(spark, d).select("id", "fold", *NUM, "p_retailprice", "l_extendedprice")
+    wf = tune.Workflow(models.linear_reg(), "l_extendedprice", NUM + ["p_retailprice"])
+    grid = [{"penalty": 0.0}, {"penalty": 5000.0}]
+    r = tune.tune_grid(wf, li, grid, "id", ["rmse"])
+    st = runs.stack(r, {i + 1: (lambda g=g: wf.set(**g).fit(li)) for i, g in enumerate(grid)}, "id", "l_extendedprice")
+    p = st.predict(li, "id").join(li.select("id", "l_extendedprice"), "id")
+    return rounded(metrics.evaluate(p, "l_extendedprice", "pred", ["rmse", "rsq"]), "value", digits=3)
+
+
+@query("X3_group_tables", "select o_custkey, min(o_orderkey) as first_key, max(o_orderkey) as last_key, count(*) as n from orders group by 1")
+def _(spark, d):
+    import pandas as pd
+
+    def span(p):
+        return pd.DataFrame({"o_custkey": [p["o_custkey"].iloc[0]], "first_key": [p["o_orderkey"].min()], "last_key": [p["o_orderkey"].max()], "n": [len(p)]})
+
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey")
+    return udf.map_groups(o, ["o_custkey"], span, "o_custkey long, first_key long, last_key long, n long")

@@ -22,3 +22,13 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def soundex_sql(x: str) -> str:
+    """The soundex code as DuckDB SQL, which has no such function; a sign that is no letter parts like a vowel."""
+    w = f"regexp_replace(upper({x}), '[^A-Z]', 'A', 'g')"
+    codes = f"translate({w}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230127022455012623017202')"
+    body = f"({codes}[1] || replace({codes}[2:], '7', ''))"
+    for digit in "0123456":
+        body = f"regexp_replace({body}, '{digit}+', '{digit}', 'g')"
+    return f"({w}[1] || (replace({body}[2:], '0', '') || '000')[:3])"

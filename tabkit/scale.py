@@ -47,8 +47,14 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _parts(df: DataFrame, parts: int | None) -> int:
-    return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def range_slices(df: DataFrame, by: Sequence[Column], parts: int | None = None) -> DataFrame:
+    """df sorted into range slices, written, with the slice number in ``_slice``.
+
+    Without ``parts`` adaptive execution merges small slices up to its advisory
+    size, from as many as spark.sql.shuffle.partitions allows.
+    """
+    cut = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
+    return stage(cut.withColumn("_slice", F.spark_partition_id()))
 
 
 def running(
@@ -69,13 +75,8 @@ def running(
     holds the sum over the whole key.
     """
     keys = names(keys)
-    n = _parts(df, parts)
     v = {f"_v_{k}": e for k, e in sums.items()}
-    cut = stage(
-        df.withColumns(v)
-        .repartitionByRange(n, *[F.col(k) for k in keys], *order)
-        .withColumn("_slice", F.spark_partition_id())
-    )
+    cut = range_slices(df.withColumns(v), [*[F.col(k) for k in keys], *order], parts)
     per = cut.groupBy("_slice", *keys).agg(*[F.sum(c).alias(f"_s{c}") for c in v])
     whole = Window.partitionBy(*keys)
     prior = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

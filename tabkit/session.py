@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def local_session(cpus: str = "8", **conf: str) -> SparkSession:
@@ -59,4 +60,14 @@ def stage(df: DataFrame) -> DataFrame:
 def stage_path(df: DataFrame) -> str:
     path = f"{scratch_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables this application staged, once results built on them are stored."""
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
