@@ -22,6 +22,7 @@ from tabkit.modelling import resample
 from tabkit.operators.aggregates import correlations
 from tabkit.operators.frames import typed
 from tabkit.scale import exact_quantiles
+from tabkit.session import stage
 
 
 def _missing(df: DataFrame, c: str) -> str:
@@ -200,20 +201,23 @@ class StepYeoJohnson(Step):
         self.limits, self.points, self.passes = limits, points, passes
 
     def learn(self, df, cols):
-        long = _melt(df.select(*[_present(df, c).alias(c) for c in cols]), cols, "double")
-        few = long.distinct().groupBy("column").count().where("count >= 5").collect()
+        # distinct values with counts: repeated values are transformed once
+        counts = _melt(df.select(*[_present(df, c).alias(c) for c in cols]), cols, "double").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+        counts = stage(counts)
+        few = counts.groupBy("column").agg(F.count(F.lit(1)).alias("k")).where("k >= 5").collect()
         lo, hi = self.limits
         span = {r["column"]: (lo, hi) for r in few}
-        v, lam = F.col("v"), F.col("lam")
+        v, lam, n = F.col("v"), F.col("lam"), F.col("n")
         up = F.when(F.abs(lam) < 1e-9, F.log1p(v)).otherwise((F.pow(1 + v, lam) - 1) / lam)
         down = F.when(F.abs(2 - lam) < 1e-9, -F.log1p(-v)).otherwise(-(F.pow(1 - v, 2 - lam) - 1) / (2 - lam))
-        spread = F.var_pop(F.when(v >= 0, up).otherwise(down))
-        fit = -0.5 * F.count(v) * F.log(spread) + (F.first(lam) - 1) * F.sum(F.signum(v) * F.log1p(F.abs(v)))
+        t = F.when(v >= 0, up).otherwise(down)
+        spread = F.sum(n * t * t) / F.sum(n) - F.pow(F.sum(n * t) / F.sum(n), F.lit(2))
+        fit = -0.5 * F.sum(n) * F.log(spread) + (F.first(lam) - 1) * F.sum(n * F.signum(v) * F.log1p(F.abs(v)))
         best = {}
         for _ in range(self.passes if span else 0):
             grid = {c: np.linspace(a, b, self.points) for c, (a, b) in span.items()}
             choices = F.create_map(*[x for c, ls in grid.items() for x in (F.lit(c), F.array(*[F.lit(float(g)) for g in ls]))])
-            d = long.withColumn("lam", F.explode(choices[F.col("column")]))
+            d = counts.withColumn("lam", F.explode(choices[F.col("column")]))
             rows = d.groupBy("column", "lam").agg(fit.alias("fit")).collect()
             for c, ls in grid.items():
                 at = {r["lam"]: r["fit"] for r in rows if r["column"] == c and r["fit"] is not None and np.isfinite(r["fit"])}
@@ -601,8 +605,8 @@ class StepStopwords(Step):
         self.words = list(words)
 
     def learn(self, df, cols):
-        bad = f"array({', '.join(map(lit, self.words))})"
-        return [(c, f"filter({q(c)}, t -> NOT array_contains({bad}, t))") for c in cols], []
+        # IN over literals is a hash lookup
+        return [(c, f"filter({q(c)}, t -> t NOT IN ({', '.join(map(lit, self.words))}))") for c in cols], []
 
 
 def token_counts(df: DataFrame, col: str) -> DataFrame:
@@ -626,7 +630,7 @@ class StepTokenfilter(Step):
         out = []
         for c in cols:
             keep = kept_tokens(df, c, self.max_tokens, self.min_times)
-            ok = f"array_contains(array({', '.join(map(lit, keep))}), t)" if keep else "false"
+            ok = f"t IN ({', '.join(map(lit, keep))})" if keep else "false"
             out.append((c, f"filter({q(c)}, t -> {ok})"))
         return out, []
 

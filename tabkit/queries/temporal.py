@@ -45,22 +45,22 @@ def _(spark, d):
 
 @query(
     "Q3_exponential_smoothing",
-    "with recursive e as (select event_id, user_id, value, row_number() over (partition by user_id order by ts) as i from events), r as (select event_id, user_id, i, value as level from e where i = 1 union all select e.event_id, e.user_id, e.i, 0.3 * e.value + 0.7 * r.level from r join e on e.user_id = r.user_id and e.i = r.i + 1) select event_id, round(level, 6) as level from r",
+    "with recursive e as (select event_id, user_id, value, row_number() over (partition by user_id order by ts) as i from events), r as (select event_id, user_id, i, value as level from e where i = 1 union all select e.event_id, e.user_id, e.i, 0.3 * e.value + 0.7 * r.level from r join e on e.user_id = r.user_id and e.i = r.i + 1) select event_id, round(level, 4) as level from r",
 )
 def _(spark, d):
     e = table(spark, d, "events").select("event_id", "user_id", "ts", "value")
-    return ts.smooth(e, "user_id", "ts", "value", 0.3).select("event_id", F.round("level", 6).alias("level"))
+    return ts.smooth(e, "user_id", "ts", "value", 0.3).select("event_id", F.round("level", 4).alias("level"))
 
 
 @query(
     "Q3_smoothing_weight",
     """with recursive a as (select unnest([0.1::double, 0.3, 0.5, 0.7, 0.9]) as alpha), e as (select user_id, value, row_number() over (partition by user_id order by ts) as i, count(*) over (partition by user_id) as n from events),
     r as (select user_id, alpha, i, n, value as level, 0::double as sse from e, a where i = 1 union all select r.user_id, r.alpha, e.i, r.n, r.alpha * e.value + (1 - r.alpha) * r.level, r.sse + (e.value - r.level) ** 2 from r join e on e.user_id = r.user_id and e.i = r.i + 1)
-    select user_id, alpha, round(sse, 3) as sse, round(level, 6) as level from (select *, row_number() over (partition by user_id order by sse, alpha) as k from r where i = n) where k = 1""",
+    select user_id, alpha, round(sse, 2) as sse, round(level, 4) as level from (select *, row_number() over (partition by user_id order by sse, alpha) as k from r where i = n) where k = 1""",
 )
 def _(spark, d):
     b = ts.smooth_best(table(spark, d, "events"), "user_id", "ts", "value", [0.1, 0.3, 0.5, 0.7, 0.9])
-    return b.select("user_id", "alpha", F.round("sse", 3).alias("sse"), F.round("level", 6).alias("level"))
+    return b.select("user_id", "alpha", F.round("sse", 2).alias("sse"), F.round("level", 4).alias("level"))
 
 
 DAY = "date_diff('day', date '1992-01-01', cast(o_orderdate as date))::double"
