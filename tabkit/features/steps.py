@@ -584,8 +584,8 @@ class StepTokenize(Step):
 
     def learn(self, df, cols):
         if self.pattern is not None:
-            return [(c, f"filter(split({q(c)}, {lit(self.pattern)}), t -> t <> '')") for c in cols], []
-        return [(c, f"filter(split(lower({q(c)}), {lit(WORD_BREAK)}), t -> t <> '')") for c in cols], []
+            return [(c, f"array_remove(split({q(c)}, {lit(self.pattern)}), '')") for c in cols], []
+        return [(c, f"array_remove(split(lower({q(c)}), {lit(WORD_BREAK)}), '')") for c in cols], []
 
 
 # Letters, digits and inner apostrophes make a word; anything else breaks words.

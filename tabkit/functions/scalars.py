@@ -109,11 +109,15 @@ def safe_divide(a, b) -> Column:
 
 
 def correlation(a, b) -> Column:
-    """Pearson correlation of complete pairs; NULL where a side does not vary (corr raises there)."""
+    """Pearson correlation of complete pairs; NULL where a side does not vary.
+
+    ``corr`` divides by zero there, an error under ANSI rules. ``regr_r2`` does
+    not, but says 1 when only its first side is constant; the covariance then
+    is 0, which tells the cases apart.
+    """
     x, y = _c(a).cast("double"), _c(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    spread = F.sqrt(F.var_pop(F.when(both, x))) * F.sqrt(F.var_pop(F.when(both, y)))
-    return F.try_divide(F.covar_pop(x, y), spread)
+    r2, cov = F.regr_r2(x, y), F.covar_pop(x, y)
+    return F.when((cov != 0) | (r2 != 1), F.signum(cov) * F.sqrt(r2))
 
 
 def round_half_even(x, digits: int = 0) -> Column:

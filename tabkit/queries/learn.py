@@ -132,18 +132,37 @@ def related(spark, d):
     )
 
 
-@query("F10_drop_correlated")
+REL = "(select l_quantity, l_extendedprice, l_discount, l_tax, l_quantity * 3 + l_tax as near_quantity, l_discount - l_tax * 2 as combo from lineitem)"
+REL_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "near_quantity", "combo"]
+REL_CORR = " union all ".join(f"select '{a}' as a, '{b}' as b, abs(corr({a}, {b})) as r from {REL}" for a in REL_COLS for b in REL_COLS if a != b)
+
+
+def kept_table(df, kept):
+    """One row per column of df: was it kept?"""
+    one = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(c in kept).alias("kept")) for c in df.columns])
+    return df.agg(F.count(F.lit(1)).alias("n")).select(F.explode(one).alias("s"), "n").select("s.*", "n")
+
+
+# one pair is above 0.9; of the two the one with the larger mean goes
+@query(
+    "F10_drop_correlated",
+    f"""with c as ({REL_CORR}), m as (select a, avg(r) as m from c group by 1), w as (select a, b from c where r > 0.9), g as (select case when x.m > y.m then w.a else w.b end as gone from w join m x on x.a = w.a join m y on y.a = w.b where w.a < w.b)
+    select a as "column", a not in (select gone from g) as kept, (select count(*) from lineitem) as n from m""",
+)
 def _(spark, d):
     df = related(spark, d)
-    kept = one_step(df, st.StepCorr(all_numeric_predictors(), 0.9)).columns
-    return df.limit(1).select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(c in kept).alias("kept")) for c in df.columns])).alias("s")).select("s.*")
+    return kept_table(df, one_step(df, st.StepCorr(all_numeric_predictors(), 0.9)).columns)
 
 
-@query("F11_drop_linear_combinations")
+# a column goes when columns before it determine it
+@query(
+    "F11_drop_linear_combinations",
+    f"""with r as (select max(abs(near_quantity - 3 * l_quantity - l_tax)) < 1e-6 as a, max(abs(combo - l_discount + 2 * l_tax)) < 1e-6 as b, count(*) as n from {REL}), k as (select unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax', 'near_quantity', 'combo']) as "column")
+    select "column", case "column" when 'near_quantity' then not a when 'combo' then not b else true end as kept, n from k, r""",
+)
 def _(spark, d):
     df = related(spark, d)
-    kept = one_step(df, st.StepLincomb(all_numeric_predictors())).columns
-    return df.limit(1).select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(c in kept).alias("kept")) for c in df.columns])).alias("s")).select("s.*")
+    return kept_table(df, one_step(df, st.StepLincomb(all_numeric_predictors())).columns)
 
 
 BRAND = "(select p_partkey, case when p_size <= 12 then p_brand when p_size <= 45 then 'Brand#X' end as brand from part)"

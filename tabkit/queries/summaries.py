@@ -24,8 +24,9 @@ def class_rates(spark, d):
     event = F.col("l_linestatus") == "F"
     g = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), ag.count_where(event).alias("n_event"), ag.rate_where(event).alias("rate"))
     g = ag.share(g, "n", name="share")
+    top = wn.rank_desc(g, "n", keys, "rnk").orderBy("rnk").limit(10)
     med = ag.quantiles(j, keys, "l_extendedprice", {"median_price": 0.5})
-    out = wn.rank_desc(g.join(med, keys), "n", keys, "rnk").orderBy("rnk").limit(10)
+    out = top.join(med, keys)
     return out.withColumns({"rate": F.round("rate", 6), "share": F.round("share", 6), "median_price": F.round("median_price", 4)})
 
 

@@ -132,6 +132,15 @@ def test_metrics(spark):
     assert spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "y double, p double").agg(m.rsq("y", "p").alias("v")).first()["v"] is None
 
 
+def test_correlation_of_constants_and_gaps(spark):
+    rows = [(1.0, 2.0, 5.0, None), (2.0, 4.0, 5.0, 1.0), (3.0, 5.0, 5.0, 0.0), (4.0, 4.0, 5.0, None)]
+    d = spark.createDataFrame(rows, "a double, b double, k double, g double")
+    c = s.correlation
+    r = d.agg(c("a", "b").alias("ab"), c("a", "k").alias("ak"), c("k", "a").alias("ka"), c("k", "k").alias("kk"), c("b", "g").alias("bg"), F.corr("a", "b").alias("true")).first()
+    assert math.isclose(r["ab"], r["true"]) and (r["ak"], r["ka"], r["kk"]) == (None, None, None)
+    assert math.isclose(r["bg"], -1.0)
+
+
 def test_text_distances(spark):
     d = spark.createDataFrame([("abc", "abd")], "a string, b string")
     r = d.select(td.jaccard(F.col("a"), F.col("b")).alias("j"), td.cosine(F.col("a"), F.col("b")).alias("c"), td.cosine_and_jaro(F.col("a"), F.col("b")).alias("p")).first()
