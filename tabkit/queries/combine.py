@@ -151,7 +151,7 @@ def _(spark, d):
     return joins.compare_tables(old, new, "o_orderkey", ["price"])
 
 
-@query("J12_polygon_centroids", "select n_nationkey as poly_id, round(n_nationkey % 5 * 10 + 5.0, 6) as cx, round(floor(n_nationkey / 5) * 2000 + 1000.0, 6) as cy from nation")
+@query("J12_polygon_centroids", "select n_nationkey as poly_id, round((n_nationkey % 5 * 10 + 5.0)::double, 6) as cx, round((floor(n_nationkey / 5) * 2000 + 1000.0)::double, 6) as cy from nation")
 def _(spark, d):
     return geo.centroids(_squares(spark, d)).select("poly_id", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
 

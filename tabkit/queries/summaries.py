@@ -153,7 +153,7 @@ def _(spark, d):
 
 @query(
     "G16_density",
-    """with b as (select c_mktsegment, floor(c_acctbal / 100.0) as bin, count(*) as n from customer group by 1, 2), g as (select -1000 + i * 500.0 as x from range(23) t(i))
+    """with b as (select c_mktsegment, floor(c_acctbal / 100.0) as bin, count(*) as n from customer group by 1, 2), g as (select (-1000 + i * 500.0)::double as x from range(23) t(i))
     select c_mktsegment, x, round(sum(exp(-0.5 * ((x - (bin + 0.5) * 100) / 400) ** 2) * n) / (sum(n) * 400 * 2.506628274631) * 1000, 6) as density from b, g group by 1, 2""",
 )
 def _(spark, d):

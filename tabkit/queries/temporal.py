@@ -36,11 +36,11 @@ def _(spark, d):
     HOURLY
     + """, t as (select *, case when count(x) over (w rows between 12 preceding and 12 following) = 25 then (sum(x) over (w rows between 11 preceding and 11 following) + 0.5 * (lag(x, 12) over w + lead(x, 12) over w)) / 24 end as trend, hour(hour) as ph from s window w as (partition by event_type order by hour)),
     r as (select event_type, ph, avg(x - trend) as v from t group by 1, 2), c as (select *, v - avg(v) over (partition by event_type) as season from r)
-    select t.event_type, strftime(t.hour, '%Y-%m-%d %H') as hour, x, round(trend, 6) as trend, round(season, 6) as season, round(x - trend - season, 6) as remainder from t join c on t.event_type = c.event_type and t.ph = c.ph""",
+    select t.event_type, strftime(t.hour, '%Y-%m-%d %H') as hour, x, round(trend, 9) as trend, round(season, 9) as season, round(x - trend - season, 9) as remainder from t join c on t.event_type = c.event_type and t.ph = c.ph""",
 )
 def _(spark, d):
     out = ts.decompose(hourly(spark, d), "event_type", "hour", "x", 24, F.hour("hour"))
-    return out.select("event_type", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "x", *[F.round(c, 6).alias(c) for c in ("trend", "season", "remainder")])
+    return out.select("event_type", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "x", *[F.round(c, 9).alias(c) for c in ("trend", "season", "remainder")])
 
 
 @query(

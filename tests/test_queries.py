@@ -25,7 +25,7 @@ def con():
 def norm(v):
     if v is None or isinstance(v, (str, bool)):
         return str(v)
-    return f"{float(v):.6g}" if isinstance(v, (int, float)) else str(v)
+    return f"{float(v):.6g}"
 
 
 @pytest.mark.parametrize("name", QUICK)
