@@ -45,11 +45,11 @@ def _(spark, d):
 
 @query(
     "Q3_exponential_smoothing",
-    "with recursive e as (select event_id, user_id, value, row_number() over (partition by user_id order by ts) as i from events), r as (select event_id, user_id, i, value as level from e where i = 1 union all select e.event_id, e.user_id, e.i, 0.3 * e.value + 0.7 * r.level from r join e on e.user_id = r.user_id and e.i = r.i + 1) select event_id, round(level, 4) as level from r",
+    "with recursive e as (select event_id, user_id, value, row_number() over (partition by user_id order by ts) as i from events), r as (select event_id, user_id, i, value as level from e where i = 1 union all select e.event_id, e.user_id, e.i, e.value / 3 + r.level * 2 / 3 from r join e on e.user_id = r.user_id and e.i = r.i + 1) select event_id, round(level, 6) as level from r",
 )
 def _(spark, d):
     e = table(spark, d, "events").select("event_id", "user_id", "ts", "value")
-    return ts.smooth(e, "user_id", "ts", "value", 0.3).select("event_id", F.round("level", 4).alias("level"))
+    return ts.smooth(e, "user_id", "ts", "value", 1 / 3).select("event_id", F.round("level", 6).alias("level"))
 
 
 @query(
