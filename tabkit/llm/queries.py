@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tabkit.llm.embedcells import near_vectors
 from tabkit.llm.nearcopies import near_copies
 from tabkit.llm.registry import ORACLE, QUERIES, query, table
+from tabkit.llm.topk import top_k, whole_numbers
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -28,3 +32,36 @@ from documents d left join s using (doc_id) left join l on l.v = d.doc_id
 @query("op4_minhash_near_dedup", NEAR_COPIES_SQL)
 def op4(spark, sf):
     return near_copies(table(spark, sf, "documents"), k=3, per_cent=85)
+
+
+TOP_K_SQL = """
+with v as (select vec_id, [floor(64 * x::double)::bigint for x in embedding] as v from embeddings
+           where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
+      from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id)
+select query_id, rank::integer as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20
+"""
+
+
+@query("op1_exact_top_k", TOP_K_SQL)
+def op1(spark, sf):
+    return top_k(whole_numbers(table(spark, sf, "embeddings")), F.col("vec_id") % 20 == 0, k=20)
+
+
+NEAR_VECTORS_SQL = """
+with recursive v as (select vec_id, embedding::double[] as v from embeddings
+           where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+           and len([x for x in embedding if x <> 0]) > 0),
+e as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id
+      and list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v)) >= 0.95),
+r as (select a as v, a as c from e union select e.b, r.c from r join e on e.a = r.v),
+l as (select v, min(c) as c from r group by v), n as (select a, count(*) as n from e group by a)
+select m.vec_id, coalesce(n.n, 0)::bigint as n_links, coalesce(l.c, m.vec_id) as component_id, coalesce(l.c, m.vec_id) = m.vec_id as kept
+from embeddings m left join l on l.v = m.vec_id left join n on n.a = m.vec_id
+"""
+
+
+@query("op10_embedding_near_dedup", NEAR_VECTORS_SQL)
+def op10(spark, sf):
+    return near_vectors(table(spark, sf, "embeddings"), least=0.95)
