@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tabkit.llm.batches import stage_batched
 from tabkit.llm.graph import components
 from tabkit.llm.words import SPACES, U, as_long, grams, mix, words_of
 from tabkit.scale import broadcast_if_small
@@ -106,19 +107,17 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, per_cent: int) -> DataFr
         for batch in it:
             keep = np.zeros(batch.num_rows, dtype=bool)
             n = batch.num_rows
-            both = pa.concat_arrays([batch.column(2), batch.column(3)])
-            order = np.arange(2 * n).reshape(2, n).T.ravel()  # a and b of a pair side by side
-            done = 0
             for lo in range(0, n, 64):
-                rows = order[2 * lo : 2 * min(lo + 64, n)]
-                sets: list[np.ndarray] = []
-                for w in words_of(both.take(pa.array(rows)), SPACES, lower=True):
-                    row, h = shingle_sets(w, k)
-                    sets += np.split(h, np.cumsum(np.bincount(row, minlength=w.rows))[:-1])
-                for x, y in zip(sets[::2], sets[1::2]):
+                sides = []
+                for c in (2, 3):
+                    sets: list[np.ndarray] = []
+                    for w in words_of(batch.column(c).slice(lo, 64), SPACES, lower=True):
+                        row, h = shingle_sets(w, k)
+                        sets += np.split(h, np.cumsum(np.bincount(row, minlength=w.rows))[:-1])
+                    sides.append(sets)
+                for i, (x, y) in enumerate(zip(*sides)):
                     same = len(np.intersect1d(x, y, assume_unique=True))
-                    keep[done] = same > 0 and 100 * same >= per_cent * (len(x) + len(y) - same)
-                    done += 1
+                    keep[lo + i] = same > 0 and 100 * same >= per_cent * (len(x) + len(y) - same)
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
@@ -149,7 +148,7 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
     component null, kept. Rows that repeat a doc_id each go by their own text.
     Other columns are not read.
     """
-    base = stage(signatures(docs, k))
+    base = stage_batched(signatures(docs, k))
     sets = base.where("n_shingles > 0 and doc_id is not null")
     classes = stage(sets.groupBy("k1", "k2", "n_shingles").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("doc")))
     members = stage(classes.select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")))
@@ -181,7 +180,7 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
         star = stage(star)
         if not star.isEmpty():
             tested = star if tested is None else tested.unionByName(star)
-            new = stage(verified(star, docs, k, per_cent))
+            new = stage_batched(verified(star, docs, k, per_cent), rows=500)
             links = new if links is None else links.unionByName(new)
             if not new.isEmpty():
                 labels = components(links)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabkit.llm.embedcells import near_vectors
+from tabkit.llm.mixing import mix_sources, n_words
 from tabkit.llm.nearcopies import near_copies
+from tabkit.llm.packing import best_fit, same_text
 from tabkit.llm.registry import ORACLE, QUERIES, query, table
 from tabkit.llm.topk import top_k, whole_numbers
 
@@ -65,3 +67,13 @@ from embeddings m left join l on l.v = m.vec_id left join n on n.a = m.vec_id
 @query("op10_embedding_near_dedup", NEAR_VECTORS_SQL)
 def op10(spark, sf):
     return near_vectors(table(spark, sf, "embeddings"), least=0.95)
+
+
+@query("op3_best_fit_packing")
+def op3(spark, sf):
+    return best_fit(table(spark, sf, "documents"), n_words("text"), same_text("text"), capacity=2048)
+
+
+@query("op9_cube_mixing")
+def op9(spark, sf):
+    return mix_sources(table(spark, sf, "documents"))
