@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabkit.llm.embedcells import near_vectors
+from tabkit.llm.licences import scan_licences
 from tabkit.llm.mixing import mix_sources, n_words
 from tabkit.llm.nearcopies import near_copies
 from tabkit.llm.packing import best_fit, same_text
+from tabkit.llm.quality import quality_scores
 from tabkit.llm.registry import ORACLE, QUERIES, query, table
+from tabkit.llm.tokens import token_counts
 from tabkit.llm.topk import top_k, whole_numbers
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -77,3 +80,19 @@ def op3(spark, sf):
 @query("op9_cube_mixing")
 def op9(spark, sf):
     return mix_sources(table(spark, sf, "documents"))
+
+
+
+@query("op7_license_scan")
+def op7(spark, sf):
+    return scan_licences(table(spark, sf, "documents"))
+
+
+@query("op8_token_counts")
+def op8(spark, sf):
+    return token_counts(table(spark, sf, "documents"))
+
+
+@query("op2_line_crf_quality")
+def op2(spark, sf):
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
