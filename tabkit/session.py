@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
 _staged: dict[str, list[str]] = {}
+_named: dict[str, list[str]] = {}
 
 
 def local_session(cpus: str = "8", **conf: str) -> SparkSession:
@@ -64,8 +65,18 @@ def stage_path(df: DataFrame) -> str:
     return path
 
 
+def keep_until_release(spark: SparkSession, path: str, table: str | None = None) -> None:
+    """Note a folder written beside stage(), and the name it has in the catalog, for release()."""
+    app = spark.sparkContext.applicationId
+    _staged.setdefault(app, []).append(path)
+    if table:
+        _named.setdefault(app, []).append(table)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables this application staged, once results built on them are stored."""
+    for name in _named.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     paths = _staged.pop(spark.sparkContext.applicationId, [])
     for p in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(p)
