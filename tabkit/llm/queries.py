@@ -11,6 +11,7 @@ from tabkit.llm.nearcopies import near_copies
 from tabkit.llm.packing import best_fit, same_text
 from tabkit.llm.quality import quality_scores
 from tabkit.llm.registry import ORACLE, QUERIES, query, table
+from tabkit.llm.repeats import cut_repeats
 from tabkit.llm.tokens import token_counts
 from tabkit.llm.topk import top_k, whole_numbers
 
@@ -96,3 +97,20 @@ def op8(spark, sf):
 @query("op2_line_crf_quality")
 def op2(spark, sf):
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+REPEATS_SQL = r"""
+with w as (select doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from documents),
+g as (select doc_id, i, w[i:i+12] as g from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from w where len(w) >= 13)),
+m as (select g, min(doc_id) as m from g group by g),
+c as (select distinct doc_id, unnest(range(i, i + 13)) as p from g join m using (g) where doc_id > m),
+d as (select doc_id, list(p) as gone from c group by doc_id)
+select doc_id, coalesce(len(w), 0)::bigint as n_words, coalesce(len(gone), 0)::bigint as n_removed,
+       sha256(coalesce(array_to_string(case when gone is null then w else [w[k] for k in range(1, len(w) + 1) if not list_contains(gone, k)] end, ' '), '')) as kept_sha256
+from w left join d using (doc_id)
+"""
+
+
+@query("op6_substring_dedup", REPEATS_SQL)
+def op6(spark, sf):
+    return cut_repeats(table(spark, sf, "documents"))
