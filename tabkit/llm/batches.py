@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabkit.session import stage
 
@@ -25,3 +26,9 @@ def stage_batched(df: DataFrame, rows: int = 1000, size: str = "8m") -> DataFram
     finally:
         for k, v in before.items():
             conf.unset(k) if v is None else conf.set(k, v)
+
+
+def broadcast_below(df: DataFrame, most: int = 8 << 20) -> DataFrame:
+    """Hint a broadcast if the planner knows df, a stored table, to be at most ``most`` bytes; no job is run for it."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(df) if size <= most else df
