@@ -180,9 +180,11 @@ class Model:
         weight = length + 1.0
         return np.add.reduceat(weight * good, first[:-1]) / np.add.reduceat(weight, first[:-1])
 
-    def score(self, first: np.ndarray, length: np.ndarray, x: np.ndarray) -> np.ndarray:
-        mean = np.clip(self.document(first, length, self.line_marginals(first, x)), 1e-6, 1 - 1e-6)
-        return 1 / (1 + np.exp(-(self.slope * np.log(mean / (1 - mean)) + self.offset)))
+    def score(self, lines: Lines) -> tuple[np.ndarray, np.ndarray]:
+        """(score per document, P(good) per line)."""
+        good = self.line_marginals(lines.first, lines.x)
+        mean = np.clip(self.document(lines.first, lines.length, good), 1e-6, 1 - 1e-6)
+        return 1 / (1 + np.exp(-(self.slope * np.log(mean / (1 - mean)) + self.offset))), good
 
 
 def fit(first: np.ndarray, length: np.ndarray, x: np.ndarray, label: np.ndarray, rounds: int = 150, penalty: float = 0.5) -> Model:
@@ -286,12 +288,26 @@ def quality_scores(docs: DataFrame, labels: DataFrame, least: float = 0.3, id_co
                 rows = len(got.first) - 1
                 score, bad = np.full(rows, 0.5), np.zeros(rows, dtype=np.int64)
                 if model is not None:
-                    good = model.line_marginals(got.first, got.x)
-                    mean = np.clip(model.document(got.first, got.length, good), 1e-6, 1 - 1e-6)
-                    score = 1 / (1 + np.exp(-(model.slope * np.log(mean / (1 - mean)) + model.offset)))
+                    score, good = model.score(got)
                     bad = np.add.reduceat((good < 0.5).astype(np.int64), got.first[:-1])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row0, rows), batch.column(2).slice(row0, rows), pa.array(score), pa.array(np.diff(got.first).astype(np.int64)), pa.array(bad)], [id_column, "held_out", "score", "n_lines", "bad_lines"])
 
     rows = docs.select(id_column, F.col("text").cast("string").alias("text"), F.coalesce(held_out(id_column), F.lit(False)).alias("held_out"))
     out = stage_batched(rows.mapInArrow(scores, f"{id_column} {kind}, held_out boolean, score double, n_lines long, bad_lines long"))
     return out.select(id_column, "held_out", "score", (F.col("score") >= least).cast("int").alias("predicted"), "n_lines", "bad_lines")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.3, model: Model | None = None) -> DataFrame:
+    """The rows of docs, all columns, whose text scores at least ``least``; one pass, nothing is shuffled."""
+    model = model or train(docs, labels)
+    if model is None:
+        return docs
+    at = docs.columns.index("text")
+
+    def keep(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for row0, data, ends in pieces(batch.column(at)):
+                score, _ = model.score(line_features(row0, data, ends))
+                yield batch.slice(row0, len(score)).filter(pa.array(score >= least))
+
+    return stage_batched(docs.mapInArrow(keep, docs.schema))

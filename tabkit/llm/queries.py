@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from tabkit.llm.embedcells import near_vectors
 from tabkit.llm.licences import scan_licences
+from tabkit.llm.lines import dedup_lines
 from tabkit.llm.mixing import mix_sources, n_words
 from tabkit.llm.nearcopies import near_copies
 from tabkit.llm.packing import best_fit, same_text
@@ -114,3 +117,14 @@ from w left join d using (doc_id)
 @query("op6_substring_dedup", REPEATS_SQL)
 def op6(spark, sf):
     return cut_repeats(table(spark, sf, "documents"))
+
+
+@query("op5_fuzzy_line_dedup")
+def op5(spark, sf):
+    out = dedup_lines(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
