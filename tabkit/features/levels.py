@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tabkit.scale import exact_quantiles, join_null_safe, running
 
-MAX_LEVELS = 10_000
-
 
 def level_table(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
     """(level, code) from 1: alphabetical, or by the median of another column."""
@@ -34,9 +32,7 @@ def with_codes(df: DataFrame, col: str, levels: DataFrame, name: str) -> DataFra
     return join_null_safe(df, t, [col], "left")
 
 
-def collect_levels(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> list[str]:
-    """Sorted levels on the driver, for things that become columns. Their number is checked."""
-    rows = df.select(F.col(col).cast("string").alias("v")).where("v is not null").distinct().limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels; pool rare ones first")
+def collect_levels(df: DataFrame, col: str) -> list[str]:
+    """Sorted levels on the driver, for things that become columns or classes of a model."""
+    rows = df.select(F.col(col).cast("string").alias("v")).where("v is not null").distinct().collect()
     return sorted(r["v"] for r in rows)

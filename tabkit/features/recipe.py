@@ -40,7 +40,22 @@ def lit(v) -> str:
 
 
 def safe_name(s: str) -> str:
-    return re.sub(r"[^0-9A-Za-z]+", "_", s)
+    """Letters and digits of any script; other signs become _."""
+    return re.sub(r"[\W_]+", "_", s)
+
+
+def unique_names(values) -> dict[str, str]:
+    """A name per value; values that differ in signs only get _2, _3, ... in their order."""
+    out, seen = {}, set()
+    for v in values:
+        base = name = safe_name(v)
+        i = 1
+        while name in seen:
+            i += 1
+            name = f"{base}_{i}"
+        seen.add(name)
+        out[v] = name
+    return out
 
 
 # ---- selectors --------------------------------------------------------------

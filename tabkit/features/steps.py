@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.features.levels import MAX_LEVELS, collect_levels
-from tabkit.features.recipe import LearnedColumns, RowChange, Selector, Step, lit, q, resolve, safe_name
+from tabkit.features.levels import collect_levels
+from tabkit.features.recipe import LearnedColumns, RowChange, Selector, Step, lit, q, resolve, unique_names
 from tabkit.modelling import resample
 from tabkit.operators.aggregates import correlations
 from tabkit.operators.frames import typed
@@ -368,14 +368,14 @@ class StepOther(Step):
 class StepNovel(Step):
     """Levels not seen in training become one new level."""
 
-    def __init__(self, select, new: str = "new", max_levels: int = MAX_LEVELS):
+    def __init__(self, select, new: str = "new"):
         super().__init__(select)
-        self.new, self.max_levels = new, max_levels
+        self.new = new
 
     def learn(self, df, cols):
         out = []
         for c in cols:
-            lv = collect_levels(df, c, self.max_levels)
+            lv = collect_levels(df, c)
             test = f"{q(c)} IN ({', '.join(map(lit, lv))})" if lv else "false"
             out.append((c, f"CASE WHEN {q(c)} IS NULL OR {test} THEN {q(c)} ELSE {lit(self.new)} END"))
         return out, []
@@ -393,18 +393,23 @@ class StepUnknown(Step):
 
 
 class StepDummy(Step):
-    """0/1 columns per level but the first; missing gives NULL, an unseen level all zeros."""
+    """0/1 columns per level but the first; missing gives NULL, an unseen level all zeros.
+
+    A column is named after its level; levels whose names would be equal, signs
+    aside, get _2, _3, ...
+    """
 
-    def __init__(self, select, keep_first: bool = False, max_levels: int = 1000):
+    def __init__(self, select, keep_first: bool = False):
         super().__init__(select)
-        self.keep_first, self.max_levels = keep_first, max_levels
+        self.keep_first = keep_first
 
     def learn(self, df, cols):
         out = []
         for c in cols:
-            lv = collect_levels(df, c, self.max_levels)
-            for v in lv if self.keep_first else lv[1:]:
-                out.append((f"{c}_{safe_name(v)}", f"double(string({q(c)}) = {lit(v)})"))
+            lv = collect_levels(df, c)
+            for v, name in unique_names(lv).items():
+                if self.keep_first or v != lv[0]:
+                    out.append((f"{c}_{name}", f"double(string({q(c)}) = {lit(v)})"))
         return out, cols
 
 
@@ -440,17 +445,11 @@ class StepString2Factor(Step):
 class StepRankEncode(Step):
     """Each level becomes its rank by count, 1 the commonest; unseen gives NULL."""
 
-    def __init__(self, select, max_levels: int = MAX_LEVELS):
-        super().__init__(select)
-        self.max_levels = max_levels
-
     def learn(self, df, cols):
         out = []
         for c in cols:
             n = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count()
-            rows = n.orderBy(F.desc("count"), "v").limit(self.max_levels + 1).collect()
-            if len(rows) > self.max_levels:
-                raise ValueError(f"{c} has more than {self.max_levels} levels; join a rank_table instead")
+            rows = n.orderBy(F.desc("count"), "v").collect()
             out.append((c, _codes(c, [r["v"] for r in rows])))
         return out, []
 
@@ -613,10 +612,10 @@ def token_counts(df: DataFrame, col: str) -> DataFrame:
     return df.select(F.explode(col).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def kept_tokens(df: DataFrame, col: str, max_tokens: int = 100, min_times: int = 0) -> list[str]:
-    """The max_tokens commonest tokens seen at least min_times, ties by token."""
-    n = token_counts(df, col).where(F.col("n") >= min_times)
-    return [r["token"] for r in n.orderBy(F.desc("n"), "token").limit(max_tokens).collect()]
+def kept_tokens(df: DataFrame, col: str, max_tokens: int | None = 100, min_times: int = 0) -> list[str]:
+    """The max_tokens commonest tokens (None: all) seen at least min_times, ties by token."""
+    n = token_counts(df, col).where(F.col("n") >= min_times).orderBy(F.desc("n"), "token")
+    return [r["token"] for r in (n if max_tokens is None else n.limit(max_tokens)).collect()]
 
 
 class StepTokenfilter(Step):
@@ -656,9 +655,9 @@ class TermFrequencies(Model, DefaultParamsReadable, DefaultParamsWritable):
 
 
 class StepTf(Step):
-    """Term counts as columns."""
+    """Term counts as columns, one per token seen in training; StepTokenfilter before it makes them fewer."""
 
-    def __init__(self, select, max_tokens: int = 1000):
+    def __init__(self, select, max_tokens: int | None = None):
         super().__init__(select)
         self.max_tokens = max_tokens
 

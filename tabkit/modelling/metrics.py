@@ -109,12 +109,13 @@ def roc_auc(df: DataFrame, event: Column, score: str, keys: str | Sequence[str]
     return r.groupBy(*keys).agg(F.try_divide(won, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 
 
-def roc_auc_multiclass(df: DataFrame, truth: str, probs: dict[str, str]) -> DataFrame:
-    """Hand-Till: the mean over ordered class pairs of the pairwise areas."""
+def roc_auc_multiclass(df: DataFrame, truth: str, probs: dict[str, str], keys: str | Sequence[str] | None = None) -> DataFrame:
+    """Hand-Till per key: the mean over ordered class pairs of the pairwise areas; pairs without both classes are left out."""
+    keys = names(keys)
     parts = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(probs[a]).alias("s")) for a in probs for b in probs if a != b]
-    d = df.select(F.col(truth).alias("_t"), F.inline(F.array(*parts))).where("_t = a or _t = b")
-    auc = roc_auc(d, F.col("_t") == F.col("a"), "s", ["a", "b"])
-    return auc.agg(F.avg("auc").alias("auc"))
+    d = df.select(*keys, F.col(truth).cast("string").alias("_t"), F.inline(F.array(*parts))).where("_t = a or _t = b")
+    auc = roc_auc(d, F.col("_t") == F.col("a"), "s", [*keys, "a", "b"])
+    return auc.groupBy(*keys).agg(F.avg("auc").alias("auc"))
 
 
 def roc_curve(df: DataFrame, event: Column, score: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.features.levels import collect_levels
-from tabkit.features.recipe import safe_name
+from tabkit.features.recipe import safe_name, unique_names
 from tabkit.scale import exact_quantiles
 
 
@@ -27,6 +27,22 @@ def prob(level) -> str:
     return f"prob_{safe_name(str(level))}"
 
 
+def prob_columns(levels: Sequence[str]) -> dict[str, str]:
+    """The probability column of each level; levels that differ in signs only get numbers."""
+    return {v: f"prob_{n}" for v, n in unique_names(levels).items()}
+
+
+# What each kind of model takes; a name outside is an error, not a default.
+PARAMS = {
+    "linear_reg": {"penalty", "mixture", "epochs"},
+    "mars": {"num_terms", "prod_degree", "penalty", "epochs"},
+    "mlp": {"hidden_units", "epochs", "seed"},
+    "rand_forest": {"trees", "min_n", "tree_depth", "mtry", "seed"},
+    "bag_tree": {"trees", "min_n", "tree_depth", "seed"},
+    "boost_tree": {"trees", "learn_rate", "tree_depth", "min_n", "loss_reduction", "sample_size", "mtry", "stop_tol", "seed"},
+}
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "_features", invalid: str = "keep") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=invalid).transform(df)
 
@@ -47,8 +63,13 @@ class Fitted:
         return assemble(df, self.extra.get("inputs", self.features))
 
     def predict(self, df: DataFrame) -> DataFrame:
-        cols = [c for c in df.columns if c != "pred" and not c.startswith("prob_")]
-        df = df.select(*cols)
+        # an older prediction is replaced; a feature keeps its name
+        made = {"pred", *prob_columns(self.levels or []).values()}
+        taken = made & set(self.features)
+        if taken:
+            raise ValueError(f"features named like the predictions to be written: {sorted(taken)}")
+        cols = [c for c in df.columns if c not in made]
+        df = df.select(*[F.col(f"`{c}`") for c in cols])
         if self.levels is None:
             p = self.model.transform(self._vectors(df))
             return p.select(*cols, F.col("prediction").alias("pred"))
@@ -57,7 +78,7 @@ class Fitted:
         p = self.model.transform(self._vectors(df))
         arr = vector_to_array("probability")
         lv = F.array(*[F.lit(v) for v in self.levels])
-        probs = [arr[i].alias(prob(v)) for i, v in enumerate(self.levels)]
+        probs = [arr[i].alias(name) for i, name in enumerate(prob_columns(self.levels).values())]
         return p.select(*cols, F.get(lv, F.col("prediction").cast("int")).alias("pred"), *probs)
 
     def _one_vs_rest(self, df: DataFrame, cols: list[str]) -> DataFrame:
@@ -66,13 +87,13 @@ class Fitted:
             p = m.transform(p).withColumn(f"_p{i}", vector_to_array("probability")[1])
             p = p.drop("rawPrediction", "probability", "prediction")
         total = sum((F.col(f"_p{i}") for i in range(len(self.levels))), F.lit(0.0))
-        probs = [(F.col(f"_p{i}") / total).alias(prob(v)) for i, v in enumerate(self.levels)]
+        probs = [(F.col(f"_p{i}") / total).alias(name) for i, name in enumerate(prob_columns(self.levels).values())]
         pairs = F.array(*[F.struct((-F.col(f"_p{i}")).alias("k"), F.lit(v).alias("v")) for i, v in enumerate(self.levels)])
         return p.select(*cols, F.array_min(pairs)["v"].alias("pred"), *probs)
 
     def score_expr(self) -> str:
         """The column that ranks rows: the prediction, or the second level's probability."""
-        return "pred" if self.levels is None else prob(self.levels[-1])
+        return "pred" if self.levels is None else prob_columns(self.levels)[self.levels[-1]]
 
 
 @dataclass(frozen=True)
@@ -83,17 +104,25 @@ class Spec:
     mode: str
     params: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        unknown = set(self.params) - PARAMS.get(self.kind, set())
+        if unknown:
+            raise ValueError(f"{self.kind} has no parameter {sorted(unknown)}")
+
     def set(self, **params) -> "Spec":
         return replace(self, params={**self.params, **params})
 
-    def fit(self, df: DataFrame, label: str, features: Sequence[str], weight: str | None = None, valid: str | None = None) -> Fitted:
+    def fit(self, df: DataFrame, label: str, features: Sequence[str], weight: str | None = None, valid: str | None = None, levels: Sequence[str] | None = None) -> Fitted:
+        """``levels`` fixes the classes where df may lack one, as a fold does."""
         features = list(features)
-        levels = None
+        if weight and self.kind == "mlp":
+            raise ValueError("mlp takes no case weights")
         if self.mode == "classification":
-            levels = collect_levels(df, label, 1000)
+            levels = list(levels) if levels is not None else collect_levels(df, label)
             lv = F.array(*[F.lit(v) for v in levels])
             d = df.withColumn("_label", (F.array_position(lv, F.col(label).cast("string")) - 1).cast("double"))
         else:
+            levels = None
             d = df.withColumn("_label", F.col(label).cast("double"))
         extra: dict = {}
         if self.kind == "mars":
@@ -222,8 +251,8 @@ def kmeans_feature(train: DataFrame, columns: Sequence[str], k: int = 2, seed: i
 
 def predict_on(spec: Spec, train: DataFrame, new: DataFrame, label: str, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Fit, score, and keep the named columns with the predictions."""
-    out = spec.fit(train, label, features).predict(new)
-    return out.select(*keep, *[c for c in out.columns if c == "pred" or c.startswith("prob_")])
+    fit = spec.fit(train, label, features)
+    return fit.predict(new).select(*keep, "pred", *prob_columns(fit.levels or []).values())
 
 
 def augment(fitted: Fitted, df: DataFrame, transform: dict[str, Column] | None = None) -> DataFrame:

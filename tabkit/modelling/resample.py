@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.scale import broadcast_if_small, cut_number, exact_quantiles, hash_cuts, hash_of, hash_unit, names
+from tabkit.scale import broadcast_if_small, cut_number, exact_quantiles, hash_cuts, hash_of, hash_unit, hash_unit_fine, names, row_numbers
 
 
 def numeric_strata(df: DataFrame, col: str, name: str = "stratum", bins: int = 4) -> DataFrame:
@@ -51,42 +51,34 @@ def group_vfold(df: DataFrame, group: str, v: int = 10, seed: int = 0, name: str
     return df.withColumn(name, (F.floor(hash_unit(hash_of(seed, group)) * v) + 1).cast("int"))
 
 
-def group_vfold_balanced(df: DataFrame, group: str, v: int = 10, seed: int = 0, name: str = "fold", max_groups: int = 100_000) -> DataFrame:
-    """Folds of near-equal row counts: each group, largest first, joins the smallest fold.
+def group_vfold_balanced(df: DataFrame, group: str, v: int = 10, seed: int = 0, name: str = "fold") -> DataFrame:
+    """Folds of near-equal row counts: groups, largest first, are dealt out to folds 1..v and back, v..1.
 
-    The assignment is one decision after another, so the group counts (checked
-    to be at most max_groups) are decided on the driver; the rows only join.
+    Ties go by hash. The groups are numbered by distributed running sums, so
+    there may be any number of them. Rows without a group get no fold.
     """
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.orderBy(F.desc("n"), hash_of(seed, group), group).limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        raise ValueError(f"more than {max_groups} groups; use group_vfold")
-    load = [0] * v
-    plan = []
-    for r in rows:
-        k = min(range(v), key=lambda i: (load[i], i))
-        load[k] += r["n"]
-        plan.append((r[group], k + 1))
-    t = df.schema[group].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(plan, f"`{group}` {t}, `{name}` int")
-    return df.join(F.broadcast(table), group, "left")
-
-
-def poisson_weight(u: Column, most: int = 12) -> Column:
-    """Poisson(1) count by inverting its distribution at u."""
+    counts = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    dealt = row_numbers(counts, None, [F.desc("_n"), hash_of(seed, group), F.col(group)], "_rn")
+    at, lap = F.pmod(F.col("_rn") - 1, F.lit(v)), F.floor((F.col("_rn") - 1) / v)
+    fold = F.when(lap % 2 == 0, at + 1).otherwise(F.lit(v) - at).cast("int")
+    return df.join(broadcast_if_small(dealt.select(group, fold.alias(name))), group, "left")
+
+
+def poisson_weight(u: Column, most: int = 18) -> Column:
+    """Poisson(1) count by inverting its distribution at u; 52-bit u cannot tell more than 18 apart."""
     from math import exp, factorial
 
     out, acc = F.lit(0), 0.0
     for k in range(most):
         acc += exp(-1.0) / factorial(k)
-        out = out + (u >= F.lit(round(acc, 12))).cast("int")
+        out = out + (u >= F.lit(acc)).cast("int")
     return out
 
 
 def bootstraps(df: DataFrame, row_id: str, times: int, seed: int = 0, keep_out_of_bag: bool = True) -> DataFrame:
     """One row per (row, replicate) with a Poisson(1) weight; weight 0 is out of bag."""
     d = df.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(times))))
-    d = d.withColumn("weight", poisson_weight(hash_unit(hash_of(seed, "replicate", row_id))))
+    d = d.withColumn("weight", poisson_weight(hash_unit_fine(hash_of(seed, "replicate", row_id))))
     return d if keep_out_of_bag else d.where("weight > 0")
 
 
@@ -98,10 +90,7 @@ def split_by_ids(df: DataFrame, train_ids: DataFrame, key: str, name: str = "is_
 
 def fold_ids(df: DataFrame, row_id: str, fold: str = "fold") -> DataFrame:
     """(fold, part, id): each row is assessed in its own fold and analysed in the others."""
-    folds = [r[0] for r in df.select(fold).distinct().limit(1001).collect()]
-    if len(folds) > 1000:
-        raise ValueError(f"{fold} has more than 1000 values")
-    j = df.select(row_id, fold).withColumn("_f", F.explode(F.array(*[F.lit(f) for f in folds])))
+    j = df.select(row_id, fold).crossJoin(broadcast_if_small(df.select(F.col(fold).alias("_f")).distinct()))
     return j.select(F.col("_f").alias("fold"), F.when(F.col(fold) == F.col("_f"), "assess").otherwise("analyse").alias("part"), row_id)
 
 
@@ -122,4 +111,10 @@ def upsample(df: DataFrame, label: str, row_id: str, seed: int = 0) -> DataFrame
     n = F.col("n")
     extra = F.when((F.lit(largest) % n > 0) & (F.col("_piece") == 0), 1).otherwise(0)
     copies = F.floor(F.lit(largest) / n) + extra
-    return d.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*df.columns, "copy")
+    # in two steps, so that no row holds a long list of its copies
+    block = 10_000
+    d = d.withColumn("_copies", copies).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / block))))
+    if largest and largest > block:
+        d = d.repartition(F.col(row_id), F.col("_b"))
+    last = F.least(F.col("_copies"), (F.col("_b") + 1) * block)
+    return d.withColumn("copy", F.explode(F.sequence(F.col("_b") * block + 1, last))).select(*df.columns, "copy")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabkit.operators import geo, matching
 
 
-def match_places(guide: DataFrame, site: DataFrame, limit: float, guide_id: str, site_id: str, countries: DataFrame | None = None, scale: float = 100.0, max_score: float | None = 1.5) -> DataFrame:
+def match_places(guide: DataFrame, site: DataFrame, limit: float, guide_id: str, site_id: str, countries: DataFrame | None = None, scale: float = 100.0, max_score: float | None = None) -> DataFrame:
     """(guide id, site id, how, score): near pairs first, then fuzzy names of guide rows without one.
 
     Both tables carry name, x and y (and country, when ``countries`` restricts them).

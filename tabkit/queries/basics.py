@@ -554,15 +554,15 @@ def _(spark, d):
     return table(spark, d, "documents").select("doc_id", F.explode(F.split("text", ", ")).alias("token"))
 
 
-@query("X5_error_tolerant_map", "select c_nationkey, count(*) as n, case when c_nationkey = 7 then 'ValueError: no data' end as error from customer group by 1")
+@query("X5_error_tolerant_map", "select c_nationkey, case when c_nationkey <> 7 then count(*) end as size, case when c_nationkey <> 7 then round(max(c_acctbal)::double, 2) end as top, case when c_nationkey = 7 then 'ValueError: no data' end as error from customer group by 1")
 def _(spark, d):
     from tabkit.functions.udf import map_groups_safely
 
     def fn(pdf):
         if pdf["c_nationkey"].iloc[0] == 7:
             raise ValueError("no data")
-        return pdf[["c_nationkey"]].drop_duplicates().assign(size=len(pdf))
+        return pdf[["c_nationkey"]].drop_duplicates().assign(size=len(pdf), top=float(pdf["c_acctbal"].max()))
 
     c = table(spark, d, "customer")
-    out = map_groups_safely(c.select("c_nationkey", "c_acctbal"), ["c_nationkey"], fn, "c_nationkey int, size long")
-    return out.join(c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n")), "c_nationkey").select("c_nationkey", "n", "error")
+    out = map_groups_safely(c.select("c_nationkey", "c_acctbal"), ["c_nationkey"], fn, "c_nationkey int, size long, top double")
+    return out.select("c_nationkey", "size", F.round("top", 2).alias("top"), "error")

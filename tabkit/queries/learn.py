@@ -324,19 +324,19 @@ H = "md5(concat('{s}-', o_orderkey))"
 
 @query(
     "F27_downsample",
-    f"with r as (select o_orderkey, o_orderstatus, row_number() over (partition by o_orderstatus order by {H.format(s=0)}, o_orderkey) as rn from orders where o_orderkey % 3 = 0 or o_orderstatus <> 'F') select o_orderkey, o_orderstatus from r where rn <= (select min(n) from (select count(*) as n from r group by o_orderstatus))",
+    f"with r as (select o_orderkey, o_orderstatus, row_number() over (partition by o_orderstatus order by {H.format(s=0)}, o_orderkey) as rn from orders) select o_orderkey, o_orderstatus from r where rn <= (select min(n) from (select count(*) as n from r group by o_orderstatus))",
 )
 def _(spark, d):
-    o = table(spark, d, "orders").where("o_orderkey % 3 = 0 OR o_orderstatus <> 'F'").select("o_orderkey", "o_orderstatus")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     return one_step(o, st.StepDownsample("o_orderstatus", "o_orderkey"))
 
 
 @query(
     "F27_upsample",
-    f"with r as (select o_orderkey, o_orderstatus, row_number() over (partition by o_orderstatus order by {H.format(s=0)}, o_orderkey) as rn, count(*) over (partition by o_orderstatus) as n from orders where o_orderkey % 3 = 0 or o_orderstatus <> 'F'), m as (select max(n) as m from r) select o_orderkey, o_orderstatus, m // n + cast(rn <= m % n as int) as copies from r, m",
+    f"with r as (select o_orderkey, o_orderstatus, row_number() over (partition by o_orderstatus order by {H.format(s=0)}, o_orderkey) as rn, count(*) over (partition by o_orderstatus) as n from orders), m as (select max(n) as m from r) select o_orderkey, o_orderstatus, m // n + cast(rn <= m % n as int) as copies from r, m",
 )
 def _(spark, d):
-    o = table(spark, d, "orders").where("o_orderkey % 3 = 0 OR o_orderstatus <> 'F'").select("o_orderkey", "o_orderstatus")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     return one_step(o, st.StepUpsample("o_orderstatus", "o_orderkey")).groupBy("o_orderkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("copies"))
 
 
@@ -377,7 +377,10 @@ def _(spark, d):
     return rs.group_vfold(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", 10, seed=3)
 
 
-@query("V3_group_vfold_balanced")
+@query(
+    "V3_group_vfold_balanced",
+    "with g as (select o_custkey, count(*) as c from orders group by 1), r as (select *, row_number() over (order by c desc, md5('0-' || o_custkey), o_custkey) - 1 as k from g) select cast(case when (k // 5) % 2 = 0 then k % 5 + 1 else 5 - k % 5 end as int) as fold, sum(c)::bigint as n, count(*) as n_groups from r group by 1",
+)
 def _(spark, d):
     o = rs.group_vfold_balanced(table(spark, d, "orders"), "o_custkey", 5)
     return o.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_custkey").alias("n_groups"))
@@ -387,15 +390,15 @@ def _poisson_sql(u):
     from math import exp, factorial
 
     acc, parts = 0.0, []
-    for k in range(12):
+    for k in range(18):
         acc += exp(-1.0) / factorial(k)
-        parts.append(f"cast({u} >= {round(acc, 12)!r} as int)")
+        parts.append(f"cast({u} >= {acc!r} as int)")
     return " + ".join(parts)
 
 
 @query(
     "V4_bootstraps",
-    "with u as (select o_orderkey, r as replicate, ('0x' || substr(md5(concat('5-', r, '-', o_orderkey)), 1, 8))::bigint / 4294967296.0 as u from orders, range(1, 11) t(r)) select replicate, " + f"sum({_poisson_sql('u')})::bigint as n, count(*) filter (({_poisson_sql('u')}) = 0) as n_out, sum(({_poisson_sql('u')}) * (o_orderkey % 97))::bigint as mark from u group by 1",
+    "with u as (select o_orderkey, r as replicate, ('0x' || substr(md5(concat('5-', r, '-', o_orderkey)), 1, 13))::bigint / 4503599627370496.0::double as u from orders, range(1, 11) t(r)) select replicate, " + f"sum({_poisson_sql('u')})::bigint as n, count(*) filter (({_poisson_sql('u')}) = 0) as n_out, sum(({_poisson_sql('u')}) * (o_orderkey % 97))::bigint as mark from u group by 1",
 )
 def _(spark, d):
     b = rs.bootstraps(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 10, seed=5)

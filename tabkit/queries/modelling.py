@@ -187,11 +187,11 @@ def _(spark, d):
 # ---- tuning -----------------------------------------------------------------
 
 
-@query("H1_parameter_grid", "select a.size as trees, b.size as mtry from (select distinct p_size * 20 as size from part where p_size <= 10) a, (select distinct p_size as size from part where p_size <= 4) b")
+@query("H1_parameter_grid", "select a.size as trees, b.size as mtry from (select distinct p_size * 20 as size from part) a, (select distinct p_size as size from part) b")
 def _(spark, d):
     p = table(spark, d, "part")
-    trees = p.where("p_size <= 10").select((F.col("p_size") * 20).alias("trees"))
-    return joins.crossing(trees, p.where("p_size <= 4").select(F.col("p_size").alias("mtry")))
+    trees = p.select((F.col("p_size") * 20).alias("trees"))
+    return joins.crossing(trees, p.select(F.col("p_size").alias("mtry")))
 
 
 @query("H2_space_filling_grid")

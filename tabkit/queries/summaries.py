@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabkit.operators import aggregates as ag
 from tabkit.operators import geo
 from tabkit.operators import windows as wn
 from tabkit.queries.registry import query, table
+from tabkit.scale import exact_quantiles
+from tabkit.session import stage
 
 
 @query(
     "flagship_class_rates",
     """with g as (select o_orderpriority, l_returnflag, count(*) as n, count(*) filter (l_linestatus = 'F') as n_event, quantile_cont(l_extendedprice, 0.5) as med from lineitem join orders on l_orderkey = o_orderkey group by 1, 2)
-    select o_orderpriority, l_returnflag, n, n_event, round(n_event / n, 6) as rate, round(n / (sum(n) over ()), 6) as share, round(med, 4) as median_price, row_number() over (order by n desc, o_orderpriority, l_returnflag) as rnk from g order by rnk limit 10""",
+    select o_orderpriority, l_returnflag, n, n_event, round(n_event / n, 6) as rate, round(n / (sum(n) over ()), 6) as share, round(med, 4) as median_price, row_number() over (order by n desc, o_orderpriority, l_returnflag) as rnk from g""",
 )
 def class_rates(spark, d):
-    """Rate, share of all rows, median and rank per class: the first ten classes by size."""
+    """Rate, share of all rows, median and rank of every class, all from one count per class and price."""
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     li = table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_extendedprice")
     j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     keys = ["o_orderpriority", "l_returnflag"]
     event = F.col("l_linestatus") == "F"
-    g = j.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), ag.count_where(event).alias("n_event"), ag.rate_where(event).alias("rate"))
-    g = ag.share(g, "n", name="share")
-    top = wn.rank_desc(g, "n", keys, "rnk").orderBy("rnk").limit(10)
-    med = ag.quantiles(j, keys, "l_extendedprice", {"median_price": 0.5})
-    out = top.join(med, keys)
+    c = stage(j.groupBy(*keys, F.col("l_extendedprice").cast("double").alias("price")).agg(F.count(F.lit(1)).alias("c"), ag.count_where(event).alias("e")))
+    g = c.groupBy(*keys).agg(F.sum("c").alias("n"), F.sum("e").alias("n_event"))
+    g = ag.share(g.withColumn("rate", F.col("n_event") / F.col("n")), "n", name="share")
+    # one row per class
+    g = g.withColumn("rnk", F.row_number().over(Window.orderBy(F.desc("n"), *keys)))
+    out = g.join(exact_quantiles(c, keys, "price", {"median_price": 0.5}, count="c"), keys)
     return out.withColumns({"rate": F.round("rate", 6), "share": F.round("share", 6), "median_price": F.round("median_price", 4)})
 
 

@@ -171,6 +171,11 @@ def hash_unit(h: Column) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def hash_unit_fine(h: Column) -> Column:
+    """First 52 bits of an md5 text as a number in [0, 1)."""
+    return F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / F.lit(4503599627370496.0)
+
+
 def hash_cuts(
     df: DataFrame,
     strata: str | Sequence[str] | None,
@@ -236,16 +241,18 @@ def value_counts_running(df: DataFrame, keys: Sequence[str], value: str, weights
     return running(g, keys, [F.col(value)], ran, totals=totals)
 
 
-def exact_quantiles(df: DataFrame, keys: str | Sequence[str] | None, value: str, probs: dict[str, float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: str | Sequence[str] | None, value: str, probs: dict[str, float], count: str | None = None) -> DataFrame:
     """Linearly interpolated quantiles (the usual type 7) per key, exact at any size.
 
+    ``count`` names a column that says how many rows a row stands for.
+
     ``percentile`` keeps every distinct value of a group in one task's memory;
     here the distinct values are spread by range.
     """
     keys = names(keys)
     d = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    d = d.select(*keys, F.col(value).cast("double").alias("_x"))
-    r = value_counts_running(d, keys, "_x", {"_n": F.lit(1).cast("long")})
+    d = d.select(*keys, F.col(value).cast("double").alias("_x"), (F.col(count) if count else F.lit(1)).cast("long").alias("_w"))
+    r = value_counts_running(d, keys, "_x", {"_n": F.col("_w")})
     lo, hi, tot = F.col("_n_cum") - F.col("_n"), F.col("_n_cum"), F.col("_n_cum_total")
     aggs, outs = [], []
     for i, (out, p) in enumerate(probs.items()):

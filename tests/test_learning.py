@@ -219,5 +219,6 @@ def test_group_functions(spark):
 
     out = {r["k"]: (r["x"], r["error"]) for r in udf.map_groups_safely(d, ["k"], fn, "k int, x double").collect()}
     assert out == {1: (3.0, None), 2: (None, "ValueError: bad")}
-    with pytest.raises(ValueError):
-        udf.map_groups(d, ["k"], fn, "k int, x double", max_rows=1)
+    total = lambda p: p.groupby("k", as_index=False, dropna=False)["x"].sum()
+    many = spark.range(0, 5000, 1, 7).selectExpr("int(id % 3) as k", "double(1) as x")
+    assert {tuple(r) for r in udf.fold_groups(many, ["k"], total, total, "k int, x double").collect()} == {(0, 1667.0), (1, 1667.0), (2, 1666.0)}
