@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tabkit.llm.batches import broadcast_below, stage_batched
 from tabkit.llm.graph import components
@@ -15,6 +16,7 @@ from tabkit.llm.words import SPACES, U, as_long, grams, mix, words_of
 from tabkit.session import stage
 
 BANDS, ROWS = 24, 5
+PAIRS_UP_TO = 16
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 _jumps = mix(np.arange(1, 1025, dtype=np.uint64)[:, None] * U(0x2545F4914F6CDD1D) + mix(np.arange(BANDS * ROWS, dtype=np.uint64))[None, :])
 JUMPS = (_jumps % U(BANDS * ROWS)).astype(np.int64)
@@ -93,17 +95,16 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(batches, SIGNATURE.format(id=kind))
 
 
-def compared(pairs: DataFrame, docs: DataFrame, k: int, per_cent: int) -> DataFrame:
-    """(c, x, linked, n, keys) of every candidate pair (c, x), judged on the full shingle sets; n is x's set size.
+def verified(pairs: DataFrame, docs: DataFrame, k: int, per_cent: int) -> DataFrame:
+    """The (a, b) pairs whose full shingle sets have 100 * intersection >= per_cent * union.
 
-    linked: 100 * intersection >= per_cent * union. keys name shingles of x
-    outside c, see near_copies. Only the texts of named documents are shuffled
-    when pairs and ids are small enough to broadcast (their size is checked),
-    those of all documents otherwise.
+    Only the texts of named documents are shuffled when pairs and ids are small
+    enough to broadcast (their size is checked), those of all documents otherwise.
     """
 
     def check(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
+            keep = np.zeros(batch.num_rows, dtype=bool)
             for lo in range(0, batch.num_rows, 64):
                 sides = []
                 for c in (2, 3):
@@ -112,27 +113,20 @@ def compared(pairs: DataFrame, docs: DataFrame, k: int, per_cent: int) -> DataFr
                         row, h = shingle_sets(w, k)
                         sets += np.split(h, np.cumsum(np.bincount(row, minlength=w.rows))[:-1])
                     sides.append(sets)
-                linked, sizes, keys = [], [], []
-                for c, c_id, x in zip(sides[0], batch.column(0).slice(lo, 64).to_pylist(), sides[1]):
-                    new = np.setdiff1d(x, c, assume_unique=True)
-                    same = len(x) - len(new)
-                    linked.append(same > 0 and 100 * same >= per_cent * (len(c) + len(x) - same))
-                    sizes.append(len(x))
-                    least = max(1, -(-(per_cent * len(x) - 100 * same) // 100))
-                    new = new[: max(0, len(new) - least + 1)]
-                    keys.append(mix(new ^ mix(np.array([c_id], dtype=np.int64).view(np.uint64))).view(np.int64))
-                ends = np.concatenate([[0], np.cumsum([len(a) for a in keys])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 64), batch.column(1).slice(lo, 64), pa.array(linked), pa.array(sizes, type=pa.int64()), lists], ["c", "x", "linked", "n", "keys"])
+                for i, (x, y) in enumerate(zip(*sides)):
+                    same = len(np.intersect1d(x, y, assume_unique=True))
+                    keep[lo + i] = same > 0 and 100 * same >= per_cent * (len(x) + len(y) - same)
+            mask = pa.array(keep)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ids = stage(pairs.select(F.col("x").alias("doc_id")).distinct())
-    left = text.toDF("c", "tc").join(broadcast_below(pairs), "c")
-    right = text.join(broadcast_below(ids), "doc_id", "left_semi").toDF("x", "tx")
-    return left.join(right, "x").select("c", "x", "tc", "tx").mapInArrow(check, "c long, x long, linked boolean, n long, keys array<long>")
+    ids = stage(pairs.select(F.col("b").alias("doc_id")).distinct())
+    left = text.toDF("a", "ta").join(broadcast_below(pairs), "a")
+    right = text.join(broadcast_below(ids), "doc_id", "left_semi").toDF("b", "tb")
+    return left.join(right, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
+def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80, centres: tuple[int, ...] = (1, 4, 8)) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
     Documents are linked when the Jaccard similarity of their sets of k-word
@@ -141,19 +135,14 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
 
     Documents with equal sets form one class first, named by its smallest
     doc_id, so a mass of exact copies costs one row from there on. Classes that
-    share a band's bucket form a star: all are compared with the bucket's
-    centre, the class with the smallest set, not with each other.
-
-    Nothing is lost by that. Let c be the centre, x a member that is not
-    linked to c, y any member. With a = |c - y| and b = |y - c|, b >= a as c is
-    the smallest set. If x and y shared no shingle outside c, their
-    intersection were at most |c| less the larger a, their union at least that
-    of x and c, so their similarity at most that of x and c: too little. So
-    every link that a star misses joins two members that share a shingle
-    outside c. They must even share t * |x| - |x & c| of them (t the
-    threshold), so it is enough to look at all but so many, less one, in hash
-    order. Those (c, shingle) keys are the next round's buckets, until no
-    bucket with two components offers a pair that was not compared.
+    share a band's bucket are candidates. In a bucket of up to PAIRS_UP_TO
+    classes every two are compared. In a larger one the classes are compared
+    with centres[0] of them, a star; those that are still in no centre's
+    component form the next round's bucket, with centres[1] of them, and so on.
+    Links of two classes that are only ever outside the stars of such buckets
+    may be missed; they mostly share smaller buckets too, where their common
+    changes are (see the README for the measured recall). More and larger
+    centres compare more, up to all pairs.
 
     Null, empty or wordless text: n_shingles 0, its own component. Null doc_id:
     component null, kept. Rows that repeat a doc_id each go by their own text.
@@ -163,32 +152,45 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
     base = stage_batched(signatures(docs, k))
     sets = base.where("n_shingles > 0 and doc_id is not null")
     classes = stage(sets.groupBy("k1", "k2", "n_shingles").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").cast("long").alias("doc")))
-    members = stage(classes.select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")))
-    shared = stage(members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"))
-    members = stage(members.join(broadcast_below(shared), "key", "left_semi").select("key", "doc", "n"))
+    rows = stage(classes.select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")))
     named = stage(classes.select("k1", "k2", "n_shingles", F.col("doc").alias("rep")))
-    labels, seen = None, None
-    while True:
-        now = members.withColumn("comp", F.col("doc"))
+    links, labels, tested = None, None, None
+    for turn, few in enumerate(centres):
+        sizes = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
+        now = rows.join(broadcast_below(sizes), "key")
         if labels is not None:
-            now = members.join(broadcast_below(labels.withColumnRenamed("node", "doc")), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
-        torn = now.groupBy("key").agg(F.min(F.struct("n", "doc")).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-        torn = stage(torn.where("low < high").select("key", F.col("m.doc").alias("c")))
-        star = members.join(broadcast_below(torn), "key").where("doc <> c").select("c", F.col("doc").alias("x")).distinct()
-        if seen is not None:
-            star = star.join(seen.select("c", "x"), ["c", "x"], "left_anti")
-        star = stage(star)
-        if star.isEmpty():
+            now = now.join(broadcast_below(labels.withColumnRenamed("node", "doc")), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
+        else:
+            now = now.withColumn("comp", F.col("doc"))
+        now = stage(now)
+        if now.isEmpty():
             break
-        found = stage_batched(compared(star, docs, k, per_cent), rows=500)
-        seen = found if seen is None else seen.unionByName(found)
-        if not found.where("linked").isEmpty():
-            labels = components(seen.where("linked"), "c", "x")
-        # only around centres that some member is not linked to can a link be missing
-        loose = stage(seen.where("not linked").select("c").distinct())
-        shingles = seen.join(broadcast_below(loose), "c", "left_semi").select(F.explode("keys").alias("key"), F.col("x").alias("doc"), "n")
-        again = shingles.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key")
-        members = stage(shingles.join(broadcast_below(stage(again)), "key", "left_semi").select("key", "doc", "n"))
+        by = F.col("doc") if not turn else F.xxhash64(F.lit(turn), "key", "doc")
+        top = now.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(by, "doc")))
+        top = top.where((F.col("r") <= PAIRS_UP_TO) & ((F.col("m") <= PAIRS_UP_TO) | (F.col("r") <= few)))
+        top = stage(top.select("key", F.col("doc").alias("c_doc"), F.col("n").alias("c_n"), F.col("comp").alias("c_comp")))
+        star = now.join(broadcast_below(top), "key").where("comp <> c_comp")
+        # sets whose sizes differ too much cannot be similar enough
+        star = star.where(F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * per_cent)
+        star = star.select(F.least("doc", "c_doc").alias("a"), F.greatest("doc", "c_doc").alias("b")).distinct()
+        if tested is not None:
+            star = star.join(tested, ["a", "b"], "left_anti")
+        star = stage(star)
+        if not star.isEmpty():
+            tested = star if tested is None else tested.unionByName(star)
+            new = stage_batched(verified(star, docs, k, per_cent), rows=500)
+            links = new if links is None else links.unionByName(new)
+            if not new.isEmpty():
+                labels = components(links)
+        # large buckets stay open for classes in no centre's component
+        left = now.where(F.col("m") > PAIRS_UP_TO).select("key", "doc", "n")
+        if labels is not None:
+            known = broadcast_below(labels)
+            left = left.join(known, F.col("doc") == F.col("node"), "left").select("key", "doc", "n", F.coalesce("component", "doc").alias("comp"))
+            done = top.join(known, F.col("c_doc") == F.col("node"), "left").select("key", F.coalesce("component", "c_doc").alias("comp"))
+        else:
+            left, done = left.withColumn("comp", F.col("doc")), top.select("key", F.col("c_doc").alias("comp"))
+        rows = stage(left.join(broadcast_below(stage(done.distinct())), ["key", "comp"], "left_anti").select("key", "doc", "n"))
     if labels is not None:
         named = stage(named.join(broadcast_below(labels), F.col("rep") == F.col("node"), "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("rep")))
     out = base.drop("bands").join(named, ["k1", "k2", "n_shingles"], "left")
