@@ -14,22 +14,18 @@ from tabkit.session import stage
 
 BLOCK_BITS, BLOCKS = 21, 6
 LANES = 1 | 1 << BLOCK_BITS | 1 << 2 * BLOCK_BITS
-MOST_BITS = 44
+MOST_BITS = 26
 
 
-def normal(line: Column) -> Column:
-    """Lower case, every run of other signs than letters and digits as one space, none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+def normal_lines(text: str) -> Column:
+    """The lines of a text in lower case, every run of ASCII signs other than letters and digits as one space, none at the ends."""
+    plain = F.regexp_replace(F.lower(text), r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+", " ")
+    return F.split(plain, "\n")
 
 
 def _sums() -> list[Column]:
     """42 counters over a line's words. A sum holds three 21-bit lanes: how many words have bit j of blocks 0-2 or 3-5 set."""
-    out = []
-    for half in range(2):
-        h = F.xxhash64(F.lit(half), F.col("word"))
-        for j in range(BLOCK_BITS):
-            out.append(F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(LANES))).alias(f"c{half}_{j}"))
-    return out
+    return [F.sum(F.shiftrightunsigned(F.col(f"h{half}"), j).bitwiseAND(F.lit(LANES))).alias(f"c{half}_{j}") for half in range(2) for j in range(BLOCK_BITS)]
 
 
 def _half(half: int) -> Column:
@@ -48,11 +44,12 @@ def simhashes(docs: DataFrame) -> DataFrame:
     One shuffle: equal lines meet by their hash, partly joined before it; the
     words of the survivors are counted where they are.
     """
-    cut = docs.where("doc_id is not null and text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    cut = cut.select(F.col("doc_id").alias("doc"), "line", normal(F.col("raw")).alias("norm")).where("norm <> ''")
+    cut = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("doc"), F.posexplode(normal_lines("text")).alias("line", "raw"))
+    cut = cut.select("doc", "line", F.trim("raw").alias("norm")).where("norm <> ''")
     cut = cut.select(F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"), F.struct("doc", "line").alias("at"), "norm")
     one = cut.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("norm").alias("norm"))
     words = one.select("k1", "k2", F.col("at.doc").alias("doc"), F.col("at.line").alias("line"), F.length("norm").alias("size"), F.explode(F.split("norm", " ")).alias("word"))
+    words = words.select("k1", "k2", "doc", "line", "size", *[F.xxhash64(F.lit(half), F.col("word")).alias(f"h{half}") for half in range(2)])
     sums = words.groupBy("k1", "k2", "doc", "line", "size").agg(F.count(F.lit(1)).alias("n_words"), *_sums())
     return stage(sums.select(F.struct("k1", "k2").alias("id"), "doc", "line", "size", _half(0).alias("s0"), _half(1).alias("s1")))
 
@@ -128,14 +125,33 @@ def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     spots = stage(pairs.select(F.col("a_doc").alias("doc"), F.col("a_line").alias("line"), F.col("a_id").alias("id")).union(pairs.select("b_doc", "b_line", "b_id")).distinct())
     held = spots.groupBy("doc").agg(F.collect_list(F.struct("line", "id")).alias("spots"))  # at most a document's own lines
     text = docs.select(F.col("doc_id").alias("doc"), "text").join(broadcast_below(stage(held)), "doc")
-    text = text.withColumn("raw", F.split("text", "\n")).select("raw", F.explode("spots").alias("s"))
-    text = text.select(F.col("s.id").alias("id"), normal(F.get(F.col("raw"), F.col("s.line"))).alias("norm"))
+    text = text.withColumn("raw", normal_lines("text")).select("raw", F.explode("spots").alias("s"))
+    text = text.select(F.col("s.id").alias("id"), F.trim(F.get(F.col("raw"), F.col("s.line"))).alias("norm"))
     text = text.groupBy("id").agg(F.first("norm").alias("norm"))
     a, b = text.toDF("a_id", "a_norm"), text.toDF("b_id", "b_norm")
     both = pairs.select("a_id", "b_id").join(a, "a_id").join(b, "b_id")
     longer = F.greatest(F.length("a_norm"), F.length("b_norm"))
     both = both.withColumn("most", F.floor((1 - least) * longer + 1e-9).cast("int"))
-    return both.where("levenshtein(a_norm, b_norm, most) >= 0").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    both = both.withColumn("x", F.split("a_norm", " ")).withColumn("y", F.split("b_norm", " "))
+    return both.where(_within()).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+
+
+def _within() -> Column:
+    """Whether the edit distance of the lines with words x and y is at most ``most``.
+
+    Word by word in place, the distances add up to no less than that of the
+    lines; if that is little enough the answer is yes. Else equal words at both
+    ends, which change nothing, are cut off and the distance of the rest is taken.
+    """
+    in_place = F.aggregate(F.zip_with("x", "y", lambda u, v: F.when(u == v, 0).otherwise(F.levenshtein(u, v))), F.lit(0), lambda s, d: s + d)
+    sure = F.when(F.size("x") == F.size("y"), in_place <= F.col("most")).otherwise(F.lit(False))
+    ahead = F.expr("array_position(zip_with(x, y, (u, v) -> u <=> v), false) - 1")
+    # x <> y, so there is a first difference; the longer line's surplus counts as one
+    behind = F.expr("array_position(zip_with(reverse(x), reverse(y), (u, v) -> u <=> v), false) - 1")
+    head = F.greatest(ahead, F.lit(0)).cast("int")
+    tail = F.least(F.greatest(behind, F.lit(0)), F.least(F.size("x"), F.size("y")) - head).cast("int")
+    middle = lambda c: F.array_join(F.transform(F.slice(F.col(c), head + 1, F.size(c) - head - tail), lambda w: F.concat(w, F.lit(" "))), "")
+    return sure | (F.call_function("levenshtein", middle("x"), middle("y"), F.col("most")) >= 0)
 
 
 def kept_lines(docs: DataFrame, least: float = 0.8) -> DataFrame:
@@ -155,11 +171,11 @@ def kept_lines(docs: DataFrame, least: float = 0.8) -> DataFrame:
 def dedup_lines(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """docs with fuzzy repeats of lines cut from text; also n_lines and n_removed.
 
-    Lines are compared after lower-casing with signs other than letters and
-    digits as one space. Equal lines, and lines linked by edit similarity
+    Lines are compared after lower-casing, with ASCII signs other than letters
+    and digits as one space. Equal lines, and lines linked by edit similarity
     >= least among those that share one of six SimHash blocks, form groups;
-    of a group the place with the smallest (doc_id, line) stays. Lines without
-    a letter or digit always stay. Any pair within five SimHash bits shares a
+    of a group the place with the smallest (doc_id, line) stays. Lines of
+    such signs alone always stay. Any pair within five SimHash bits shares a
     block; farther pairs mostly do.
 
     Null text stays null with 0 lines; a text that loses all its lines becomes
@@ -173,7 +189,7 @@ def dedup_lines(docs: DataFrame, least: float = 0.8) -> DataFrame:
     out = base.join(keep.withColumnRenamed("keep", "_keep"), "doc_id", "left")
     out = out.withColumn("_lines", F.split("text", "\n"))
     every = F.sequence(F.lit(0), F.size("_lines") - 1)
-    blank = F.filter(every, lambda i: ~F.get(F.col("_lines"), i).rlike(r"[\p{L}\p{N}]"))
+    blank = F.filter(every, lambda i: ~F.get(F.col("_lines"), i).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     stay = F.array_sort(F.array_union(F.filter(F.coalesce("_keep", F.array().cast("array<int>")), lambda i: i < F.size("_lines")), blank))
     stay = F.when(F.col("doc_id").isNull(), every).otherwise(stay)
     out = out.withColumn("_stay", F.when(F.col("text").isNotNull(), stay))
