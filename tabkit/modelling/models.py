@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tabkit.features.levels import collect_levels
 from tabkit.features.recipe import safe_name, unique_names
+from tabkit.modelling.neighbours import NeighbourModel
 from tabkit.scale import exact_quantiles
 
 
@@ -39,6 +40,7 @@ PARAMS = {
     "mlp": {"hidden_units", "epochs", "seed"},
     "rand_forest": {"trees", "min_n", "tree_depth", "mtry", "seed"},
     "bag_tree": {"trees", "min_n", "tree_depth", "seed"},
+    "nearest_neighbor": {"neighbors", "weight_func"},
     "boost_tree": {"trees", "learn_rate", "tree_depth", "min_n", "loss_reduction", "sample_size", "mtry", "stop_tol", "seed"},
 }
 
@@ -70,9 +72,14 @@ class Fitted:
             raise ValueError(f"features named like the predictions to be written: {sorted(taken)}")
         cols = [c for c in df.columns if c not in made]
         df = df.select(*[F.col(f"`{c}`") for c in cols])
+        if self.levels is None and isinstance(self.model, NeighbourModel):
+            return self._neighbours(df).select(*cols, "pred")
         if self.levels is None:
             p = self.model.transform(self._vectors(df))
             return p.select(*cols, F.col("prediction").alias("pred"))
+        if isinstance(self.model, NeighbourModel):
+            p = self._neighbours(df)
+            return p.select(*cols, "pred", *[F.get("p", i).alias(n) for i, n in enumerate(prob_columns(self.levels).values())])
         if isinstance(self.model, list):
             return self._one_vs_rest(df, cols)
         p = self.model.transform(self._vectors(df))
@@ -81,6 +88,9 @@ class Fitted:
         probs = [arr[i].alias(name) for i, name in enumerate(prob_columns(self.levels).values())]
         return p.select(*cols, F.get(lv, F.col("prediction").cast("int")).alias("pred"), *probs)
 
+    def _neighbours(self, df: DataFrame) -> DataFrame:
+        return self.model.score(df.withColumn("v", F.array(*[F.col(f"`{c}`").cast("double") for c in self.features])), self.levels)
+
     def _one_vs_rest(self, df: DataFrame, cols: list[str]) -> DataFrame:
         p = self._vectors(df)
         for i, m in enumerate(self.model):
@@ -125,6 +135,12 @@ class Spec:
             levels = None
             d = df.withColumn("_label", F.col(label).cast("double"))
         extra: dict = {}
+        if self.kind == "nearest_neighbor":
+            if weight:
+                raise ValueError("nearest_neighbor takes no case weights")
+            v = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
+            rows = d.select("_label", v.alias("v")).where("_label IS NOT NULL")
+            return Fitted(self, features, NeighbourModel(rows, "_label", self.params.get("neighbors", 5), self.params.get("weight_func", "rectangular")), levels, extra)
         if self.kind == "mars":
             extra = hinge_columns(d, features, self.params.get("num_terms", 10), self.params.get("prod_degree", 1))
             for c, e in extra["columns"].items():
@@ -194,6 +210,11 @@ def boost_tree(mode: str = "classification", **params) -> Spec:
     return Spec("boost_tree", mode, params)
 
 
+def nearest_neighbor(mode: str = "classification", **params) -> Spec:
+    """k nearest neighbours (neighbors, weight_func) on numeric predictors without missing values; scale them first."""
+    return Spec("nearest_neighbor", mode, params)
+
+
 def mars(**params) -> Spec:
     return Spec("mars", "regression", params)
 

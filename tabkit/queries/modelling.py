@@ -391,3 +391,34 @@ def _(spark, d):
 
     o = table(spark, d, "orders").select("o_custkey", "o_orderkey")
     return udf.map_groups(o, ["o_custkey"], span, "o_custkey long, first_key long, last_key long, n long")
+
+
+@query(
+    "M11_neighbour_model",
+    "with e as (select *, vec_id % 3 as fold, case label % 3 when 0 then 'a' when 1 then 'b' else 'c' end as y, embedding[1]::double as x1, embedding[2]::double as x2 from embeddings), "
+    "n as (select q.vec_id, r.y as vote, row_number() over (partition by q.vec_id order by round(sqrt((q.x1 - r.x1) ** 2 + (q.x2 - r.x2) ** 2), 9), r.vec_id) as k from e q join e r on q.fold <> r.fold), "
+    "v as (select vec_id, vote, count(*) as c from n where k <= 5 group by 1, 2), p as (select vec_id, vote, row_number() over (partition by vec_id order by c desc, vote) as k from v) "
+    "select e.fold::int as fold, round(avg((p.vote = e.y)::int), 3) as accuracy from e join p using (vec_id) where k = 1 group by 1",
+)
+def _(spark, d):
+    """Neighbours tuned like any other model; distances between random vectors have no ties."""
+    y = F.when(F.col("label") % 3 == 0, "a").when(F.col("label") % 3 == 1, "b").otherwise("c")
+    e = table(spark, d, "embeddings").select("vec_id", (F.col("vec_id") % 3).cast("int").alias("fold"), y.alias("y"), F.col("embedding")[0].cast("double").alias("x1"), F.col("embedding")[1].cast("double").alias("x2"))
+    r = tune.tune_grid(tune.Workflow(models.nearest_neighbor(), "y", ["x1", "x2"]), e, [{"neighbors": 5}], "vec_id", ["accuracy"])
+    return r.metrics.select("fold", F.round("value", 3).alias("accuracy"))
+
+
+@query(
+    "B2_blend_classes",
+    "with m as (select event_id, case when event_id % 5 < 2 then 'x' else 'y' end as y, unnest([1, 2]) as config from events), "
+    "p as (select event_id, y, config, case when config = 1 then 0.4 else case when event_id % 5 < 2 then 0.9 else 0.3 end end as px from m) "
+    "select config, case config when 1 then 0.0 else 1.0 end as weight, round((select avg(-ln(case when y = 'x' then px else 1 - px end)) from p where config = 2), 6) as log_loss from (select distinct config from p)",
+)
+def _(spark, d):
+    """Of a member that knows the shares only and a sharper one the blend keeps the sharper."""
+    e = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 5 < 2, "x").otherwise("y").alias("y"), F.explode(F.array(F.lit(1), F.lit(2))).alias("config"))
+    px = F.when(F.col("config") == 1, 0.4).when(F.col("y") == "x", 0.9).otherwise(0.3)
+    oof = e.withColumn("prob_x", px).withColumn("prob_y", 1 - F.col("prob_x"))
+    fit = ensemble.blend_classes(oof, "event_id", "y", {"x": "prob_x", "y": "prob_y"}, [1, 2])
+    rows = [(c, round(w, 3), round(fit["log_loss"], 6)) for c, w in fit["weights"].items()]
+    return spark.createDataFrame(rows, "config int, weight double, log_loss double")
