@@ -39,7 +39,7 @@ def _half(half: int) -> Column:
 
 
 def simhashes(docs: DataFrame) -> DataFrame:
-    """Distinct normalised lines: id (128-bit hash), doc, line (its first place), size, s0, s1 (126 SimHash bits).
+    """Distinct normalised lines, told apart by 128 bits: id (64 of them), doc, line (its first place), size, s0, s1 (126 SimHash bits).
 
     One shuffle: equal lines meet by their hash, partly joined before it; the
     words of the survivors are counted where they are.
@@ -51,11 +51,11 @@ def simhashes(docs: DataFrame) -> DataFrame:
     words = one.select("k1", "k2", F.col("at.doc").alias("doc"), F.col("at.line").alias("line"), F.length("norm").alias("size"), F.explode(F.split("norm", " ")).alias("word"))
     words = words.select("k1", "k2", "doc", "line", "size", *[F.xxhash64(F.lit(half), F.col("word")).alias(f"h{half}") for half in range(2)])
     sums = words.groupBy("k1", "k2", "doc", "line", "size").agg(F.count(F.lit(1)).alias("n_words"), *_sums())
-    return stage(sums.select(F.struct("k1", "k2").alias("id"), "doc", "line", "size", _half(0).alias("s0"), _half(1).alias("s1")))
+    return stage(sums.select(F.col("k1").alias("id"), "doc", "line", "size", _half(0).alias("s0"), _half(1).alias("s1")))
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
-    """(key, id) of every block of every line; the key holds block number, block value and length class.
+    """(key, id, s0, s1, size) of every block of every line; the key holds block number, block value and length class.
 
     Classes are powers of four; a line that a line up to a quarter longer would
     find in the next class goes there too, so no pair of similar length parts.
@@ -63,77 +63,84 @@ def _buckets(lines: DataFrame) -> DataFrame:
     values = [F.shiftright(F.col(f"s{b // 3}"), (b % 3) * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) for b in range(BLOCKS)]
     kind = ((F.length(F.bin("size")) - 1) / 2).cast("int")
     reach = ((F.length(F.bin(F.ceil(F.col("size") * 1.25))) - 1) / 2).cast("int")
-    placed = lines.select("id", *[v.alias(f"b{i}") for i, v in enumerate(values)], F.explode(F.array_distinct(F.array(kind, reach))).alias("kind"))
-    keys = F.array(*[F.col(f"b{i}") + F.lit(i << 24) for i in range(BLOCKS)])
-    return placed.select("id", "kind", F.explode(keys).alias("block")).select((F.col("block") + F.shiftleft(F.col("kind").cast("long"), 40)).alias("key"), "id")
+    placed = lines.select("id", "s0", "s1", "size", *[v.alias(f"b{i}") for i, v in enumerate(values)], F.explode(F.array_distinct(F.array(kind, reach))).alias("kind"))
+    keys = F.array(*[F.col(f"b{i}") + F.lit(i << 24) + F.shiftleft(F.col("kind").cast("long"), 40) for i in range(BLOCKS)])
+    return placed.select(F.explode(keys).alias("key"), "id", "s0", "s1", "size")
 
 
-def similar_lines(lines: DataFrame, docs: DataFrame, least: float) -> DataFrame | None:
+def _near(a: str, b: str, least: float) -> Column:
+    """Lines a and b are of similar length and differ in at most MOST_BITS bits."""
+    bits = F.bit_count(F.col(f"{a}s0").bitwiseXOR(F.col(f"{b}s0"))) + F.bit_count(F.col(f"{a}s1").bitwiseXOR(F.col(f"{b}s1")))
+    return (F.least(f"{a}size", f"{b}size") >= least * F.greatest(f"{a}size", f"{b}size")) & (bits <= MOST_BITS)
+
+
+def similar_lines(lines: DataFrame, docs: DataFrame, least: float, centres: tuple[int, ...] = (4, 16)) -> DataFrame | None:
     """(node, component) of lines that are linked: they share a block, differ in at most MOST_BITS bits and have edit similarity >= least.
 
-    Lines that share a bucket meet its centres, not each other. Buckets whose
-    lines are not all connected afterwards meet more centres, 64 times as many
-    a round, until every pair of such a bucket was compared.
+    One shuffle by bucket: a line meets the three lines before it in hash order
+    and the bucket's first two. That is every pair of a bucket of up to four
+    lines. In larger buckets, whose keys are few, lines that are in no centre's
+    component meet more centres, in as many rounds as ``centres`` has numbers.
     """
-    rows = stage(_buckets(lines))
-    shared = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
-    rows = stage(rows.join(broadcast_below(shared), "key"))
-    sim = lines.select("id", "size", "s0", "s1", "doc", "line")
-    rows = stage(rows.join(sim, "id"))
-    labels, links, tested, centres = None, None, None, 8
-    while not rows.isEmpty():
+    rows = _buckets(lines)
+    w = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(8), "id"), "id")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    me = F.struct("id", "s0", "s1", "size")
+    mates = [F.lag(me, i).over(w) for i in (1, 2, 3)] + [F.nth_value(me, i).over(before) for i in (1, 2)]
+    met = rows.select("*", F.row_number().over(w).alias("r"), *[m.alias(f"m{i}") for i, m in enumerate(mates)])
+    near = [F.coalesce(_near("", f"m{i}.", least), F.lit(False)) for i in range(len(mates))]
+    met = met.where(reduce(lambda a, b: a | b, near) | (F.col("r") == 5))
+    met = stage(met.select("key", "id", "r", F.array_compact(F.array(*[F.when(n, F.col(f"m{i}.id")) for i, n in enumerate(near)])).alias("mates")))
+    pairs = met.select("id", F.explode("mates").alias("mate")).where("id <> mate")
+    pairs = stage(pairs.select(F.least("id", "mate").alias("a"), F.greatest("id", "mate").alias("b")).distinct())
+    links = stage(_verified(pairs, lines, docs, least))
+    labels = None if links.isEmpty() else components(links)
+    large = stage(met.where("r = 5").select("key"))
+    rows = stage(rows.join(broadcast_below(large), "key", "left_semi"))
+    for few in centres:
+        if rows.isEmpty():
+            break
         now = rows.withColumn("comp", F.col("id"))
         if labels is not None:
             now = rows.join(broadcast_below(labels.withColumnRenamed("node", "id")), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-        top = now.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64(F.lit(centres), "id"), "id"))).where(F.col("r") <= centres)
-        cols = ["id", "size", "s0", "s1", "doc", "line", "comp"]
-        top = top.select("key", *[F.col(c).alias(f"c_{c}") for c in cols])
-        bits = F.bit_count(F.col("s0").bitwiseXOR(F.col("c_s0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("c_s1")))
-        near = (F.col("comp") != F.col("c_comp")) & (F.least("size", "c_size") >= least * F.greatest("size", "c_size")) & (bits <= MOST_BITS)
-        a, b = now.alias("a"), top.alias("b")
-        pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & near)
-        first = F.col("id") < F.col("c_id")
-        pick = lambda c: [F.when(first, F.col(c)).otherwise(F.col(f"c_{c}")).alias(f"a_{c}"), F.when(first, F.col(f"c_{c}")).otherwise(F.col(c)).alias(f"b_{c}")]
-        pairs = pairs.select(*pick("id"), *pick("doc"), *pick("line")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a_id", "b_id"], "left_anti")
-        pairs = stage(pairs)
-        if not pairs.isEmpty():
-            tested = pairs.select("a_id", "b_id") if tested is None else tested.unionByName(pairs.select("a_id", "b_id"))
-            new = stage(_verified(pairs, docs, least))
-            links = new if links is None else links.unionByName(new)
+        top = now.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64(F.lit(few), "id"), "id"))).where(F.col("r") <= few).drop("r")
+        top = stage(top.select("key", *[F.col(c).alias(f"c_{c}") for c in ("id", "s0", "s1", "size", "comp")]))
+        star = now.join(broadcast_below(top), "key").where((F.col("comp") != F.col("c_comp")) & _near("", "c_", least))
+        star = star.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+        star = stage(star)
+        if not star.isEmpty():
+            pairs = pairs.unionByName(star)
+            new = stage(_verified(star, lines, docs, least))
+            links = links.unionByName(new)
             if not new.isEmpty():
                 labels = components(links)
-        # open: more lines than centres, and not one component
-        rest = rows.where(F.col("m") > centres)
         if labels is None:
-            rows = rest
-        else:
-            known = rest.join(broadcast_below(labels.withColumnRenamed("node", "id")), "id", "left").withColumn("comp", F.coalesce("component", "id"))
-            torn = stage(known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key"))
-            rows = stage(rest.join(broadcast_below(torn), "key", "left_semi").select(rows.columns))
-        centres *= 64
+            break
+        known = broadcast_below(labels)
+        left = rows.join(known, F.col("id") == F.col("node"), "left").select(*rows.columns, F.coalesce("component", "id").alias("comp"))
+        done = top.join(known, F.col("c_id") == F.col("node"), "left").select("key", F.coalesce("component", "c_id").alias("comp")).distinct()
+        rows = stage(left.join(broadcast_below(stage(done)), ["key", "comp"], "left_anti").select(rows.columns))
     return labels
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """(a, b) of the pairs with edit similarity 1 - distance / longer length >= least, on the whole normalised lines.
 
     The lines of the pairs are read again from their first place; only texts
     of documents that hold one take part.
     """
-    spots = stage(pairs.select(F.col("a_doc").alias("doc"), F.col("a_line").alias("line"), F.col("a_id").alias("id")).union(pairs.select("b_doc", "b_line", "b_id")).distinct())
+    ids = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    spots = lines.select("id", "doc", "line").join(broadcast_below(ids), "id")
     held = spots.groupBy("doc").agg(F.collect_list(F.struct("line", "id")).alias("spots"))  # at most a document's own lines
     text = docs.select(F.col("doc_id").alias("doc"), "text").join(broadcast_below(stage(held)), "doc")
     text = text.withColumn("raw", normal_lines("text")).select("raw", F.explode("spots").alias("s"))
     text = text.select(F.col("s.id").alias("id"), F.trim(F.get(F.col("raw"), F.col("s.line"))).alias("norm"))
     text = text.groupBy("id").agg(F.first("norm").alias("norm"))
-    a, b = text.toDF("a_id", "a_norm"), text.toDF("b_id", "b_norm")
-    both = pairs.select("a_id", "b_id").join(a, "a_id").join(b, "b_id")
+    both = pairs.join(text.toDF("a", "a_norm"), "a").join(text.toDF("b", "b_norm"), "b")
     longer = F.greatest(F.length("a_norm"), F.length("b_norm"))
     both = both.withColumn("most", F.floor((1 - least) * longer + 1e-9).cast("int"))
     both = both.withColumn("x", F.split("a_norm", " ")).withColumn("y", F.split("b_norm", " "))
-    return both.where(_within()).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    return both.where(_within()).select("a", "b")
 
 
 def _within() -> Column:
@@ -154,8 +161,11 @@ def _within() -> Column:
     return sure | (F.call_function("levenshtein", middle("x"), middle("y"), F.col("most")) >= 0)
 
 
-def kept_lines(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """doc_id and the numbers of its lines that stay, for documents that keep any line with a word."""
+BLANK = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+
+
+def cut_documents(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """(doc_id, keep): the numbers of the lines with words that stay, of every document that loses one."""
     lines = simhashes(docs)
     labels = similar_lines(lines, docs, least)
     if labels is None:
@@ -165,7 +175,11 @@ def kept_lines(docs: DataFrame, least: float = 0.8) -> DataFrame:
         alone = known.where("component is null").select("at")
         first = known.where("component is not null").groupBy("component").agg(F.min("at").alias("at")).select("at")
         keep = alone.unionByName(first).select("at.doc", "at.line")
-    return keep.groupBy("doc").agg(F.collect_set("line").alias("keep")).withColumnRenamed("doc", "doc_id")
+    keep = keep.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("line").alias("keep"))
+    full = F.size(F.filter(F.split("text", "\n"), lambda s: s.rlike(BLANK)))
+    had = docs.where("doc_id is not null and text is not null").groupBy("doc_id").agg(F.max(full).alias("had")).where("had > 0")
+    out = had.join(keep, "doc_id", "left").withColumn("keep", F.coalesce("keep", F.array().cast("array<int>")))
+    return stage(out.where(F.size("keep") < F.col("had")).select("doc_id", "keep"))
 
 
 def dedup_lines(docs: DataFrame, least: float = 0.8) -> DataFrame:
@@ -180,20 +194,22 @@ def dedup_lines(docs: DataFrame, least: float = 0.8) -> DataFrame:
 
     Null text stays null with 0 lines; a text that loses all its lines becomes
     empty and its row stays. Rows with null doc_id stay whole. Rows that repeat
-    a doc_id keep the same line numbers, those kept for any of them. A line of
+    a doc_id keep the same line numbers, those kept for any of them. Only
+    documents that lose a line are rebuilt; no text is shuffled for it while
+    their line numbers are small enough to broadcast (their size is checked). A line of
     over 2**21 words may get a blurred SimHash, no more. Other columns pass
     through; n_lines and n_removed replace columns of that name.
     """
     base = docs.withColumn("text", F.col("text").cast("string"))
-    keep = kept_lines(base.select("doc_id", "text"), least)
-    out = base.join(keep.withColumnRenamed("keep", "_keep"), "doc_id", "left")
+    cut = cut_documents(base.select("doc_id", "text"), least)
+    out = base.join(broadcast_below(cut.withColumnRenamed("keep", "_keep")), "doc_id", "left")
     out = out.withColumn("_lines", F.split("text", "\n"))
     every = F.sequence(F.lit(0), F.size("_lines") - 1)
-    blank = F.filter(every, lambda i: ~F.get(F.col("_lines"), i).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
-    stay = F.array_sort(F.array_union(F.filter(F.coalesce("_keep", F.array().cast("array<int>")), lambda i: i < F.size("_lines")), blank))
-    stay = F.when(F.col("doc_id").isNull(), every).otherwise(stay)
+    blank = F.filter(every, lambda i: ~F.get(F.col("_lines"), i).rlike(BLANK))
+    stay = F.array_sort(F.array_union(F.filter("_keep", lambda i: i < F.size("_lines")), blank))
+    stay = F.when(F.col("_keep").isNull(), every).otherwise(stay)
     out = out.withColumn("_stay", F.when(F.col("text").isNotNull(), stay))
     n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("_lines")).cast("long")
     out = out.withColumn("n_lines", n).withColumn("n_removed", n - F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("_stay")))
     text = F.array_join(F.transform("_stay", lambda i: F.get(F.col("_lines"), i)), "\n")
-    return out.withColumn("text", F.when(F.col("text").isNotNull(), text)).select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+    return out.withColumn("text", F.when(F.col("_keep").isNull(), F.col("text")).when(F.col("text").isNotNull(), text)).select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
