@@ -15,6 +15,7 @@ from tabkit.session import stage
 BLOCK_BITS, BLOCKS = 21, 6
 LANES = 1 | 1 << BLOCK_BITS | 1 << 2 * BLOCK_BITS
 MOST_BITS = 26
+LONG_WORD = 5
 
 
 def normal_lines(text: str) -> Column:
@@ -41,14 +42,18 @@ def _half(half: int) -> Column:
 def simhashes(docs: DataFrame) -> DataFrame:
     """Distinct normalised lines, told apart by 128 bits: id (64 of them), doc, line (its first place), size, s0, s1 (126 SimHash bits).
 
-    One shuffle: equal lines meet by their hash, partly joined before it; the
-    words of the survivors are counted where they are.
+    A SimHash is made from the line's words of LONG_WORD letters or more, or of
+    all its words if it has none so long. One shuffle: equal lines meet by
+    their hash, partly joined before it; the words of the survivors are counted
+    where they are.
     """
     cut = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("doc"), F.posexplode(normal_lines("text")).alias("line", "raw"))
     cut = cut.select("doc", "line", F.trim("raw").alias("norm")).where("norm <> ''")
     cut = cut.select(F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"), F.struct("doc", "line").alias("at"), "norm")
     one = cut.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("norm").alias("norm"))
-    words = one.select("k1", "k2", F.col("at.doc").alias("doc"), F.col("at.line").alias("line"), F.length("norm").alias("size"), F.explode(F.split("norm", " ")).alias("word"))
+    words = one.select("k1", "k2", F.col("at.doc").alias("doc"), F.col("at.line").alias("line"), F.length("norm").alias("size"), F.explode(F.split("norm", " ")).alias("word"), F.col("norm").rlike(f"[^ ]{{{LONG_WORD}}}").alias("has_long"))
+    # common words are short: without them, unlike lines of one language get unlike hashes
+    words = words.where((F.length("word") >= LONG_WORD) | ~F.col("has_long"))
     words = words.select("k1", "k2", "doc", "line", "size", *[F.xxhash64(F.lit(half), F.col("word")).alias(f"h{half}") for half in range(2)])
     sums = words.groupBy("k1", "k2", "doc", "line", "size").agg(F.count(F.lit(1)).alias("n_words"), *_sums())
     return stage(sums.select(F.col("k1").alias("id"), "doc", "line", "size", _half(0).alias("s0"), _half(1).alias("s1")))

@@ -284,6 +284,7 @@ def distance(a, b):
 def simhash_blocks(line):
     """The SimHash blocks of a normalised line, word by word and bit by bit."""
     words, out = line.split(" "), []
+    words = [w for w in words if len(w) >= lines.LONG_WORD] or words
     for part in range(lines.BLOCKS // 3):
         hashes = [xxhash.xxh64(w.encode(), seed=xxhash.xxh64(struct.pack("<i", part), seed=42).intdigest()).intdigest() for w in words]
         for block in range(3):
