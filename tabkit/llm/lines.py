@@ -51,7 +51,9 @@ def simhashes(docs: DataFrame) -> DataFrame:
     cut = cut.select("doc", "line", F.trim("raw").alias("norm")).where("norm <> ''")
     cut = cut.select(F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"), F.struct("doc", "line").alias("at"), "norm")
     one = cut.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("norm").alias("norm"))
-    words = one.select("k1", "k2", F.col("at.doc").alias("doc"), F.col("at.line").alias("line"), F.length("norm").alias("size"), F.explode(F.split("norm", " ")).alias("word"), F.col("norm").rlike(f"[^ ]{{{LONG_WORD}}}").alias("has_long"))
+    # what holds for the whole line is computed before its words are many rows
+    one = one.select("k1", "k2", F.col("at.doc").alias("doc"), F.col("at.line").alias("line"), F.length("norm").alias("size"), F.col("norm").rlike(f"[^ ]{{{LONG_WORD}}}").alias("has_long"), "norm")
+    words = one.select("k1", "k2", "doc", "line", "size", "has_long", F.explode(F.split("norm", " ")).alias("word"))
     # common words are short: without them, unlike lines of one language get unlike hashes
     words = words.where((F.length("word") >= LONG_WORD) | ~F.col("has_long"))
     words = words.select("k1", "k2", "doc", "line", "size", *[F.xxhash64(F.lit(half), F.col("word")).alias(f"h{half}") for half in range(2)])
@@ -138,8 +140,9 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, least: float)
     spots = lines.select("id", "doc", "line").join(broadcast_below(ids), "id")
     held = spots.groupBy("doc").agg(F.collect_list(F.struct("line", "id")).alias("spots"))  # at most a document's own lines
     text = docs.select(F.col("doc_id").alias("doc"), "text").join(broadcast_below(stage(held)), "doc")
-    text = text.withColumn("raw", normal_lines("text")).select("raw", F.explode("spots").alias("s"))
-    text = text.select(F.col("s.id").alias("id"), F.trim(F.get(F.col("raw"), F.col("s.line"))).alias("norm"))
+    text = text.withColumn("raw", F.split("text", "\n")).select("raw", F.explode("spots").alias("s"))
+    text = text.select(F.col("s.id").alias("id"), F.get(F.col("raw"), F.col("s.line")).alias("raw"))
+    text = text.select("id", F.trim(F.element_at(normal_lines("raw"), 1)).alias("norm"))
     text = text.groupBy("id").agg(F.first("norm").alias("norm"))
     both = pairs.join(text.toDF("a", "a_norm"), "a").join(text.toDF("b", "b_norm"), "b")
     longer = F.greatest(F.length("a_norm"), F.length("b_norm"))
