@@ -84,25 +84,24 @@ def _near(a: str, b: str, least: float) -> Column:
 def similar_lines(lines: DataFrame, docs: DataFrame, least: float, centres: tuple[int, ...] = (4, 16)) -> DataFrame | None:
     """(node, component) of lines that are linked: they share a block, differ in at most MOST_BITS bits and have edit similarity >= least.
 
-    One shuffle by bucket: a line meets the three lines before it in hash order
-    and the bucket's first two. That is every pair of a bucket of up to four
-    lines. In larger buckets, whose keys are few, lines that are in no centre's
+    One shuffle by bucket: a line meets the line before it in hash order and
+    the bucket's first. That is every pair of a bucket of up to three lines. In larger buckets, whose keys are few, lines that are in no centre's
     component meet more centres, in as many rounds as ``centres`` has numbers.
     """
     rows = _buckets(lines)
     w = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(8), "id"), "id")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     me = F.struct("id", "s0", "s1", "size")
-    mates = [F.lag(me, i).over(w) for i in (1, 2, 3)] + [F.nth_value(me, i).over(before) for i in (1, 2)]
+    mates = [F.lag(me, 1).over(w), F.nth_value(me, 1).over(before)]
     met = rows.select("*", F.row_number().over(w).alias("r"), *[m.alias(f"m{i}") for i, m in enumerate(mates)])
     near = [F.coalesce(_near("", f"m{i}.", least), F.lit(False)) for i in range(len(mates))]
-    met = met.where(reduce(lambda a, b: a | b, near) | (F.col("r") == 5))
+    met = met.where(reduce(lambda a, b: a | b, near) | (F.col("r") == 4))
     met = stage(met.select("key", "id", "r", F.array_compact(F.array(*[F.when(n, F.col(f"m{i}.id")) for i, n in enumerate(near)])).alias("mates")))
     pairs = met.select("id", F.explode("mates").alias("mate")).where("id <> mate")
     pairs = stage(pairs.select(F.least("id", "mate").alias("a"), F.greatest("id", "mate").alias("b")).distinct())
     links = stage(_verified(pairs, lines, docs, least))
     labels = None if links.isEmpty() else components(links)
-    large = stage(met.where("r = 5").select("key"))
+    large = stage(met.where("r = 4").select("key"))
     rows = stage(rows.join(broadcast_below(large), "key", "left_semi"))
     for few in centres:
         if rows.isEmpty():
