@@ -45,7 +45,8 @@ def test_whole_numbers(spark):
     assert got[0][:2] == [32.0, -1.0] and got[0][2] == 6.4e301 and got[0][3] is None and np.isnan(got[0][4]) and got[1] is None
 
 
-def test_bounds_cut_branches():
+def test_bounds_cut_branches(monkeypatch):
+    monkeypatch.setattr(topk, "LEAF_ROWS", 32)  # leaves well under the 600 rows of a cluster
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(size=(600, 8)) + 40 * np.eye(8)[i % 8] for i in range(8)])
     tree = topk.ball_tree(x)
