@@ -126,7 +126,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, per_cent: int) -> DataFr
     return left.join(right, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80, centres: tuple[int, ...] = (1, 4, 8)) -> DataFrame:
+def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
     Documents are linked when the Jaccard similarity of their sets of k-word
@@ -136,13 +136,14 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80, centres: tuple[
     Documents with equal sets form one class first, named by its smallest
     doc_id, so a mass of exact copies costs one row from there on. Classes that
     share a band's bucket are candidates. In a bucket of up to PAIRS_UP_TO
-    classes every two are compared. In a larger one the classes are compared
-    with centres[0] of them, a star; those that are still in no centre's
-    component form the next round's bucket, with centres[1] of them, and so on.
-    Links of two classes that are only ever outside the stars of such buckets
-    may be missed; they mostly share smaller buckets too, where their common
-    changes are (see the README for the measured recall). More and larger
-    centres compare more, up to all pairs.
+    classes every two are compared. In a larger one a round compares all
+    classes with a few centres, a star. Then the centres leave the bucket, as
+    they have met everything in it; all others stay, linked or not. Buckets
+    that lie in one component are done. The number of centres grows eightfold
+    a round until no bucket is open, so every two classes of a bucket are
+    compared, or in one component already, or too unlike in size: nothing is
+    capped. The first centres are the classes that meet the most others, as an
+    original does among its edited copies, so most buckets close early.
 
     Null, empty or wordless text: n_shingles 0, its own component. Null doc_id:
     component null, kept. Rows that repeat a doc_id each go by their own text.
@@ -154,20 +155,23 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80, centres: tuple[
     classes = stage(sets.groupBy("k1", "k2", "n_shingles").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").cast("long").alias("doc")))
     rows = stage(classes.select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")))
     named = stage(classes.select("k1", "k2", "n_shingles", F.col("doc").alias("rep")))
+    shared = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
+    rows = rows.join(broadcast_below(shared), "key")
+    rows = stage(rows.select("key", "doc", "n", F.sum("m").over(Window.partitionBy("doc")).alias("met")))
     links, labels, tested = None, None, None
-    for turn, few in enumerate(centres):
-        sizes = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
-        now = rows.join(broadcast_below(sizes), "key")
+    few = 1
+    while True:
+        now = rows.withColumn("comp", F.col("doc"))
         if labels is not None:
-            now = now.join(broadcast_below(labels.withColumnRenamed("node", "doc")), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
-        else:
-            now = now.withColumn("comp", F.col("doc"))
-        now = stage(now)
+            now = rows.join(broadcast_below(labels.withColumnRenamed("node", "doc")), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
+        # buckets that still hold two components
+        torn = now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("m"))
+        torn = stage(torn.where("low < high").select("key", "m"))
+        now = stage(now.join(broadcast_below(torn), "key"))
         if now.isEmpty():
             break
-        by = F.col("doc") if not turn else F.xxhash64(F.lit(turn), "key", "doc")
-        top = now.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(by, "doc")))
-        top = top.where((F.col("r") <= PAIRS_UP_TO) & ((F.col("m") <= PAIRS_UP_TO) | (F.col("r") <= few)))
+        top = now.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("met"), "doc")))
+        top = top.where((F.col("r") <= max(few, PAIRS_UP_TO)) & ((F.col("m") <= PAIRS_UP_TO) | (F.col("r") <= few)))
         top = stage(top.select("key", F.col("doc").alias("c_doc"), F.col("n").alias("c_n"), F.col("comp").alias("c_comp")))
         star = now.join(broadcast_below(top), "key").where("comp <> c_comp")
         # sets whose sizes differ too much cannot be similar enough
@@ -182,15 +186,9 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80, centres: tuple[
             links = new if links is None else links.unionByName(new)
             if not new.isEmpty():
                 labels = components(links)
-        # large buckets stay open for classes in no centre's component
-        left = now.where(F.col("m") > PAIRS_UP_TO).select("key", "doc", "n")
-        if labels is not None:
-            known = broadcast_below(labels)
-            left = left.join(known, F.col("doc") == F.col("node"), "left").select("key", "doc", "n", F.coalesce("component", "doc").alias("comp"))
-            done = top.join(known, F.col("c_doc") == F.col("node"), "left").select("key", F.coalesce("component", "c_doc").alias("comp"))
-        else:
-            left, done = left.withColumn("comp", F.col("doc")), top.select("key", F.col("c_doc").alias("comp"))
-        rows = stage(left.join(broadcast_below(stage(done.distinct())), ["key", "comp"], "left_anti").select("key", "doc", "n"))
+        met = broadcast_below(top.select("key", F.col("c_doc").alias("doc")))
+        rows = stage(now.join(met, ["key", "doc"], "left_anti").select("key", "doc", "n", "met"))
+        few *= 8
     if labels is not None:
         named = stage(named.join(broadcast_below(labels), F.col("rep") == F.col("node"), "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("rep")))
     out = base.drop("bands").join(named, ["k1", "k2", "n_shingles"], "left")

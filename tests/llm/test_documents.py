@@ -88,6 +88,23 @@ def test_near_copies_of_one_original_that_do_not_resemble_each_other(spark):
     assert got == comp and len(set(comp.values())) > 20
 
 
+def test_near_copies_of_one_late_original(spark):
+    """Each copy is linked to the original alone, which is not the first of any bucket."""
+    r = random.Random(12)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for at in r.sample(range(2, 98), 2):
+            w[at] = f"n{r.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+    rows.append((999, " ".join(base)))
+    sets = {i: {tuple(t.split()[j : j + 3]) for j in range(98)} for i, t in rows}
+    comp = closure(sets, [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])])
+    got = {r["doc_id"]: r["component_id"] for r in nearcopies.near_copies(docs_of(spark, rows), 3, 85).collect()}
+    assert got == comp and set(comp.values()) == {0}
+
+
 def test_near_copies_empty_and_repeated_ids(spark):
     assert nearcopies.near_copies(docs_of(spark, [])).count() == 0
     got = sorted(map(tuple, nearcopies.near_copies(docs_of(spark, [(4, "a b c"), (4, "a b c"), (2, "a b c"), (4, "z")])).collect()))
