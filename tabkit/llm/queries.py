@@ -73,7 +73,7 @@ from embeddings m left join l on l.v = m.vec_id left join n on n.a = m.vec_id
 
 @query("op10_embedding_near_dedup", NEAR_VECTORS_SQL)
 def op10(spark, sf):
-    return near_vectors(table(spark, sf, "embeddings"), least=0.95)
+    return near_vectors(table(spark, sf, "embeddings"), least=0.95, exact=True)
 
 
 @query("op3_best_fit_packing")
