@@ -81,12 +81,15 @@ def _near(a: str, b: str, least: float) -> Column:
     return (F.least(f"{a}size", f"{b}size") >= least * F.greatest(f"{a}size", f"{b}size")) & (bits <= MOST_BITS)
 
 
-def similar_lines(lines: DataFrame, docs: DataFrame, least: float, centres: tuple[int, ...] = (4, 16)) -> DataFrame | None:
+def similar_lines(lines: DataFrame, docs: DataFrame, least: float) -> DataFrame | None:
     """(node, component) of lines that are linked: they share a block, differ in at most MOST_BITS bits and have edit similarity >= least.
 
     One shuffle by bucket: a line meets the line before it in hash order and
-    the bucket's first. That is every pair of a bucket of up to three lines. In larger buckets, whose keys are few, lines that are in no centre's
-    component meet more centres, in as many rounds as ``centres`` has numbers.
+    the bucket's first. That is every pair of a bucket of up to three lines. In
+    larger buckets all lines then meet a few centres, which leave the bucket, as
+    they have met everything in it; the others stay, linked or not. Buckets that
+    lie in one component are done. The number of centres grows fourfold a round
+    until no bucket is open, so no pair of two components is left out.
     """
     rows = _buckets(lines)
     w = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(8), "id"), "id")
@@ -103,12 +106,16 @@ def similar_lines(lines: DataFrame, docs: DataFrame, least: float, centres: tupl
     labels = None if links.isEmpty() else components(links)
     large = stage(met.where("r = 4").select("key"))
     rows = stage(rows.join(broadcast_below(large), "key", "left_semi"))
-    for few in centres:
-        if rows.isEmpty():
-            break
+    few = 4
+    while True:
         now = rows.withColumn("comp", F.col("id"))
         if labels is not None:
             now = rows.join(broadcast_below(labels.withColumnRenamed("node", "id")), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+        # buckets that still hold two components
+        torn = now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
+        now = stage(now.join(broadcast_below(stage(torn)), "key", "left_semi"))
+        if now.isEmpty():
+            break
         top = now.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64(F.lit(few), "id"), "id"))).where(F.col("r") <= few).drop("r")
         top = stage(top.select("key", *[F.col(c).alias(f"c_{c}") for c in ("id", "s0", "s1", "size", "comp")]))
         star = now.join(broadcast_below(top), "key").where((F.col("comp") != F.col("c_comp")) & _near("", "c_", least))
@@ -120,12 +127,9 @@ def similar_lines(lines: DataFrame, docs: DataFrame, least: float, centres: tupl
             links = links.unionByName(new)
             if not new.isEmpty():
                 labels = components(links)
-        if labels is None:
-            break
-        known = broadcast_below(labels)
-        left = rows.join(known, F.col("id") == F.col("node"), "left").select(*rows.columns, F.coalesce("component", "id").alias("comp"))
-        done = top.join(known, F.col("c_id") == F.col("node"), "left").select("key", F.coalesce("component", "c_id").alias("comp")).distinct()
-        rows = stage(left.join(broadcast_below(stage(done)), ["key", "comp"], "left_anti").select(rows.columns))
+        met = broadcast_below(top.select("key", F.col("c_id").alias("id")))
+        rows = stage(now.join(met, ["key", "id"], "left_anti").select(rows.columns))
+        few *= 4
     return labels
 
 

@@ -350,3 +350,21 @@ def test_lines(spark):
     assert not wrong
     assert all(r["n_lines"] - r["n_removed"] == (len(r["text"].split("\n")) if r["text"] or r["n_removed"] < r["n_lines"] else 0) for r in got if r["text"] is not None)
     assert lines.dedup_lines(df.where("1 = 0")).count() == 0
+
+
+def test_lines_of_one_large_bucket(spark):
+    """Lines with the same long word share their whole SimHash; each resembles one other line only."""
+    r = random.Random(8)
+    short = lambda: "".join(r.choice("abcdefghij") for _ in range(4))
+    all_lines = []
+    for _ in range(150):
+        w = [short() for _ in range(5)]
+        all_lines.append(" ".join(["heading", *w]))
+        all_lines.append(" ".join(["heading", *w[:4], w[4][:3] + "z"]))
+    r.shuffle(all_lines)
+    close = [(a, b) for a, b in itertools.combinations(range(300), 2) if distance(all_lines[a], all_lines[b]) <= 0.2 * max(len(all_lines[a]), len(all_lines[b]))]
+    comp = closure(range(300), close)
+    assert len(set(comp.values())) == 150
+    df = spark.createDataFrame(list(enumerate(all_lines)), "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: x["n_removed"] for x in lines.dedup_lines(df).collect()}
+    assert got == {i: int(comp[i] != i) for i in range(300)}
