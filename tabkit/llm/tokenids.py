@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -17,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm.batches import broadcast_below, stage_batched
+from tabkit.llm.batches import broadcast_below, small_batches, stage_batched
 from tabkit.scale import running
 from tabkit.session import scratch_dir, stage
 
 BLOCK_BITS = 512
 CHUNK_IDS = 1 << 18
 SLICE_BYTES = 32 << 20
-KEPT_PIECES, LONGEST_KEPT, PIECE_CHARS = 200_000, 48, 1 << 20
+KEPT_PIECES, LONGEST_KEPT = 800_000, 48
 
 
 class Codes:
@@ -99,18 +100,30 @@ class Codes:
 
 
 SPACE = " \t\n\r\x0b\x0c"  # fixed: white space to every pattern engine
-PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"  # fixed: letters to every pattern engine
+WORD = f" ?[{LETTER}]++(?![^\x00-\x7f])"
+PIECES = re.compile(f"{WORD}|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+ONE_WORD = re.compile(f" ?[{LETTER}]+")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 
 
-class Encoder(dict):
-    """Ids of texts by a byte-level BPE file of the tokenizers library; remembers KEPT_PIECES pieces.
+def byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for 256 and up."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + k for k, b in enumerate(rest)}
+
 
-    The file's word pattern never lets white space follow other characters
-    inside one word, so a text may be cut before any white space that follows
-    something else. Pieces repeat, texts do not. Texts with other kinds of
-    white space or with the name of an added token, and files with another
-    word pattern or a normalizer, are encoded whole.
+class Encoder(dict):
+    """Ids of texts by a byte-level BPE file of the tokenizers library, as bytes; remembers KEPT_PIECES pieces.
+
+    Pieces repeat, texts do not. The file's word pattern reads from left to
+    right and looks ahead only behind white space, so a text may be cut before
+    white space that follows something else, and behind a run of letters. A
+    piece that is one word of the pattern goes straight to the model, others
+    through the whole tokenizer. Texts with other kinds of white space or with
+    the name of an added token, and files with another word pattern or a
+    normalizer, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -120,19 +133,25 @@ class Encoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.number = [i.to_bytes(4, sys.byteorder) for i in range(self.tokenizer.get_vocab_size())]
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         words = spec.get("pre_tokenizer") or {}
         plain = words.get("type") == "ByteLevel" and not words.get("add_prefix_space") and words.get("use_regex", True)
-        self.by_piece = bool(plain and not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding"))
+        self.by_piece = bool(plain and not any(spec.get(k) for k in ("normalizer", "truncation", "padding")))
         names = [t["content"] for t in spec.get("added_tokens", [])]
         self.names = re.compile("|".join(map(re.escape, names))) if names else None
 
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32).tobytes()
+
+    def word(self, piece: str) -> bytes:
+        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+        return b"".join([self.number[t.id] for t in tokens])
 
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.whole(piece)
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.word(piece) if ONE_WORD.fullmatch(piece) else self.whole(piece)
         if len(piece) <= LONGEST_KEPT:
             if len(self) >= KEPT_PIECES:
                 self.clear()
@@ -141,8 +160,8 @@ class Encoder(dict):
 
     def ids(self, text: str) -> np.ndarray:
         if not self.by_piece or OTHER_SPACE.search(text) or self.names and self.names.search(text):
-            return np.array(self.whole(text), dtype=np.uint32)
-        return np.fromiter(itertools.chain.from_iterable(map(self.__getitem__, PIECES.findall(text))), dtype=np.uint32)
+            return np.frombuffer(self.whole(text), dtype=np.uint32)
+        return np.frombuffer(b"".join(map(self.__getitem__, PIECES.findall(text))), dtype=np.uint32)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -205,9 +224,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0
         if docs_:
             yield _chunk(slice_, seq, docs_, counts, ids, kind_)
 
-    chunks = stage_batched(cut.mapInArrow(encode, f"slice int, seq int, n long, docs array<{kind}>, counts array<long>, {LEVELS}"), rows=500)
-    chunks.write.parquet(f"{path}/ids")
-    sizes = running(chunks.select("slice", "seq", "n"), None, [F.col("slice"), F.col("seq")], {"upto": F.col("n")})
+    chunks = cut.mapInArrow(encode, f"slice int, seq int, n long, docs array<{kind}>, counts array<long>, {LEVELS}")
+    with small_batches(docs.sparkSession, rows=500):
+        chunks.write.parquet(f"{path}/ids")
+    sizes = running(docs.sparkSession.read.parquet(f"{path}/ids").select("slice", "seq", "n"), None, [F.col("slice"), F.col("seq")], {"upto": F.col("n")})
     sizes.select("slice", "seq", "n", (F.col("upto") - F.col("n")).alias("first")).write.parquet(f"{path}/chunks")
 
 
@@ -217,7 +237,7 @@ def _codes(batch: pa.RecordBatch, i: int, n: int, first: int) -> Codes:
 
 
 def read_documents(spark: SparkSession, path: str, id_column: str = "doc_id") -> DataFrame:
-    """id_column, start, n_tokens, ids_crc32 per written document, each read by its own range of the codes."""
+    """id_column, start, n_tokens, ids_crc32 per written document, read back from the codes of its chunk."""
     files = spark.read.parquet(f"{path}/ids")
     kind = files.schema["docs"].dataType.elementType
 
@@ -228,7 +248,8 @@ def read_documents(spark: SparkSession, path: str, id_column: str = "doc_id") ->
                 counts = np.array(batch.column(4)[i].as_py(), dtype=np.int64)
                 at = np.concatenate([[0], np.cumsum(counts)])
                 codes = _codes(batch, i, n, 5)
-                sums = [zlib.crc32(codes.read(int(a), int(b)).astype("<u4").tobytes()) for a, b in zip(at, at[1:])]
+                ids = memoryview(codes.read(0, n).astype("<u4")).cast("B")
+                sums = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in itertools.pairwise(at.tolist())]
                 docs = batch.column(3).slice(i, 1).flatten()
                 m = len(counts)
                 yield pa.RecordBatch.from_arrays([pa.array([slice_] * m, pa.int32()), pa.array([seq] * m, pa.int32()), docs, pa.array(at[:-1]), pa.array(counts), pa.array(sums, pa.int64())], ["slice", "seq", id_column, "at", "n_tokens", "ids_crc32"])
