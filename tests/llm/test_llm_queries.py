@@ -19,7 +19,7 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
@@ -32,6 +32,6 @@ def test_twin(spark, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
