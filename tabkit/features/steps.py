@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, log2
 
 import numpy as np
 from pyspark.ml import Model
-from pyspark.ml.feature import CountVectorizerModel, PCA, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, PCA, StopWordsRemover, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import LinearRegression
@@ -16,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabkit.features.dictionary import DictionaryStep, SparseBlocks, learn_levels, learn_tokens
 from tabkit.features.levels import collect_levels
 from tabkit.features.recipe import LearnedColumns, RowChange, Selector, Step, lit, q, resolve, unique_names
 from tabkit.modelling import resample
@@ -365,20 +365,17 @@ class StepOther(Step):
         return out, []
 
 
-class StepNovel(Step):
+class StepNovel(DictionaryStep):
     """Levels not seen in training become one new level."""
 
+    form = "novel"
+
     def __init__(self, select, new: str = "new"):
         super().__init__(select)
         self.new = new
 
-    def learn(self, df, cols):
-        out = []
-        for c in cols:
-            lv = collect_levels(df, c)
-            test = f"{q(c)} IN ({', '.join(map(lit, lv))})" if lv else "false"
-            out.append((c, f"CASE WHEN {q(c)} IS NULL OR {test} THEN {q(c)} ELSE {lit(self.new)} END"))
-        return out, []
+    def options(self):
+        return {"form": self.form, "new": self.new}
 
 
 class StepUnknown(Step):
@@ -396,62 +393,46 @@ class StepDummy(Step):
     """0/1 columns per level but the first; missing gives NULL, an unseen level all zeros.
 
     A column is named after its level; levels whose names would be equal, signs
-    aside, get _2, _3, ...
+    aside, get _2, _3, ... With ``sparse`` the levels stay in a stored
+    dictionary and one vector column <c>_block holds them all, however many
+    there are; then missing is all zeros too.
     """
 
-    def __init__(self, select, keep_first: bool = False):
+    def __init__(self, select, keep_first: bool = False, sparse: bool = False):
         super().__init__(select)
-        self.keep_first = keep_first
+        self.keep_first, self.sparse = keep_first, sparse
+
+    def _fit(self, df):
+        if not self.sparse:
+            return super()._fit(df)
+        return SparseBlocks(learn_levels(df, resolve(self.select, df, self.roles)), {"form": "level", "keep_first": self.keep_first})
 
     def learn(self, df, cols):
         out = []
         for c in cols:
-            lv = collect_levels(df, c)
+            lv = collect_levels(df, c)  # they become column names
             for v, name in unique_names(lv).items():
                 if self.keep_first or v != lv[0]:
                     out.append((f"{c}_{name}", f"double(string({q(c)}) = {lit(v)})"))
         return out, cols
 
 
-def _codes(c: str, levels: Sequence[str]) -> str:
-    """SQL for the 1-based place of a value among levels, NULL if absent."""
-    return f"nullif(array_position(array({', '.join(map(lit, levels))}), string({q(c)})), 0L)" if levels else "NULL"
-
-
-class StepBinary(Step):
+class StepBinary(DictionaryStep):
     """Level numbers written as binary digit columns c_0, c_1, ...; unseen or missing gives zeros."""
 
-    def learn(self, df, cols):
-        out = []
-        for c in cols:
-            lv = collect_levels(df, c)
-            bits = max(1, ceil(log2(len(lv) + 1)))
-            code = f"coalesce({_codes(c, lv)}, 0L)"
-            out += [(f"{c}_{i}", f"shiftright({code}, {bits - 1 - i}) & 1L") for i in range(bits)]
-        return out, cols
+    form = "digits"
 
 
-class StepString2Factor(Step):
+class StepString2Factor(DictionaryStep):
     """Level index from 0 in alphabetical order; unseen or missing gives the next index."""
 
-    def learn(self, df, cols):
-        out = []
-        for c in cols:
-            lv = collect_levels(df, c)
-            out.append((c, f"coalesce({_codes(c, lv)} - 1, {len(lv)}L)"))
-        return out, []
+    form = "index"
 
 
-class StepRankEncode(Step):
+class StepRankEncode(DictionaryStep):
     """Each level becomes its rank by count, 1 the commonest; unseen gives NULL."""
 
-    def learn(self, df, cols):
-        out = []
-        for c in cols:
-            n = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count()
-            rows = n.orderBy(F.desc("count"), "v").collect()
-            out.append((c, _codes(c, [r["v"] for r in rows])))
-        return out, []
+    form, order = "rank", "count"
 
 
 # ---- splines ----------------------------------------------------------------
@@ -590,22 +571,17 @@ class StepTokenize(Step):
 # Letters, digits and inner apostrophes make a word; anything else breaks words.
 WORD_BREAK = r"[^\p{L}\p{N}']+"
 
-# Short English stop words.
-STOP_WORDS = (
-    "a about after all also an and any are as at be because been but by can could did do does each for from had has have he her his how i if in into is it its just me more most my no not of on only or other our out over own same she should so some such than that the their them then there these they this those through to too under until up very was we were what when where which while who why will with would you your"
-).split()
-
-
 class StepStopwords(Step):
-    """Remove listed tokens."""
+    """Remove listed tokens: Spark's own list of a language, or any words."""
 
-    def __init__(self, select, words: Sequence[str] = STOP_WORDS):
+    def __init__(self, select, words: Sequence[str] | None = None, language: str = "english"):
         super().__init__(select)
-        self.words = list(words)
+        self.words, self.language = words, language
 
     def learn(self, df, cols):
+        words = StopWordsRemover.loadDefaultStopWords(self.language) if self.words is None else list(self.words)
         # IN over literals is a hash lookup
-        return [(c, f"filter({q(c)}, t -> t NOT IN ({', '.join(map(lit, self.words))}))") for c in cols], []
+        return [(c, f"filter({q(c)}, t -> t NOT IN ({', '.join(map(lit, words))}))" if words else q(c)) for c in cols], []
 
 
 def token_counts(df: DataFrame, col: str) -> DataFrame:
@@ -655,14 +631,20 @@ class TermFrequencies(Model, DefaultParamsReadable, DefaultParamsWritable):
 
 
 class StepTf(Step):
-    """Term counts as columns, one per token seen in training; StepTokenfilter before it makes them fewer."""
+    """Term counts as columns, one per token seen in training; StepTokenfilter before it makes them fewer.
+
+    With ``sparse`` the tokens stay in a stored dictionary and one vector
+    column <c>_block holds all counts; rows without known tokens are all zeros.
+    """
 
-    def __init__(self, select, max_tokens: int | None = None):
+    def __init__(self, select, max_tokens: int | None = None, sparse: bool = False):
         super().__init__(select)
-        self.max_tokens = max_tokens
+        self.max_tokens, self.sparse = max_tokens, sparse
 
     def _fit(self, df):
         cols = resolve(self.select, df, self.roles)
+        if self.sparse:
+            return SparseBlocks(learn_tokens(df, cols, self.max_tokens), {"form": "token", "keep_first": True})
         return TermFrequencies([[c, sorted(kept_tokens(df, c, self.max_tokens))] for c in cols])
 
 

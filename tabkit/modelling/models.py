@@ -18,12 +18,23 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabkit.features.dictionary import block_size
 from tabkit.features.levels import collect_levels
 from tabkit.features.recipe import safe_name, unique_names
+from tabkit.modelling.boosting import Boosted, fit_boosted
 from tabkit.modelling.neighbours import NeighbourModel
 from tabkit.scale import exact_quantiles
 
 
+def labelled(df: DataFrame, label: str, levels: Sequence[str] | None) -> tuple[DataFrame, str]:
+    """df with the numeric _label, and the loss that goes with it."""
+    if levels is None:
+        return df.withColumn("_label", F.col(label).cast("double")), "squared"
+    lv = F.array(*[F.lit(v) for v in levels])
+    at = F.array_position(lv, F.col(label).cast("string"))
+    return df.withColumn("_label", F.when(at > 0, (at - 1).cast("double"))), "logistic" if len(levels) == 2 else "softmax"
+
+
 def prob(level) -> str:
     return f"prob_{safe_name(str(level))}"
 
@@ -41,10 +52,13 @@ PARAMS = {
     "rand_forest": {"trees", "min_n", "tree_depth", "mtry", "seed"},
     "bag_tree": {"trees", "min_n", "tree_depth", "seed"},
     "nearest_neighbor": {"neighbors", "weight_func"},
-    "boost_tree": {"trees", "learn_rate", "tree_depth", "min_n", "loss_reduction", "sample_size", "mtry", "stop_tol", "seed"},
+    "boost_tree": {"trees", "learn_rate", "tree_depth", "min_n", "loss_reduction", "sample_size", "mtry", "stop_iter", "penalty", "bins", "seed"},
 }
 
 
+MOST_NORMAL = 4096  # columns the normal equations take; wider fits go by gradients
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "_features", invalid: str = "keep") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid=invalid).transform(df)
 
@@ -72,6 +86,8 @@ class Fitted:
             raise ValueError(f"features named like the predictions to be written: {sorted(taken)}")
         cols = [c for c in df.columns if c not in made]
         df = df.select(*[F.col(f"`{c}`") for c in cols])
+        if isinstance(self.model, Boosted):
+            return self._array_outcome(self.model.transform(df), cols)
         if self.levels is None and isinstance(self.model, NeighbourModel):
             return self._neighbours(df).select(*cols, "pred")
         if self.levels is None:
@@ -80,27 +96,23 @@ class Fitted:
         if isinstance(self.model, NeighbourModel):
             p = self._neighbours(df)
             return p.select(*cols, "pred", *[F.get("p", i).alias(n) for i, n in enumerate(prob_columns(self.levels).values())])
-        if isinstance(self.model, list):
-            return self._one_vs_rest(df, cols)
         p = self.model.transform(self._vectors(df))
         arr = vector_to_array("probability")
         lv = F.array(*[F.lit(v) for v in self.levels])
         probs = [arr[i].alias(name) for i, name in enumerate(prob_columns(self.levels).values())]
         return p.select(*cols, F.get(lv, F.col("prediction").cast("int")).alias("pred"), *probs)
 
+    def _array_outcome(self, p: DataFrame, cols: list[str]) -> DataFrame:
+        """The array _p as pred, or as the likeliest level (ties to the first) and the probabilities."""
+        if self.levels is None:
+            return p.select(*cols, F.get("_p", F.lit(0)).alias("pred"))
+        lv = F.array(*[F.lit(v) for v in self.levels])
+        top = F.get(lv, (F.array_position("_p", F.array_max("_p")) - 1).cast("int"))
+        return p.select(*cols, top.alias("pred"), *[F.get("_p", F.lit(i)).alias(name) for i, name in enumerate(prob_columns(self.levels).values())])
+
     def _neighbours(self, df: DataFrame) -> DataFrame:
         return self.model.score(df.withColumn("v", F.array(*[F.col(f"`{c}`").cast("double") for c in self.features])), self.levels)
 
-    def _one_vs_rest(self, df: DataFrame, cols: list[str]) -> DataFrame:
-        p = self._vectors(df)
-        for i, m in enumerate(self.model):
-            p = m.transform(p).withColumn(f"_p{i}", vector_to_array("probability")[1])
-            p = p.drop("rawPrediction", "probability", "prediction")
-        total = sum((F.col(f"_p{i}") for i in range(len(self.levels))), F.lit(0.0))
-        probs = [(F.col(f"_p{i}") / total).alias(name) for i, name in enumerate(prob_columns(self.levels).values())]
-        pairs = F.array(*[F.struct((-F.col(f"_p{i}")).alias("k"), F.lit(v).alias("v")) for i, v in enumerate(self.levels)])
-        return p.select(*cols, F.array_min(pairs)["v"].alias("pred"), *probs)
-
     def score_expr(self) -> str:
         """The column that ranks rows: the prediction, or the second level's probability."""
         return "pred" if self.levels is None else prob_columns(self.levels)[self.levels[-1]]
@@ -129,11 +141,9 @@ class Spec:
             raise ValueError("mlp takes no case weights")
         if self.mode == "classification":
             levels = list(levels) if levels is not None else collect_levels(df, label)
-            lv = F.array(*[F.lit(v) for v in levels])
-            d = df.withColumn("_label", (F.array_position(lv, F.col(label).cast("string")) - 1).cast("double"))
         else:
             levels = None
-            d = df.withColumn("_label", F.col(label).cast("double"))
+        d, objective = labelled(df, label, levels)
         extra: dict = {}
         if self.kind == "nearest_neighbor":
             if weight:
@@ -145,26 +155,23 @@ class Spec:
             extra = hinge_columns(d, features, self.params.get("num_terms", 10), self.params.get("prod_degree", 1))
             for c, e in extra["columns"].items():
                 d = d.withColumn(c, F.expr(e))
+        if self.kind == "boost_tree":
+            return Fitted(self, features, fit_boosted(d, "_label", features, objective=objective, n_classes=len(levels or []), weight=weight, valid=valid, **self.params), levels, extra)
+        extra["widths"] = [block_size(d, c) or 1 for c in extra.get("inputs", features)]
         d = assemble(d, extra.get("inputs", features))
         keep = ["_features", "_label"] + [c for c in (weight, valid) if c]
         d = d.select(*keep).where("_label IS NOT NULL")
-        if self.kind == "boost_tree" and levels is not None and len(levels) > 2:
-            est = [self._estimator(levels, features, weight, valid)] * len(levels)
-            models = [
-                e.fit(d.withColumn("_label", (F.col("_label") == i).cast("double"))) for i, e in enumerate(est)
-            ]
-            return Fitted(self, features, models, levels, extra)
-        return Fitted(self, features, self._estimator(levels, features, weight, valid).fit(d), levels, extra)
-
-    def _estimator(self, levels, features, weight, valid):
-        p = self.params
+        return Fitted(self, features, self._estimator(levels, features, weight, valid, sum(extra["widths"])).fit(d), levels, extra)
+
+    def _estimator(self, levels, features, weight, valid, width=0):
+        p, wide = self.params, width > MOST_NORMAL
         cols = {"featuresCol": "_features", "labelCol": "_label"}
         seed = p.get("seed", 1)
         w = {"weightCol": weight} if weight else {}
         n_classes = len(levels) if levels else 0
         if self.kind == "linear_reg":
             if levels is None:
-                solver = {} if p.get("penalty") else {"solver": "normal"}
+                solver = {} if p.get("penalty") or wide else {"solver": "normal"}
                 return R.LinearRegression(**cols, **w, **solver, regParam=p.get("penalty", 0.0), elasticNetParam=p.get("mixture", 0.0), maxIter=p.get("epochs", 100))
             family = "binomial" if n_classes == 2 else "multinomial"
             return C.LogisticRegression(**cols, **w, family=family, regParam=p.get("penalty", 0.0), elasticNetParam=p.get("mixture", 0.0), maxIter=p.get("epochs", 100))
@@ -178,14 +185,6 @@ class Spec:
             mtry = "all" if bag else str(p["mtry"]) if "mtry" in p else "auto"
             args = dict(numTrees=p.get("trees", 25 if bag else 100), minInstancesPerNode=p.get("min_n", 1), maxDepth=p.get("tree_depth", 8), featureSubsetStrategy=mtry, seed=seed)
             return (C.RandomForestClassifier if levels else R.RandomForestRegressor)(**cols, **w, **args)
-        if self.kind == "boost_tree":
-            args = dict(
-                maxIter=p.get("trees", 20), stepSize=p.get("learn_rate", 0.3), maxDepth=p.get("tree_depth", 5), minInstancesPerNode=p.get("min_n", 1),
-                minInfoGain=p.get("loss_reduction", 0.0), subsamplingRate=p.get("sample_size", 1.0), featureSubsetStrategy=str(p["mtry"]) if "mtry" in p else "all", seed=seed,
-            )
-            if valid:
-                args |= {"validationIndicatorCol": valid, "validationTol": p.get("stop_tol", 0.01)}
-            return (C.GBTClassifier if levels else R.GBTRegressor)(**cols, **w, **args)
         raise ValueError(f"unknown model: {self.kind}")
 
 

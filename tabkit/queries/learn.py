@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabkit.features import steps as st
+from tabkit.features.dictionary import block_entries, level_contributions, level_weights
 from tabkit.features.levels import rank_table, with_codes
 from tabkit.features.recipe import Recipe, all_nominal_predictors, all_numeric_predictors, matches
 from tabkit.modelling import metrics as m
+from tabkit.modelling import models
 from tabkit.modelling import resample as rs
 from tabkit.queries.registry import query, table
 
@@ -195,6 +197,35 @@ def _(spark, d):
     return one_step(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), st.StepDummy(["o_orderpriority"]))
 
 
+SUPPLIED = "select l_orderkey, l_linenumber, 'S' || l_suppkey as s, l_extendedprice as y from lineitem"
+
+
+def supplied(spark, d):
+    li = table(spark, d, "lineitem")
+    return li.select("l_orderkey", F.concat(F.lit("S"), "l_suppkey").alias("s"), F.col("l_extendedprice").alias("y"))
+
+
+@query("F14_sparse_block", f"select l_orderkey, s as level, 1.0::double as value, count(*) as n from ({SUPPLIED}) where s <> (select min(s) from ({SUPPLIED})) group by 1, 2")
+def _(spark, d):
+    """All suppliers as one sparse column, read back in long form; the first level is all zeros."""
+    li = supplied(spark, d)
+    step = st.StepDummy(["s"], sparse=True).fit(li)
+    long = block_entries(step.transform(li), "s", ["l_orderkey"], step)
+    return long.groupBy("l_orderkey", "level", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("F14_sparse_linear_model", f"with m as (select s, avg(y) as m, count(*) as n from ({SUPPLIED}) group by 1) select s as level, round(m - (select m from m order by s limit 1), 2) as weight, round(m, 2) as pred, round(m - (select sum(m * n) / sum(n) from m), 2) as contribution from m")
+def _(spark, d):
+    """A linear fit on a block gives every level its own mean; weights and contributions are per level."""
+    li = supplied(spark, d)
+    step = st.StepDummy(["s"], sparse=True).fit(li)
+    rows = step.transform(li.select("s", "y", F.col("s").alias("level")))
+    fit = models.linear_reg().fit(rows, "y", ["s_block"])
+    pred = fit.predict(rows).groupBy("level").agg(F.avg("pred").alias("pred"))
+    shap = level_contributions(fit, step, "s", li.withColumn("level", F.col("s")), "level").groupBy("level").agg(F.avg("contribution").alias("contribution"))
+    return rounded(level_weights(fit, step, "s", li).join(pred, "level").join(shap, "level"), "weight", "pred", "contribution", digits=2)
+
+
 @query("F15_binary_digits", "select p_partkey, (code >> 2) & 1 as p_type_0, (code >> 1) & 1 as p_type_1, code & 1 as p_type_2 from (select p_partkey, dense_rank() over (order by p_type) as code from part)")
 def _(spark, d):
     return one_step(table(spark, d, "part").select("p_partkey", "p_type"), st.StepBinary(["p_type"]))
@@ -293,12 +324,13 @@ def _(spark, d):
     return t.where(F.size("text") > 0).select("doc_id", F.size("text").cast("long").alias("n"), F.size(F.array_distinct("text")).cast("long").alias("n_distinct"))
 
 
-STOP = ", ".join(f"'{w}'" for w in st.STOP_WORDS)
+STOP_WORDS = ["the", "and", "of", "in", "is", "et", "la", "die", "und"]
+STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 
 @query("F24_stop_words", f"select doc_id, count(*) as n from ({TOK}) where token not in ({STOP}) group by 1")
 def _(spark, d):
-    t = Recipe().add(st.StepTokenize(["text"]), st.StepStopwords(["text"])).prep(table(spark, d, "documents").select("doc_id", "text")).juice()
+    t = Recipe().add(st.StepTokenize(["text"]), st.StepStopwords(["text"], STOP_WORDS)).prep(table(spark, d, "documents").select("doc_id", "text")).juice()
     return t.where(F.size("text") > 0).select("doc_id", F.size("text").cast("long").alias("n"))
 
 
@@ -319,6 +351,14 @@ def _(spark, d):
     return t.select("doc_id", F.col(f"`{tf[0]}`").alias("first_term"), F.col(f"`{tf[1]}`").alias("second_term"), total.alias("total"))
 
 
+@query("F26_sparse_terms", f"select doc_id, token as level, count(*)::double as value from ({TOK}) group by 1, 2")
+def _(spark, d):
+    """Every token of every document as one sparse column of counts, read back in long form."""
+    t = tokens(spark, d)
+    step = st.StepTf(["text"], sparse=True).fit(t)
+    return block_entries(step.transform(t), "text", ["doc_id"], step)
+
+
 H = "md5(concat('{s}-', o_orderkey))"
 
 

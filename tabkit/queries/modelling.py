@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabkit.functions import udf
 from tabkit.modelling import ensemble, explain, metrics, models, neighbours, resample, tune
 from tabkit.operators import joins
+from tabkit.modelling.tree_shap import tree_contributions
 from tabkit.plans import adversarial, modelling as runs
 from tabkit.queries.registry import query, table
 from tabkit.session import stage
@@ -90,17 +91,57 @@ def _(spark, d):
     return value_report(models.rand_forest("regression", trees=10, mtry=2, min_n=5, tree_depth=5).fit(li, "l_extendedprice", NUM), li)
 
 
-@query("M6_boosted_trees")
+# one 0/1 predictor: a round moves a group's value by learn_rate * n / (n + penalty) of what it lacks
+STEP = "select {f} as f, l_quantity > 25 as big, count(*) as n, avg({y}) as m from lineitem where {w} group by 1, 2"
+PATH = "b.m + (g.m - b.m) * (1 - pow(1 - {eta} * g.n / (g.n + 1.0), {t}))"
+
+
+def stumps(spark, d):
+    return lines(spark, d).withColumn("big", (F.col("l_quantity") > 25).cast("int"))
+
+
+@query(
+    "M6_boosted_trees",
+    f"with g as ({STEP.format(f=1, y='l_extendedprice', w='l_orderkey % 5 <> 0')}), b as (select avg(l_extendedprice) as m from lineitem where l_orderkey % 5 <> 0) select big::int as big, n, round({PATH.format(eta=0.3, t=15)}, 4) as pred from g, b",
+)
 def _(spark, d):
-    li = lines(spark, d).withColumn("valid", F.col("l_orderkey") % 5 == 0)
-    spec = models.boost_tree("regression", trees=15, tree_depth=3, learn_rate=0.3, sample_size=0.8)
-    return value_report(spec.fit(li, "l_extendedprice", NUM, valid="valid"), li)
+    """Boosting with a held-out fifth follows its closed form on one predictor."""
+    li = stumps(spark, d).withColumn("valid", F.col("l_orderkey") % 5 == 0)
+    p = models.boost_tree("regression", trees=15, tree_depth=3, learn_rate=0.3).fit(li, "l_extendedprice", ["big"], valid="valid").predict(li.where("not valid"))
+    return rounded(p.groupBy("big").agg(F.count(F.lit(1)).alias("n"), F.avg("pred").alias("pred")), "pred", digits=4)
+
 
+SOFT = """with n as (select l_quantity > 25 as big, l_returnflag as k, count(*)::double as n from lineitem group by 1, 2), p as (select k, sum(n) / (select sum(n) from n) as p from n group by k),
+g as (select n.big, n.k, p.p, ln(p.p) + 0.3 * (n.n - t.t * p.p) / (t.t * 2 * p.p * (1 - p.p) + 1) as m from n join p using (k) join (select big, sum(n) as t from n group by 1) t using (big))
+select big::int as big, k as level, round(exp(m) / sum(exp(m)) over (partition by big), 6) as prob from g"""
 
-@query("M6_boosted_trees_multiclass")
+
+@query("M6_boosted_trees_multiclass", SOFT)
 def _(spark, d):
-    li = lines(spark, d)
-    return class_report(models.boost_tree(trees=5, tree_depth=3).fit(li, "l_returnflag", NUM), li)
+    """One softmax round: a Newton step of every class's margin from its share."""
+    li = stumps(spark, d)
+    fit = models.boost_tree(trees=1, tree_depth=3).fit(li, "l_returnflag", ["big"])
+    p = fit.predict(li).groupBy("big").agg(*[F.avg(c).alias(v) for v, c in models.prob_columns(fit.levels).items()])
+    return rounded(p.unpivot(["big"], fit.levels, "level", "prob"), "prob")
+
+
+# losses of every round by closed form; the fit ends 2 rounds after the best held-out loss
+STOPS = f"""with y as (select l_orderkey % {{v}} as f, l_quantity > 25 as big, {{y}} as y from lineitem), fs as (select distinct f from y), t as (select unnest(range(1, {{most}} + 1)) as t), c as (select unnest({{etas}}) as eta),
+g as (select fs.f, y.big, count(*) as n, avg(y) as m from fs join y on y.f <> fs.f group by 1, 2), b as (select fs.f, avg(y) as m from fs join y on y.f <> fs.f group by 1),
+q as (select g.f, g.big, c.eta, t.t, {PATH.format(eta='c.eta', t='t.t')} as pred from g join b using (f), c, t),
+l as (select q.f, q.eta, q.t, sqrt(avg((y - pred) ** 2) filter (y.f <> q.f)) as trn, sqrt(avg((y - pred) ** 2) filter (y.f = q.f)) as tst from q join y using (big) group by q.f, q.eta, q.t),"""
+
+
+@query(
+    "M6_boosting_stops_early",
+    STOPS.format(v=5, y="l_extendedprice", most=12, etas="[0.9]").replace("fs as (select distinct f from y)", "fs as (select 0 as f)")
+    + " r as (select t, tst, arg_min(t, tst) over (order by t) as top from l), e as (select coalesce(min(t) filter (t - top >= 2), 12) as e from r) select (max(top) filter (t = e))::int as rounds, count(*)::int as ran, round(min(tst), 4) as loss from r, e where t <= e",
+)
+def _(spark, d):
+    """The held-out fifth ends the fit two rounds after its best."""
+    li = stumps(spark, d).withColumn("valid", F.col("l_orderkey") % 5 == 0)
+    m = models.boost_tree("regression", trees=12, tree_depth=1, learn_rate=0.9, stop_iter=2).fit(li, "l_extendedprice", ["big"], valid="valid").model
+    return rounded(spark.createDataFrame([(len(m.rounds), len(m.history), min(h["loss_tst"] for h in m.history))], "rounds int, ran int, loss double"), "loss", digits=4)
 
 
 @query("M7_bagged_trees")
@@ -209,10 +250,16 @@ def _(spark, d):
     return rounded(r.metrics, "value", digits=3)
 
 
-@query("H4_boosting_rounds")
+@query(
+    "H4_boosting_rounds",
+    STOPS.format(v=3, y="l_extendedprice", most=8, etas="[0.3, 0.9]")
+    + " m as (select eta, t, avg(trn) as trn, avg(tst) as tst from l group by 1, 2), r as (select *, arg_min(t, tst) over (partition by eta order by t) as top from m), e as (select eta, coalesce(min(t) filter (t - top >= 2), 8) as e from r group by eta), w as (select r.eta, max(top) filter (t = e) as iter, max(e) as ran from r join e using (eta) group by r.eta) select (1 + (w.eta > 0.5)::int)::int as config, iter::int as iter, round(m.trn, 3) as loss_trn, round(m.tst, 3) as loss_tst, ran::int as ran, (round(iter / (2 / 3)) + 2)::int as rounds from w join m on m.eta = w.eta and m.t = w.iter",
+)
 def _(spark, d):
-    t = tune.tune_boost_rounds(models.boost_tree("regression", trees=8), folded(spark, d), [{"tree_depth": 2}, {"tree_depth": 4}], "l_extendedprice", NUM)
-    return rounded(t, "loss_trn", "loss_tst", digits=0)
+    """Folds boosted side by side stop together."""
+    li = stumps(spark, d).withColumn("fold", F.col("l_orderkey") % 3)
+    t = tune.tune_boost_rounds(models.boost_tree("regression", trees=8, tree_depth=1), li, [{"learn_rate": 0.3}, {"learn_rate": 0.9}], "l_extendedprice", ["big"], early_stop=2)
+    return rounded(t, "loss_trn", "loss_tst", digits=3)
 
 
 METRIC = "(select cast(substr(o_orderpriority, 1, 1) as int) as config, (o_custkey % 6)::int as fold, 'rmse' as metric, avg(o_totalprice) / 1000 as value from orders group by 1, 2)"
@@ -320,11 +367,32 @@ def _(spark, d):
     return out.select("l_orderkey", "l_linenumber", total)
 
 
-@query("I3_tree_contributions")
+TWO = "select l_quantity > 25 as a, l_tax > 0.04 as b, 10 * l_quantity + 40 * (l_tax > 0.04)::int + 30 * (l_tax > 0.04 and l_quantity > 25)::int as y from lineitem"
+
+
+@query(
+    "I3_tree_contributions",
+    f"with t as ({TWO}), g as (select a, b, count(*) as n, avg(y) as m from t group by 1, 2), z as (select avg(y) as v0 from t), v as (select g.*, sum(n * m) over (partition by a) / sum(n) over (partition by a) as va, v0 from g, z), w as (select b, sum(m * p) as vb from (select g.b, g.m, (select sum(n) from g x where x.a = g.a) / (select sum(n) from g) as p from g) group by b) select a::double as a, b::double as b, n, round(((va - v0) + (m - vb)) / 2, 4) as phi_a, round(((vb - v0) + (m - va)) / 2, 4) as phi_b, round(v0, 4) as baseline, round(m, 4) as total from v join w using (b)",
+)
+def _(spark, d):
+    """A tree that holds every group of two predictors: the values are those of all subsets of known predictors."""
+    li = lines(spark, d).withColumns({"a": (F.col("l_quantity") > 25).cast("double"), "b": (F.col("l_tax") > 0.04).cast("double")})
+    li = li.withColumn("y", 10 * F.col("l_quantity") + 40 * F.col("b") + 30 * F.col("a") * F.col("b"))
+    fit = models.boost_tree("regression", trees=1, tree_depth=2, learn_rate=1.0, penalty=0.0).fit(li, "y", ["a", "b"])
+    phi = tree_contributions(fit, li, "id").withColumnsRenamed({"a": "phi_a", "b": "phi_b"})
+    g = li.select("id", "a", "b").join(phi, "id").withColumn("total", F.col("phi_a") + F.col("phi_b") + F.col("baseline"))
+    g = g.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in ("phi_a", "phi_b", "baseline", "total")])
+    return rounded(g, "phi_a", "phi_b", "baseline", "total", digits=4)
+
+
+@query("I3_forest_contributions", "select p_partkey, 0.0::double as off from part")
 def _(spark, d):
-    p = table(spark, d, "part").withColumn("p_size", F.col("p_size").cast("double")).withColumn("brand", F.substring("p_brand", 7, 2).cast("double"))
-    fit = models.boost_tree("regression", trees=5, tree_depth=3).fit(p, "p_retailprice", ["p_size", "brand"])
-    return rounded(explain.tree_contributions(fit, p, p, "p_partkey", nsim=4), "p_size", "brand", "baseline", digits=3)
+    """Values and baseline of a forest add up to its prediction, row by row."""
+    p = table(spark, d, "part").withColumns({"p_size": F.col("p_size").cast("double"), "brand": F.substring("p_brand", 7, 2).cast("double")})
+    fit = models.rand_forest("regression", trees=5, tree_depth=4, seed=3).fit(p, "p_retailprice", ["p_size", "brand"])
+    phi = tree_contributions(fit, p, "p_partkey").select("p_partkey", (F.col("p_size") + F.col("brand") + F.col("baseline")).alias("total"))
+    out = fit.predict(p).select("p_partkey", "pred").join(phi, "p_partkey")
+    return out.select("p_partkey", (F.abs(F.round(F.col("pred") - F.col("total"), 6)) + 0.0).alias("off"))
 
 
 @query("I4_linear_shapley", "select c_custkey, round(2.5 * (c_acctbal - avg(c_acctbal) over ()), 4) as c_acctbal, round(-3.0 * (c_nationkey - avg(c_nationkey) over ()), 6) as c_nationkey from customer")

@@ -65,6 +65,14 @@ def stage_path(df: DataFrame) -> str:
     return path
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that stage() wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    for f in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keep_until_release(spark: SparkSession, path: str, table: str | None = None) -> None:
     """Note a folder written beside stage(), and the name it has in the catalog, for release()."""
     app = spark.sparkContext.applicationId
