@@ -23,6 +23,7 @@ from tabkit.features.levels import collect_levels
 from tabkit.features.recipe import safe_name, unique_names
 from tabkit.modelling.boosting import Boosted, fit_boosted
 from tabkit.modelling.neighbours import NeighbourModel
+from tabkit.modelling.network import Network, fit_network
 from tabkit.scale import exact_quantiles
 
 
@@ -48,7 +49,7 @@ def prob_columns(levels: Sequence[str]) -> dict[str, str]:
 PARAMS = {
     "linear_reg": {"penalty", "mixture", "epochs"},
     "mars": {"num_terms", "prod_degree", "penalty", "epochs"},
-    "mlp": {"hidden_units", "epochs", "seed"},
+    "mlp": {"hidden_units", "penalty", "epochs", "seed"},
     "rand_forest": {"trees", "min_n", "tree_depth", "mtry", "seed"},
     "bag_tree": {"trees", "min_n", "tree_depth", "seed"},
     "nearest_neighbor": {"neighbors", "weight_func"},
@@ -86,7 +87,7 @@ class Fitted:
             raise ValueError(f"features named like the predictions to be written: {sorted(taken)}")
         cols = [c for c in df.columns if c not in made]
         df = df.select(*[F.col(f"`{c}`") for c in cols])
-        if isinstance(self.model, Boosted):
+        if isinstance(self.model, (Boosted, Network)):
             return self._array_outcome(self.model.transform(df), cols)
         if self.levels is None and isinstance(self.model, NeighbourModel):
             return self._neighbours(df).select(*cols, "pred")
@@ -137,8 +138,6 @@ class Spec:
     def fit(self, df: DataFrame, label: str, features: Sequence[str], weight: str | None = None, valid: str | None = None, levels: Sequence[str] | None = None) -> Fitted:
         """``levels`` fixes the classes where df may lack one, as a fold does."""
         features = list(features)
-        if weight and self.kind == "mlp":
-            raise ValueError("mlp takes no case weights")
         if self.mode == "classification":
             levels = list(levels) if levels is not None else collect_levels(df, label)
         else:
@@ -157,6 +156,8 @@ class Spec:
                 d = d.withColumn(c, F.expr(e))
         if self.kind == "boost_tree":
             return Fitted(self, features, fit_boosted(d, "_label", features, objective=objective, n_classes=len(levels or []), weight=weight, valid=valid, **self.params), levels, extra)
+        if self.kind == "mlp":
+            return Fitted(self, features, fit_network(d, "_label", features, len(levels or []), weight=weight, **self.params), levels, extra)
         extra["widths"] = [block_size(d, c) or 1 for c in extra.get("inputs", features)]
         d = assemble(d, extra.get("inputs", features))
         keep = ["_features", "_label"] + [c for c in (weight, valid) if c]
@@ -177,9 +178,6 @@ class Spec:
             return C.LogisticRegression(**cols, **w, family=family, regParam=p.get("penalty", 0.0), elasticNetParam=p.get("mixture", 0.0), maxIter=p.get("epochs", 100))
         if self.kind == "mars":
             return R.LinearRegression(**cols, **w, regParam=p.get("penalty", 1e-3), elasticNetParam=1.0, maxIter=p.get("epochs", 100))
-        if self.kind == "mlp":
-            layers = [len(features), p.get("hidden_units", 5), n_classes]
-            return C.MultilayerPerceptronClassifier(**cols, layers=layers, maxIter=p.get("epochs", 100), seed=seed)
         if self.kind in ("rand_forest", "bag_tree"):
             bag = self.kind == "bag_tree"
             mtry = "all" if bag else str(p["mtry"]) if "mtry" in p else "auto"
@@ -193,8 +191,9 @@ def linear_reg(mode: str = "regression", **params) -> Spec:
     return Spec("linear_reg", mode, params)
 
 
-def mlp(**params) -> Spec:
-    return Spec("mlp", "classification", params)
+def mlp(mode: str = "classification", **params) -> Spec:
+    """One hidden layer (hidden_units, 0 for none) with weight decay (penalty)."""
+    return Spec("mlp", mode, params)
 
 
 def rand_forest(mode: str = "classification", **params) -> Spec:

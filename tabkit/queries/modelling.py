@@ -32,6 +32,10 @@ def rounded(df, *cols, digits=6):
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
+def stumps(spark, d):
+    return lines(spark, d).withColumn("big", (F.col("l_quantity") > 25).cast("int"))
+
+
 # ---- models -----------------------------------------------------------------
 
 
@@ -41,6 +45,17 @@ def _(spark, d):
     return rounded(models.univariate_logistic(li, "y", NUM), "estimate", "std_error", "statistic", "p_value", digits=4)
 
 
+@query(
+    "M1_univariate_logistic_odds",
+    "with t as (select l_quantity > 25 as big, l_returnflag = 'R' as y from lineitem), c as (select (count(*) filter (y and big))::double as a, (count(*) filter (not y and big))::double as b, (count(*) filter (y and not big))::double as c, (count(*) filter (not y and not big))::double as d from t), e as (select 'big' as term, ln(a / b) - ln(c / d) as estimate, sqrt(1 / a + 1 / b + 1 / c + 1 / d) as std_error from c union all select '(Intercept)', ln(c / d), sqrt(1 / c + 1 / d) from c) select term, round(estimate, 4) as estimate, round(std_error, 4) as std_error, round(estimate / std_error, 3) as statistic from e",
+)
+def _(spark, d):
+    """On a 0/1 predictor the slope is the log odds ratio."""
+    li = stumps(spark, d).withColumn("y", (F.col("l_returnflag") == "R").cast("int"))
+    out = models.univariate_logistic(li, "y", ["big"]).select("term", "estimate", "std_error", F.round("statistic", 3).alias("statistic"))
+    return rounded(out, "estimate", "std_error", digits=4)
+
+
 @query(
     "M2_linear_model",
     "with f as (select regr_slope(l_extendedprice, l_quantity) as b, regr_intercept(l_extendedprice, l_quantity) as a from lineitem) select l_linestatus, count(*) as n, round(avg(a + b * l_quantity), 3) as mean_pred, round(sqrt(avg((l_extendedprice - a - b * l_quantity) ** 2)), 3) as rmse from lineitem, f group by 1",
@@ -67,6 +82,22 @@ def _(spark, d):
     return value_report(models.linear_reg(penalty=10.0, mixture=0.5).fit(li, "l_extendedprice", NUM + ["p_retailprice"]), li)
 
 
+SHARES = "select big::int as big, l_returnflag as level, round(count(*) / sum(count(*)) over (partition by big), 4) as prob from (select l_quantity > 25 as big, l_returnflag from lineitem) group by 1, 2"
+
+
+def class_shares(fit, df):
+    """Mean probability of every level per group of the 0/1 predictor."""
+    p = fit.predict(df).groupBy("big").agg(*[F.avg(c).alias(v) for v, c in models.prob_columns(fit.levels).items()])
+    return rounded(p.unpivot(["big"], fit.levels, "level", "prob"), "prob", digits=4)
+
+
+@query("M3_multinomial_shares", SHARES)
+def _(spark, d):
+    """Without a penalty, one 0/1 predictor gives each group its own shares."""
+    li = stumps(spark, d)
+    return class_shares(models.linear_reg("classification", epochs=100).fit(li, "l_returnflag", ["big"]), li)
+
+
 @query("M3_multinomial")
 def _(spark, d):
     li = lines(spark, d)
@@ -79,6 +110,25 @@ def _(spark, d):
     return class_report(models.mlp(hidden_units=4, epochs=20).fit(li, "l_returnflag", NUM), li)
 
 
+@query("M4_network_shares", SHARES)
+def _(spark, d):
+    """A network on one 0/1 predictor reaches each group's shares."""
+    li = stumps(spark, d)
+    return class_shares(models.mlp(hidden_units=0, epochs=60).fit(li, "l_returnflag", ["big"]), li)
+
+
+@query(
+    "M4_network_penalised_regression",
+    """with t as (select l_extendedprice as y, l_quantity as x, 1 + 100 * l_tax as w from lineitem), s as (select sum(w * x) / sum(w) as mx, sum(w * y) / sum(w) as my, sum(w * x * x) / sum(w) as xx, sum(w * y * y) / sum(w) as yy, sum(w * x * y) / sum(w) as xy from t)
+    select l_linestatus, round(avg(my + (xy - mx * my) / (xx - mx * mx) / (1 + 0.5) * (l_quantity - mx)), 2) as pred, count(*) as n from lineitem, s group by 1""",
+)
+def _(spark, d):
+    """With weights and a penalty of a half, the scaled slope shrinks to its two thirds."""
+    li = table(spark, d, "lineitem").withColumn("w", 1 + 100 * F.col("l_tax"))
+    p = models.mlp("regression", hidden_units=0, penalty=0.5, epochs=40).fit(li, "l_extendedprice", ["l_quantity"], weight="w").predict(li)
+    return rounded(p.groupBy("l_linestatus").agg(F.avg("pred").alias("pred"), F.count(F.lit(1)).alias("n")), "pred", digits=2)
+
+
 @query("M5_random_forest")
 def _(spark, d):
     li = lines(spark, d)
@@ -96,10 +146,6 @@ STEP = "select {f} as f, l_quantity > 25 as big, count(*) as n, avg({y}) as m fr
 PATH = "b.m + (g.m - b.m) * (1 - pow(1 - {eta} * g.n / (g.n + 1.0), {t}))"
 
 
-def stumps(spark, d):
-    return lines(spark, d).withColumn("big", (F.col("l_quantity") > 25).cast("int"))
-
-
 @query(
     "M6_boosted_trees",
     f"with g as ({STEP.format(f=1, y='l_extendedprice', w='l_orderkey % 5 <> 0')}), b as (select avg(l_extendedprice) as m from lineitem where l_orderkey % 5 <> 0) select big::int as big, n, round({PATH.format(eta=0.3, t=15)}, 4) as pred from g, b",
