@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.scale import broadcast_if_small, cut_number, exact_quantiles, hash_cuts, hash_of, hash_unit, hash_unit_fine, names, row_numbers
+from tabkit.session import stage
 
 
 def numeric_strata(df: DataFrame, col: str, name: str = "stratum", bins: int = 4) -> DataFrame:
@@ -75,11 +76,30 @@ def poisson_weight(u: Column, most: int = 18) -> Column:
     return out
 
 
-def bootstraps(df: DataFrame, row_id: str, times: int, seed: int = 0, keep_out_of_bag: bool = True) -> DataFrame:
-    """One row per (row, replicate) with a Poisson(1) weight; weight 0 is out of bag."""
-    d = df.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(times))))
-    d = d.withColumn("weight", poisson_weight(hash_unit_fine(hash_of(seed, "replicate", row_id))))
-    return d if keep_out_of_bag else d.where("weight > 0")
+def bootstraps(df: DataFrame, row_id: str, times: int, seed: int = 0, keep_out_of_bag: bool = True, strata: str | Sequence[str] | None = None, exact: bool = False) -> DataFrame:
+    """One row per (row, replicate) with its weight, the times it is drawn; weight 0 is out of bag.
+
+    Weights are independent Poisson(1) counts, drawn without a shuffle. With
+    ``strata``, or ``exact``, every replicate makes exactly as many draws in a
+    stratum as it has rows (missing strata are one of their own): each row's
+    place in a hash order makes a draw of another place, draws are counted and
+    meet the rows by place.
+    """
+    replicates = F.explode(F.sequence(F.lit(1), F.lit(times)))
+    if not exact and strata is None:
+        d = df.withColumn("replicate", replicates)
+        d = d.withColumn("weight", poisson_weight(hash_unit_fine(hash_of(seed, "replicate", row_id))))
+        return d if keep_out_of_bag else d.where("weight > 0")
+    keys = names(strata)
+    key = F.to_json(F.array(*[F.col(k).cast("string") for k in keys])) if keys else F.lit("")
+    placed = df.withColumns({"_s": key, "_h": hash_of(seed, row_id)})
+    placed = stage(row_numbers(placed, "_s", [F.col("_h"), F.col(row_id)], "_at", totals="_n").drop("_h"))
+    rows = placed.withColumn("replicate", replicates)
+    u = hash_unit_fine(hash_of(seed, "replicate", "_s", "_at"))
+    drawn = rows.select("replicate", "_s", (F.floor(u * F.col("_n")) + 1).alias("_at"))
+    drawn = drawn.groupBy("replicate", "_s", "_at").agg(F.count(F.lit(1)).cast("int").alias("weight"))
+    out = rows.join(drawn, ["replicate", "_s", "_at"], "left" if keep_out_of_bag else "inner")
+    return out.select(*df.columns, "replicate", F.coalesce("weight", F.lit(0)).alias("weight"))
 
 
 def split_by_ids(df: DataFrame, train_ids: DataFrame, key: str, name: str = "is_train") -> DataFrame:

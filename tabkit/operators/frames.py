@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.scale import hash_cuts, hash_of, hash_unit, broadcast_if_small, join_null_safe, names, row_numbers
+from tabkit.scale import before_cut, broadcast_if_small, hash_cuts, hash_of, hash_unit, join_null_safe, names, rank_cut, row_numbers
 
 # ---- choosing columns -------------------------------------------------------
 
@@ -163,8 +163,19 @@ def sample_n(df: DataFrame, row_id: str, n: int, seed: int = 0) -> DataFrame:
     return df.crossJoin(F.broadcast(cut)).where(F.struct(h.alias("_h"), F.col(row_id).alias("_id")) <= F.col("_cut")).drop("_cut")
 
 
-def top_fraction(df: DataFrame, order: Sequence[Column], fraction: float) -> DataFrame:
-    """The first floor(fraction * rows) rows of a total order."""
+def top_fraction(df: DataFrame, order: Sequence[Column] | Sequence[str], fraction: float) -> DataFrame:
+    """The first floor(fraction * rows) rows of a total order.
+
+    An order of names, a number ('-x' descends, missing last) and a unique id,
+    finds the one row to cut at and moves no other; an order of columns may be
+    anything and numbers all rows.
+    """
+    if all(isinstance(o, str) for o in order):
+        (value, row_id), rows = order, df.count()
+        down, value = value.startswith("-"), value.removeprefix("-")
+        # the same product as a column would give
+        cut = rank_cut(df, value, row_id, int(rows * fraction), down)
+        return before_cut(df, cut, value, row_id, down).where("_kept").drop("_kept")
     num = row_numbers(df, None, order, "_rn", totals="_n")
     return num.where(F.col("_rn") <= F.floor(F.col("_n") * F.lit(fraction))).drop("_rn", "_n")
 

@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.scale import join_null_safe, names, near_rows, range_slices
+from tabkit.scale import broadcast_if_small, join_null_safe, names, near_rows, range_slices
 from tabkit.session import stage
 
 
@@ -64,54 +64,77 @@ def decompose(df: DataFrame, keys, time: str, x: str, period: int, phase: Column
 def smooth(df: DataFrame, keys, time: str, x: str, alpha: float | str, parts: int | None = None) -> DataFrame:
     """Simple exponential smoothing: adds ``level`` (after the row) per key.
 
-    The first level is the first value. The recursion is a chain of maps
-    s -> a*s + b, so every range slice is smoothed alone and then shifted by the
-    level its predecessor ended with; one long series uses all executors.
-    ``alpha`` may be a column holding the weight.
+    The first level is the first value; a missing value leaves the level as it
+    is, and before the first value there is none. The recursion is a chain of
+    maps s -> a * s + b (the identity where a value is missing), so every range
+    slice is smoothed alone; the maps of whole slices are composed in a prefix
+    scan and give each slice the level it starts from. One long series uses all
+    executors. ``alpha`` may be a column holding the weight; times are distinct
+    within a key.
     """
     keys = names(keys)
     cols = df.columns
     d = df if isinstance(alpha, str) else df.withColumn("_alpha", F.lit(float(alpha)))
     acol = alpha if isinstance(alpha, str) else "_alpha"
+    d = d.withColumn("_y", F.when(~F.isnan(F.col(x).cast("double")), F.col(x).cast("double")))
     cut = range_slices(d, [*[F.col(k) for k in keys], F.col(time)], parts)
-    first = cut.groupBy(*keys).agg(F.min("_slice").alias("_first"))
-    cut = join_null_safe(cut, first, keys, "inner").withColumn("_start", F.col("_slice") == F.col("_first"))
+    # the slice that holds a key's first value starts its chain
+    first = cut.groupBy(*keys).agg(F.min(F.when(F.col("_y").isNotNull(), F.col("_slice"))).alias("_first"))
+    cut = join_null_safe(cut, first, keys, "inner")
     schema = T.StructType([*cut.schema.fields, T.StructField("_a", T.DoubleType()), T.StructField("_b", T.DoubleType())])
 
     def local(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values(time, kind="stable")
-        w = float(p[acol].iloc[0])
-        v = p[x].to_numpy(float)
-        if p["_start"].iloc[0]:
-            p["_a"], p["_b"] = 0.0, pd.Series(v).ewm(alpha=w, adjust=False).mean().to_numpy()
+        w, v, begins = float(p[acol].iloc[0]), p["_y"].to_numpy(float), p["_first"].iloc[0]
+        if pd.isna(begins) or p["_slice"].iloc[0] < begins:
+            p["_a"], p["_b"] = np.nan, np.nan
+        elif p["_slice"].iloc[0] == begins:
+            p["_a"], p["_b"] = 0.0, pd.Series(v).ewm(alpha=w, adjust=False, ignore_na=True).mean().to_numpy()
         else:
-            p["_a"] = (1 - w) ** np.arange(1, len(v) + 1)
-            p["_b"] = pd.Series(np.r_[0.0, v]).ewm(alpha=w, adjust=False).mean().to_numpy()[1:]
+            p["_a"] = (1 - w) ** np.cumsum(~np.isnan(v))
+            p["_b"] = pd.Series(np.r_[0.0, v]).ewm(alpha=w, adjust=False, ignore_na=True).mean().to_numpy()[1:]
         return p
 
     part = stage(cut.groupBy("_slice", *keys).applyInPandas(local, schema))
-    ends = part.groupBy(*keys, "_slice").agg(F.max_by(F.struct("_a", "_b"), time).alias("e"))
-    # at most one entry per slice
-    chain = ends.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_slice", "e"))).alias("chain"))
-    j = join_null_safe(part, chain, keys, "inner")
-    prev = F.aggregate(
-        F.filter("chain", lambda s: s["_slice"] < F.col("_slice")),
-        F.lit(0.0),
-        lambda acc, s: s["e"]["_a"] * acc + s["e"]["_b"],
-    )
-    return j.withColumn("level", F.col("_a") * prev + F.col("_b")).select(*cols, "level")
+    ends = part.where("_slice >= _first").groupBy(*keys, "_slice", "_first").agg(F.max_by(F.struct("_a", "_b"), time).alias("e"))
+    starts = _slice_levels(ends.select(*keys, "_slice", "_first", "e._a", "e._b"), keys)
+    j = join_null_safe(part, broadcast_if_small(starts), ["_slice", *keys], "left")
+    level = F.nanvl("_b", F.lit(None).cast("double")) + F.when(F.col("_slice") > F.col("_first"), F.col("_a") * F.col("_from")).otherwise(0.0)
+    return j.withColumn("level", level).select(*cols, "level")
+
+
+def _slice_levels(ends: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _slice, _from): the level a key's later slices start from.
+
+    A prefix scan: maps of 1, 2, 4, ... slices before a slice are composed with
+    its own, so s slices of a key take log2(s) small joins. Only keys that span
+    slices are in it, at most two rows per slice boundary.
+    """
+    by = Window.partitionBy(*keys).orderBy("_slice")
+    chain = ends.withColumn("_i", F.row_number().over(by)).withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    chain = stage(chain.where("_m > 1").select(*keys, "_slice", "_i", "_a", "_b"))
+    longest, step = chain.agg(F.max("_i")).first()[0] or 0, 1
+    while step < longest:
+        before = chain.select(*keys, (F.col("_i") + step).alias("_i"), F.col("_a").alias("_pa"), F.col("_b").alias("_pb"))
+        met = join_null_safe(chain, before, [*keys, "_i"], "left")
+        a, b = F.col("_a") * F.coalesce("_pa", F.lit(1.0)), F.col("_a") * F.coalesce("_pb", F.lit(0.0)) + F.col("_b")
+        chain, step = stage(met.select(*keys, "_slice", "_i", a.alias("_a"), b.alias("_b"))), 2 * step
+    # the first slice of a key starts from nothing, so the composed offset is the level
+    after = chain.select(*keys, (F.col("_i") + 1).alias("_i"), F.col("_b").alias("_from"))
+    return stage(join_null_safe(chain.select(*keys, "_slice", "_i"), after, [*keys, "_i"], "inner").select(*keys, "_slice", "_from"))
 
 
 def smooth_best(df: DataFrame, keys, time: str, x: str, alphas: Sequence[float]) -> DataFrame:
-    """Per key the weight with the least one-step squared error, that error and the last level."""
+    """Per key the weight with the least one-step squared error, that error and the last level; missing values make no error."""
     keys = names(keys)
     grid = df.select(*keys, time, x).withColumn("alpha", F.explode(F.array(*[F.lit(float(a)) for a in alphas])))
     s = smooth(grid, [*keys, "alpha"], time, x, "alpha")
     # the error before seeing x follows from the level after it: level = prev + alpha * (x - prev)
     prev = F.try_divide(F.col("level") - F.col("alpha") * F.col(x), 1 - F.col("alpha"))
-    first = df.groupBy(*keys).agg(F.min(time).alias("_t0"))
+    there = F.col(x).isNotNull() & ~F.isnan(F.col(x).cast("double"))
+    first = df.where(there).groupBy(*keys).agg(F.min(time).alias("_t0"))
     s = join_null_safe(s, first, keys, "inner")
-    err = F.when(F.col(time) > F.col("_t0"), (F.col(x) - prev) ** 2)
+    err = F.when(there & (F.col(time) > F.col("_t0")), (F.col(x) - prev) ** 2)
     by_alpha = s.groupBy(*keys, "alpha").agg(F.sum(err).alias("sse"), F.max_by("level", time).alias("level"))
     best = by_alpha.groupBy(*keys).agg(F.min(F.struct("sse", "alpha", "level")).alias("m"))
     return best.select(*keys, "m.alpha", "m.sse", "m.level")

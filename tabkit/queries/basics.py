@@ -295,7 +295,7 @@ def _(spark, d):
 )
 def _(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return fr.top_fraction(o, [F.desc("o_totalprice"), F.col("o_orderkey")], 0.8).select("o_orderkey")
+    return fr.top_fraction(o, ["-o_totalprice", "o_orderkey"], 0.8).select("o_orderkey")
 
 
 @query(

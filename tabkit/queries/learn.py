@@ -445,6 +445,20 @@ def _(spark, d):
     return b.groupBy("replicate").agg(F.sum("weight").alias("n"), F.count_if(F.col("weight") == 0).alias("n_out"), F.sum(F.col("weight") * (F.col("o_orderkey") % 97)).alias("mark"))
 
 
+@query(
+    "V4_bootstrap_stratified",
+    """with p as (select o_orderkey, '["' || o_orderpriority || '"]' as s, row_number() over (partition by o_orderpriority order by md5(concat('5-', o_orderkey)), o_orderkey) as pl, count(*) over (partition by o_orderpriority) as n from orders),
+    d as (select r as replicate, s, 1 + floor(('0x' || substr(md5(concat('5-', r, '-', s, '-', pl)), 1, 13))::bigint / 4503599627370496.0::double * n) as pl, count(*) as weight from p, range(1, 4) t(r) group by 1, 2, 3)
+    select r as replicate, any_value(p.s)[3:3] as stratum, count(*) as n, sum(coalesce(weight, 0))::bigint as draws, count(*) filter (weight is null) as n_out, sum(coalesce(weight, 0) * (o_orderkey % 97))::bigint as mark from p cross join range(1, 4) t(r) left join d on d.replicate = r and d.s = p.s and d.pl = p.pl group by r, p.s""",
+)
+def _(spark, d):
+    """Every replicate draws as often in a stratum as it has rows."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    b = rs.bootstraps(o, "o_orderkey", 3, seed=5, strata="o_orderpriority")
+    g = b.groupBy("replicate", F.substring("o_orderpriority", 1, 1).alias("stratum"))
+    return g.agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("draws"), F.count_if(F.col("weight") == 0).alias("n_out"), F.sum(F.col("weight") * (F.col("o_orderkey") % 97)).alias("mark"))
+
+
 @query("V5_split_by_ids", "select c_custkey, c_custkey in (select o_custkey from orders where o_totalprice > 300000) as is_train from customer")
 def _(spark, d):
     ids = table(spark, d, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))

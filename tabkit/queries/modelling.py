@@ -82,7 +82,7 @@ def _(spark, d):
     return value_report(models.linear_reg(penalty=10.0, mixture=0.5).fit(li, "l_extendedprice", NUM + ["p_retailprice"]), li)
 
 
-SHARES = "select big::int as big, l_returnflag as level, round(count(*) / sum(count(*)) over (partition by big), 4) as prob from (select l_quantity > 25 as big, l_returnflag from lineitem) group by 1, 2"
+SHARES = "with n as (select (l_quantity > 25)::int as big, l_returnflag as level, count(*) as n from lineitem group by 1, 2) select big, level, round(n / sum(n) over (partition by big), 4) as prob from n"
 
 
 def class_shares(fit, df):

@@ -52,6 +52,17 @@ def _(spark, d):
     return ts.smooth(e, "user_id", "ts", "value", 1 / 3).select("event_id", F.round("level", 6).alias("level"))
 
 
+@query(
+    "Q3_smoothing_with_gaps",
+    """with recursive e as (select event_id, user_id, case when event_id % 3 > 0 then value end as v, row_number() over (partition by user_id order by ts) as i from events),
+    r as (select event_id, user_id, i, v as level from e where i = 1 union all select e.event_id, e.user_id, e.i, case when e.v is null then r.level when r.level is null then e.v else e.v / 3 + r.level * 2 / 3 end from r join e on e.user_id = r.user_id and e.i = r.i + 1) select event_id, round(level, 6) as level from r""",
+)
+def _(spark, d):
+    """A third of the values is missing and leaves the level as it is."""
+    e = table(spark, d, "events").select("event_id", "user_id", "ts", F.when(F.col("event_id") % 3 > 0, F.col("value")).alias("v"))
+    return ts.smooth(e, "user_id", "ts", "v", 1 / 3).select("event_id", F.round("level", 6).alias("level"))
+
+
 @query(
     "Q3_smoothing_weight",
     """with recursive a as (select unnest([0.1::double, 0.3, 0.5, 0.7, 0.9]) as alpha), e as (select user_id, value, row_number() over (partition by user_id order by ts) as i, count(*) over (partition by user_id) as n from events),

@@ -21,6 +21,7 @@ from tabkit.session import stage
 
 HOT_ROWS = 5_000_000
 BROADCAST_ROWS = 100_000
+ONE_TASK_ROWS = 1_000_000
 
 
 def names(keys: str | Sequence[str] | None) -> list[str]:
@@ -241,17 +242,68 @@ def value_counts_running(df: DataFrame, keys: Sequence[str], value: str, weights
     return running(g, keys, [F.col(value)], ran, totals=totals)
 
 
+ACCURACY = 10_000
+
+
 def exact_quantiles(df: DataFrame, keys: str | Sequence[str] | None, value: str, probs: dict[str, float], count: str | None = None) -> DataFrame:
     """Linearly interpolated quantiles (the usual type 7) per key, exact at any size.
 
     ``count`` names a column that says how many rows a row stands for.
 
-    ``percentile`` keeps every distinct value of a group in one task's memory;
-    here the distinct values are spread by range.
+    Order statistics are selected, not sorted: a mergeable sketch brackets every
+    wanted rank between two values, one pass counts what lies under each bracket
+    and keeps the few rows inside, and only those are put in order. The sketch's
+    error is bounded, and the counts show whether a bracket holds its ranks;
+    if one should not, all distinct values are ordered instead. Rows that stand
+    for many go that way too.
     """
     keys = names(keys)
     d = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     d = d.select(*keys, F.col(value).cast("double").alias("_x"), (F.col(count) if count else F.lit(1)).cast("long").alias("_w"))
+    if count is None:
+        out = _selected_quantiles(d, keys, probs)
+        if out is not None:
+            return out
+    return _sorted_quantiles(d, keys, probs)
+
+
+def _selected_quantiles(d: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame | None:
+    """exact_quantiles of (keys, _x) by brackets; None if a bracket misses a rank it should hold."""
+    off = 3 / ACCURACY
+    sides = [p for v in probs.values() for p in (max(v - off, 0.0), min(v + off, 1.0))]
+    few = d.groupBy(*keys).agg(F.percentile_approx("_x", sides, ACCURACY).alias("_q"), F.count(F.lit(1)).alias("_n"))
+    few = stage(few)
+    met = join_null_safe(d, broadcast_if_small(few), keys, "inner") if keys else d.crossJoin(F.broadcast(few))
+    # per wanted rank: 2i says the row lies under the bracket, 2i + 1 inside
+    tags = []
+    for i in range(len(probs)):
+        lo, hi = F.get("_q", F.lit(2 * i)), F.get("_q", F.lit(2 * i + 1))
+        tags.append(F.when(F.col("_x") < lo, F.lit(2 * i)).when(F.col("_x") <= hi, F.lit(2 * i + 1)))
+    tagged = met.select(*keys, "_n", "_x", F.explode(F.array_compact(F.array(*tags))).alias("_t"))
+    # rows under a bracket become one row, rows inside one per value
+    inside = F.when(F.col("_t") % 2 == 1, F.col("_x"))
+    got = stage(tagged.groupBy(*keys, "_n", (F.floor(F.col("_t") / 2)).cast("int").alias("_i"), inside.alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    order = [F.col("_v").asc_nulls_first()]
+    if got.count() <= ONE_TASK_ROWS:
+        upto = F.sum("_c").over(Window.partitionBy(*keys, "_i").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+        ran = got.withColumn("_hi", upto)
+    else:
+        ran = running(got, [*keys, "_i"], order, {"_hi": F.col("_c")})
+    share = F.element_at(F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("_i") + 1)
+    at = (F.col("_n") - 1) * share
+    k, lo = F.floor(at), F.col("_hi") - F.col("_c")
+    nxt = F.least(k + 1, F.col("_n") - 1)
+    pick = lambda r: F.max(F.when((lo <= r) & (r < F.col("_hi")), F.col("_v")))
+    found = stage(ran.groupBy(*keys, "_i").agg(pick(k).alias("_a"), pick(nxt).alias("_b"), F.max(at - k).alias("_f")))
+    state = found.agg(F.count_if(F.col("_a").isNull() | F.col("_b").isNull()).alias("bad"), F.count(F.lit(1)).alias("n")).first()
+    if state["bad"] or state["n"] != few.count() * len(probs):
+        return None
+    value = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, value)).alias(out) for i, out in enumerate(probs)])
+
+
+def _sorted_quantiles(d: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """exact_quantiles of (keys, _x, _w) from running sums over the distinct values, spread by range."""
     r = value_counts_running(d, keys, "_x", {"_n": F.col("_w")})
     lo, hi, tot = F.col("_n_cum") - F.col("_n"), F.col("_n_cum"), F.col("_n_cum_total")
     aggs, outs = [], []
@@ -266,3 +318,36 @@ def exact_quantiles(df: DataFrame, keys: str | Sequence[str] | None, value: str,
         ]
         outs.append((F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(out))
     return r.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+
+
+def rank_cut(df: DataFrame, value: str, row_id: str, rank: int, descending: bool = False) -> DataFrame:
+    """(_v, _id) of the row at ``rank`` (from 1) in the order of a number and, between equals, of the ascending id; one row, or none.
+
+    Missing numbers come last. Only rows whose number lies in a bracket around
+    the rank are put in order; the others are counted where they are.
+    """
+    x = F.col(value).cast("double")
+    last = F.lit(float("inf"))
+    v = F.coalesce(-x if descending else x, last)
+    d = df.select(F.when(F.isnan(v), last).otherwise(v).alias("_v"), F.col(row_id).alias("_id"))
+    n = d.count()
+    if not 1 <= rank <= n:
+        return d.limit(0)
+    p, off = rank / n, 3 / ACCURACY + 1 / n
+    lo, hi = d.agg(F.percentile_approx("_v", [max(p - off, 0.0), min(p + off, 1.0)], ACCURACY).alias("q")).first()["q"]
+    under = d.where(F.col("_v") < lo).count()
+    near = row_numbers(d.where((F.col("_v") >= lo) & (F.col("_v") <= hi)), None, [F.col("_v"), F.col("_id")], "_rn")
+    out = stage(near.where(F.col("_rn") == rank - under).select("_v", "_id"))
+    if out.isEmpty():
+        out = stage(row_numbers(d, None, [F.col("_v"), F.col("_id")], "_rn").where(F.col("_rn") == rank).select("_v", "_id"))
+    return out
+
+
+def before_cut(df: DataFrame, cut: DataFrame, value: str, row_id: str, descending: bool = False, name: str = "_kept") -> DataFrame:
+    """df with ``name``: whether a row stands at or before the row rank_cut found; false for all if there is none."""
+    x, last = F.col(value).cast("double"), F.lit(float("inf"))
+    v = F.coalesce(-x if descending else x, last)
+    v = F.when(F.isnan(v), last).otherwise(v)
+    one = cut.agg(F.max(F.struct("_v", "_id")).alias("_cut"))
+    me = F.struct(v.alias("_v"), F.col(row_id).alias("_id"))
+    return df.crossJoin(F.broadcast(one)).withColumn(name, F.coalesce(me <= F.col("_cut"), F.lit(False))).drop("_cut")
