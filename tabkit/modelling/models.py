@@ -22,9 +22,9 @@ from tabkit.features.dictionary import block_size
 from tabkit.features.levels import collect_levels
 from tabkit.features.recipe import safe_name, unique_names
 from tabkit.modelling.boosting import Boosted, fit_boosted
+from tabkit.modelling.hinges import Hinges, fit_hinges
 from tabkit.modelling.neighbours import NeighbourModel
 from tabkit.modelling.network import Network, fit_network
-from tabkit.scale import exact_quantiles
 
 
 def labelled(df: DataFrame, label: str, levels: Sequence[str] | None) -> tuple[DataFrame, str]:
@@ -48,7 +48,7 @@ def prob_columns(levels: Sequence[str]) -> dict[str, str]:
 # What each kind of model takes; a name outside is an error, not a default.
 PARAMS = {
     "linear_reg": {"penalty", "mixture", "epochs"},
-    "mars": {"num_terms", "prod_degree", "penalty", "epochs"},
+    "mars": {"num_terms", "prod_degree", "prune_method", "penalty", "knots"},
     "mlp": {"hidden_units", "penalty", "epochs", "seed"},
     "rand_forest": {"trees", "min_n", "tree_depth", "mtry", "seed"},
     "bag_tree": {"trees", "min_n", "tree_depth", "seed"},
@@ -87,7 +87,7 @@ class Fitted:
             raise ValueError(f"features named like the predictions to be written: {sorted(taken)}")
         cols = [c for c in df.columns if c not in made]
         df = df.select(*[F.col(f"`{c}`") for c in cols])
-        if isinstance(self.model, (Boosted, Network)):
+        if isinstance(self.model, (Boosted, Hinges, Network)):
             return self._array_outcome(self.model.transform(df), cols)
         if self.levels is None and isinstance(self.model, NeighbourModel):
             return self._neighbours(df).select(*cols, "pred")
@@ -151,9 +151,7 @@ class Spec:
             rows = d.select("_label", v.alias("v")).where("_label IS NOT NULL")
             return Fitted(self, features, NeighbourModel(rows, "_label", self.params.get("neighbors", 5), self.params.get("weight_func", "rectangular")), levels, extra)
         if self.kind == "mars":
-            extra = hinge_columns(d, features, self.params.get("num_terms", 10), self.params.get("prod_degree", 1))
-            for c, e in extra["columns"].items():
-                d = d.withColumn(c, F.expr(e))
+            return Fitted(self, features, fit_hinges(d, "_label", features, weight=weight, **self.params), levels, extra)
         if self.kind == "boost_tree":
             return Fitted(self, features, fit_boosted(d, "_label", features, objective=objective, n_classes=len(levels or []), weight=weight, valid=valid, **self.params), levels, extra)
         if self.kind == "mlp":
@@ -176,8 +174,6 @@ class Spec:
                 return R.LinearRegression(**cols, **w, **solver, regParam=p.get("penalty", 0.0), elasticNetParam=p.get("mixture", 0.0), maxIter=p.get("epochs", 100))
             family = "binomial" if n_classes == 2 else "multinomial"
             return C.LogisticRegression(**cols, **w, family=family, regParam=p.get("penalty", 0.0), elasticNetParam=p.get("mixture", 0.0), maxIter=p.get("epochs", 100))
-        if self.kind == "mars":
-            return R.LinearRegression(**cols, **w, regParam=p.get("penalty", 1e-3), elasticNetParam=1.0, maxIter=p.get("epochs", 100))
         if self.kind in ("rand_forest", "bag_tree"):
             bag = self.kind == "bag_tree"
             mtry = "all" if bag else str(p["mtry"]) if "mtry" in p else "auto"
@@ -214,36 +210,10 @@ def nearest_neighbor(mode: str = "classification", **params) -> Spec:
 
 
 def mars(**params) -> Spec:
+    """Stepwise hinge regression (num_terms, prod_degree, prune_method)."""
     return Spec("mars", "regression", params)
 
 
-def hinge_columns(df: DataFrame, features: Sequence[str], num_terms: int, degree: int = 1) -> dict:
-    """Hinge functions max(x - k, 0) and max(k - x, 0) at quantile knots.
-
-    The L1 fit that follows keeps the useful ones, in the place of a stepwise
-    search. ``degree`` 2 adds products of the hinges of different columns at
-    their medians.
-    """
-    n = max(1, num_terms // (2 * len(features)))
-    probs = {f"k{i}": (i + 1) / (n + 1) for i in range(n)}
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in features]).unpivot([], list(features), "column", "v")
-    cols: dict[str, str] = {}
-    middle: dict[str, str] = {}
-    knots = {r["column"]: sorted({r[k] for k in probs}) for r in exact_quantiles(long, "column", "v", probs).collect()}
-    for c in features:
-        for i, k in enumerate(knots.get(c, [])):
-            cols[f"_h_{c}_{i}_up"] = f"greatest(double(`{c}`) - double('{k!r}'), double('0.0'))"
-            cols[f"_h_{c}_{i}_dn"] = f"greatest(double('{k!r}') - double(`{c}`), double('0.0'))"
-        if knots.get(c):
-            middle[c] = f"_h_{c}_{len(knots[c]) // 2}_up"
-    if degree > 1:
-        names = list(middle)
-        for i, a in enumerate(names):
-            for b in names[i + 1 :]:
-                cols[f"_h_{a}_x_{b}"] = f"`{middle[a]}` * `{middle[b]}`"
-    return {"columns": cols, "inputs": [*features, *cols]}
-
-
 def univariate_logistic(df: DataFrame, label: str, columns: Sequence[str], parallelism: int = 4) -> DataFrame:
     """One binomial model per column: estimate, standard error, statistic and p-value."""
 

@@ -202,6 +202,19 @@ def _(spark, d):
     return value_report(models.mars(num_terms=12, prod_degree=2).fit(li, "l_extendedprice", NUM), li)
 
 
+BENT = "select l_orderkey, l_linenumber, 5 + 3 * greatest(l_quantity - 20, 0) - 2 * greatest(35 - l_quantity, 0) + (case when l_tax > 0.03 then 100 * (l_tax - 0.03) else 0 end) as y from lineitem"
+
+
+@query("M8_hinge_knots", f"select l_orderkey, l_linenumber, round(y, 4) as pred, count(*) as n from ({BENT}) group by 1, 2, 3")
+def _(spark, d):
+    """Planted knots are found and the noise column dropped, so the fit is the function itself."""
+    li = table(spark, d, "lineitem")
+    bend = lambda x, k: F.greatest(x - k, F.lit(0.0))
+    y = 5 + 3 * bend(F.col("l_quantity"), 20) - 2 * F.greatest(35 - F.col("l_quantity"), F.lit(0.0)) + 100 * bend(F.col("l_tax"), 0.03)
+    p = models.mars(num_terms=9).fit(li.withColumn("y", y), "y", ["l_quantity", "l_tax", "l_discount"]).predict(li)
+    return rounded(p, "pred", digits=4).groupBy("l_orderkey", "l_linenumber", "pred").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("M9_kmeans_feature")
 def _(spark, d):
     li = lines(spark, d)
@@ -496,6 +509,18 @@ def _(spark, d):
     return rounded(metrics.evaluate(p, "l_extendedprice", "pred", ["rmse", "rsq"]), "value", digits=3)
 
 
+@query("B3_stack_classes", SHARES)
+def _(spark, d):
+    """Members that each reach the shares of two groups blend to those shares, whatever their weights."""
+    li = stage(stumps(spark, d).select("id", "big", "l_returnflag", (F.col("l_orderkey") % 3).alias("fold")))
+    wf = tune.Workflow(models.linear_reg("classification"), "l_returnflag", ["big"])
+    grid = [{"epochs": 60}, {"epochs": 100}]
+    r = tune.tune_grid(wf, li, grid, "id", ["log_loss"])
+    st = runs.stack_classes(r, {i + 1: (lambda g=g: wf.set(**g).fit(li)) for i, g in enumerate(grid)}, "id", "l_returnflag", ["A", "N", "R"])
+    p = st.predict(li, "id").join(li.select("id", "big"), "id").groupBy("big").agg(*[F.avg(c).alias(v) for v, c in st.probs.items()])
+    return rounded(p.unpivot(["big"], ["A", "N", "R"], "level", "prob"), "prob", digits=4)
+
+
 @query("X3_group_tables", "select o_custkey, min(o_orderkey) as first_key, max(o_orderkey) as last_key, count(*) as n from orders group by 1")
 def _(spark, d):
     import pandas as pd
