@@ -415,6 +415,17 @@ def _(spark, d):
     return rounded(explain.permutation_importance(fit, li, "id", metrics.rmse("l_extendedprice", "pred"), True), "importance", digits=0)
 
 
+@query(
+    "I1_permutation_of_one_feature",
+    f"with r as (select p_size, p_retailprice as y, row_number() over (order by md5(concat('0-', p_partkey)), p_partkey) - 1 as pos, count(*) over () as n from part), f as (select regr_slope(y, p_size) as b, regr_intercept(y, p_size) as a from r), m as (select (pos + 1 + {explain.shift_of(0, 'p_size')} % (n - 1)) % n as pos, p_size from r) select 'p_size' as feature, round(sqrt(avg((r.y - a - b * m.p_size) ** 2)) - sqrt(avg((r.y - a - b * r.p_size) ** 2)), 4) as importance from r join m using (pos), f",
+)
+def _(spark, d):
+    """Values move along the hash order of the ids by a step that hangs on seed and name."""
+    p = table(spark, d, "part")
+    fit = models.linear_reg().fit(p, "p_retailprice", ["p_size"])
+    return rounded(explain.permutation_importance(fit, p, "p_partkey", metrics.rmse("p_retailprice", "pred"), True), "importance", digits=4)
+
+
 @query("I2_shapley_monte_carlo", "with f as (select regr_slope(l_extendedprice, l_quantity) as b, regr_intercept(l_extendedprice, l_quantity) as a from lineitem) select l_orderkey, l_linenumber, round(a + b * l_quantity, 2) as total from lineitem, f")
 def _(spark, d):
     """Values and baseline of each row add up to its prediction."""
@@ -426,6 +437,43 @@ def _(spark, d):
     return out.select("l_orderkey", "l_linenumber", total)
 
 
+@query(
+    "I2_shapley_three_features",
+    "select p_partkey, round((2 * p_size + 3 * (p_partkey % 7) + (case when p_type like 'S%' then 10 else 0 end))::double, 6) as total, 0.0::double as off from part",
+)
+def _(spark, d):
+    """Three features of a linear function: values and baseline add up, and every value is its weight times the distance from a mean of background rows."""
+    p = table(spark, d, "part").select("p_partkey", F.col("p_size").cast("double").alias("a"), (F.col("p_partkey") % 7).cast("double").alias("b"), F.col("p_type").startswith("S").cast("double").alias("c"))
+    weights = {"a": 2.0, "b": 3.0, "c": 10.0}
+    score = lambda df: df.withColumn("pred", sum((F.lit(w) * F.col(f) for f, w in weights.items()), F.lit(0.0)))
+    phi = explain.shapley(score, p, p, list(weights), "p_partkey", nsim=4).withColumnsRenamed({f: f"phi_{f}" for f in weights})
+    total = F.col("baseline") + sum((F.col(f"phi_{f}") for f in weights), F.lit(0.0))
+    # each value tells the same mean background row: their sum is the baseline
+    mean = sum((F.lit(w) * F.col(f) - F.col(f"phi_{f}") for f, w in weights.items()), F.lit(0.0))
+    return p.join(phi, "p_partkey").select("p_partkey", F.round(total, 6).alias("total"), (F.round(F.abs(mean - F.col("baseline")), 6) + 0.0).alias("off"))
+
+
+def binary_means(spark, d):
+    return table(spark, d, "part").select("p_partkey", (F.col("p_size") % 2).cast("double").alias("a"), (F.col("p_partkey") % 2).cast("double").alias("b"), F.lit(1.0).alias("c"))
+
+
+@query(
+    "I2_shapley_of_one_background_row",
+    "select p_partkey, 5.0 * (p_size % 2) as a, 7.0 * (p_partkey % 2) + 2 * (p_partkey % 2) * (p_size % 2) / 2 as b, 0.0::double as c, 4.0::double as baseline from part",
+)
+def _(spark, d):
+    """Against one background row of zeros: weights, halves of the product, nothing for a constant. The order of features is drawn, so the halves hold over all rows alike."""
+    p = binary_means(spark, d)
+    zero = spark.createDataFrame([(0, 0.0, 0.0, 1.0)], "p_partkey long, a double, b double, c double")
+    score = lambda df: df.withColumn("pred", 4 + 5 * F.col("a") + 7 * F.col("b") + 2 * F.col("a") * F.col("b"))
+    phi = explain.shapley(score, p, zero, ["a", "b", "c"], "p_partkey", nsim=2)
+    both = (F.col("xa") * F.col("xb") == 1.0)
+    j = p.select("p_partkey", F.col("a").alias("xa"), F.col("b").alias("xb")).join(phi, "p_partkey")
+    # the product goes whole to whichever of the two comes later in a draw; what a has of it is moved to b's half
+    extra = F.when(both, F.col("a") - 5).otherwise(0.0)
+    return j.select("p_partkey", (F.col("a") - extra).alias("a"), (F.col("b") + extra - F.when(both, 1.0).otherwise(0.0)).alias("b"), (F.col("c") + 0.0).alias("c"), "baseline")
+
+
 TWO = "select l_quantity > 25 as a, l_tax > 0.04 as b, 10 * l_quantity + 40 * (l_tax > 0.04)::int + 30 * (l_tax > 0.04 and l_quantity > 25)::int as y from lineitem"
 
 
