@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.llm.batches import stage_batched
-from tabkit.llm.words import SPACES, pieces, split_words
+from tabkit.llm.words import SPACES, mix, pieces, split_words
 
 UPPER, DIGIT, SYMBOL, PUNCT, HIGH, ALPHA = (np.zeros(256, dtype=bool) for _ in range(6))
 UPPER[0x41:0x5B] = True
@@ -22,7 +22,7 @@ SYMBOL[[ord(c) for c in "!#$%&*|~^<>{}[]=+\\/@_"]] = True
 PUNCT[[ord(c) for c in ".,;:?'\"()-"]] = True
 
 CUTS = (0.02, 0.1, 0.25, 0.5, 0.75)
-LABELLED_DOCS, LINES_OF_ONE = 3000, 400
+LABELLED_DOCS, LINES_OF_ONE, RUN_LINES = 3000, 400, 20
 
 
 @dataclass
@@ -232,11 +232,21 @@ def held_out(id_column: str = "doc_id") -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 == 0
 
 
+def sampled_lines(n: int, most: int) -> np.ndarray:
+    """All of n lines, or about ``most`` of them: runs of RUN_LINES neighbours in hash order from the whole text."""
+    if n <= most:
+        return np.arange(n)
+    runs = mix(np.arange(-(-n // RUN_LINES), dtype=np.uint64)).argsort()[: max(1, most // RUN_LINES)]
+    own = (np.sort(runs)[:, None] * RUN_LINES + np.arange(RUN_LINES)).ravel()
+    return own[own < n]
+
+
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = LABELLED_DOCS, max_lines: int = LINES_OF_ONE) -> Model | None:
     """Fit on a bounded, repeatable sample of labelled rows outside the held-out fifth; None without any.
 
     The sample is the first max_docs labelled ids in hash order; of a document
-    the first max_lines lines are used for fitting only (scores use them all).
+    of more than max_lines lines the fit uses about so many, in short runs from
+    the whole text (scores use them all).
     """
     rows = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col("quality").cast("int").alias("quality"))
     ids = rows.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
@@ -247,9 +257,9 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = LABELLED_DOCS, max
             for row0, data, at in pieces(batch.column(1)):
                 got = line_features(row0, data, at)
                 for i in range(len(got.first) - 1):
-                    a, b = got.first[i], min(got.first[i + 1], got.first[i] + max_lines)
-                    length.append(got.length[a:b].tobytes())
-                    x.append(got.x[a:b].tobytes())
+                    own = got.first[i] + sampled_lines(got.first[i + 1] - got.first[i], max_lines)
+                    length.append(got.length[own].tobytes())
+                    x.append(got.x[own].tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(length, type=pa.binary()), pa.array(x, type=pa.binary())], ["doc_id", "quality", "length", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
