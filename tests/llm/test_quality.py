@@ -76,3 +76,13 @@ def test_keep_good_passes_rows_through(spark):
     kept = quality.keep_good(docs, marks)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i, q, _ in labels if q}
+
+
+def test_lines_for_fitting_come_from_the_whole_text():
+    from tabkit.llm.quality import RUN_LINES, sampled_lines
+
+    assert sampled_lines(399, 400).tolist() == list(range(399))
+    own = sampled_lines(10_003, 400)
+    assert 380 <= len(own) <= 400 and own.max() > 9000 and (own[1:] > own[:-1]).all()
+    starts = own[own % RUN_LINES == 0]
+    assert set(own) == {i for a in starts for i in range(a, min(a + RUN_LINES, 10_003))}
