@@ -18,14 +18,31 @@ LEAST_QUALITY = 0.3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose line CRF score is at least LEAST_QUALITY; unlabelled ones are scored like all others."""
+    """Documents whose line CRF score is at least LEAST_QUALITY; unlabelled ones are scored like all others.
+
+    Null and empty texts are one empty line and are scored as such. Rows with
+    null or repeated ids are scored one by one. Without labels every document
+    stays. Other columns pass through, whatever their names; an empty table
+    stays empty.
+    """
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), LEAST_QUALITY)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their texts without lines that repeat an earlier one; n_chars follows the text."""
+    """All documents, their texts without lines that repeat an earlier one; n_chars follows the text.
+
+    A text that loses all its lines is empty and its row goes on, as does a null
+    text; both are without words, so later stages neither link nor pack them.
+    Rows with null ids stay whole, rows that repeat an id keep the same line
+    numbers. Other columns pass through, but n_lines and n_removed, if the
+    documents have columns of that name, come out as they went in. An empty
+    table stays empty.
+    """
     columns = docs.columns
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(columns)
+    # the operator's own counts go; columns of their names are put by meanwhile
+    aside = {c: f"_own_{c}" for c in ("n_lines", "n_removed") if c in columns}
+    out = dedup_lines(docs.withColumnsRenamed(aside)).drop("n_lines", "n_removed").withColumnsRenamed({v: k for k, v in aside.items()})
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +67,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all texts in bins of CAPACITY words; copies of a text and texts of one source never share a bin."""
+    """The pieces of all texts in bins of CAPACITY words; copies of a text and texts of one source never share a bin.
+
+    Texts without words, null or empty, are in no bin and give no rows; longer
+    texts than a bin are cut. Rows with null ids are packed like others, rows
+    that repeat an id are texts of their own. An empty table gives no bins.
+    """
     return best_fit(docs, n_words("text"), same_text("text"), CAPACITY)
 
 
