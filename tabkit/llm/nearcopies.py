@@ -15,7 +15,7 @@ from tabkit.llm.graph import components
 from tabkit.llm.words import SPACES, U, as_long, grams, mix, words_of
 from tabkit.session import stage
 
-BANDS, ROWS = 24, 5
+BANDS, ROWS = 24, 6
 PAIRS_UP_TO = 16
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 _jumps = mix(np.arange(1, 1025, dtype=np.uint64)[:, None] * U(0x2545F4914F6CDD1D) + mix(np.arange(BANDS * ROWS, dtype=np.uint64))[None, :])
@@ -156,23 +156,31 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
     rows = stage(classes.select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")))
     named = stage(classes.select("k1", "k2", "n_shingles", F.col("doc").alias("rep")))
     shared = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
-    rows = rows.join(broadcast_below(shared), "key")
-    rows = stage(rows.select("key", "doc", "n", F.sum("m").over(Window.partitionBy("doc")).alias("met")))
+    # a class is one row with the keys of its open buckets, so components are attached per class, not per bucket
+    held = stage(rows.join(broadcast_below(shared), "key").groupBy("doc", "n").agg(F.sum("m").alias("met"), F.collect_list("key").alias("keys")))
     links, labels, tested = None, None, None
     few = 1
     while True:
-        now = rows.withColumn("comp", F.col("doc"))
+        now = held.withColumn("comp", F.col("doc"))
         if labels is not None:
-            now = rows.join(broadcast_below(labels.withColumnRenamed("node", "doc")), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
+            now = held.join(broadcast_below(labels.withColumnRenamed("node", "doc")), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
+        now = now.select("doc", "n", "met", "comp", F.explode("keys").alias("key"))
         # buckets that still hold two components
         torn = now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("m"))
         torn = stage(torn.where("low < high").select("key", "m"))
         now = stage(now.join(broadcast_below(torn), "key"))
         if now.isEmpty():
             break
-        top = now.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("met"), "doc")))
-        top = top.where((F.col("r") <= max(few, PAIRS_UP_TO)) & ((F.col("m") <= PAIRS_UP_TO) | (F.col("r") <= few)))
-        top = stage(top.select("key", F.col("doc").alias("c_doc"), F.col("n").alias("c_n"), F.col("comp").alias("c_comp")))
+        mate = F.struct("doc", "n", "comp")
+        small = now.where(F.col("m") <= PAIRS_UP_TO).select("key", mate.alias("c"))
+        large = now.where(F.col("m") > PAIRS_UP_TO)
+        if few == 1:
+            # the class that meets most others, the smallest of equals, from partial maxima
+            large = large.groupBy("key").agg(F.max_by(mate, F.struct("met", -F.col("doc"))).alias("c"))
+        else:
+            order = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("met"), "doc"))
+            large = large.withColumn("r", order).where(F.col("r") <= few).select("key", mate.alias("c"))
+        top = stage(small.unionByName(large).select("key", F.col("c.doc").alias("c_doc"), F.col("c.n").alias("c_n"), F.col("c.comp").alias("c_comp")))
         star = now.join(broadcast_below(top), "key").where("comp <> c_comp")
         # sets whose sizes differ too much cannot be similar enough
         star = star.where(F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * per_cent)
@@ -187,7 +195,7 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
             if not new.isEmpty():
                 labels = components(links)
         met = broadcast_below(top.select("key", F.col("c_doc").alias("doc")))
-        rows = stage(now.join(met, ["key", "doc"], "left_anti").select("key", "doc", "n", "met"))
+        held = stage(now.join(met, ["key", "doc"], "left_anti").groupBy("doc", "n", "met").agg(F.collect_list("key").alias("keys")))
         few *= 8
     if labels is not None:
         named = stage(named.join(broadcast_below(labels), F.col("rep") == F.col("node"), "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("rep")))
