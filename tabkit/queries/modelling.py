@@ -332,7 +332,7 @@ def metric_table(spark, d):
 
 @query(
     "H5_race_elimination",
-    f"with m as {METRIC}, l as (select config from m group by 1 order by avg(value), config limit 1), b as (select fold, value as best from m where config = (select config from l)), d as (select config, avg(value - best) as diff, count(*) as n, stddev_samp(value - best) / sqrt(count(*)) as se from m join b using (fold) group by 1) select config, round(diff, 6) as diff, n, round(diff - 2.015048 * se, 4) as lower, diff - 2.015048 * se <= 0 as stays from d",
+    f"with m as {METRIC}, l as (select config from m group by 1 order by avg(value), config limit 1), b as (select fold, value as best from m where config = (select config from l)), d as (select config, avg(value - best) as diff, count(*) as n, stddev_samp(value - best) / sqrt(count(*)) as se from m join b using (fold) group by 1) select config, round(diff, 6) as diff, n, round(diff - 2.015048372669157 * se, 4) as lower, diff - 2.015048372669157 * se <= 0 as stays from d",
 )
 def _(spark, d):
     r = tune.race_step(metric_table(spark, d), "rmse", alpha=0.05)
