@@ -196,6 +196,76 @@ def test_licences(spark):
     assert licences.scan_licences(docs_of(spark, [])).count() == 0
 
 
+def naive_notices(rows, templates, least=0.6, slack=licences.SLACK):
+    """Labels and score per row, template by template and word by word."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    texts = [word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for _, t in rows]
+    idf = lambda x: np.log((1 + len(rows)) / (1 + sum(x in w for w in texts)))
+    out = []
+    for w in texts:
+        labels, score = set(), 0.0
+        for n, t in enumerate(templates):
+            words, spots, after = t.text.split(), [], 0
+            for k in (k.split() for k in t.keys):
+                after = next(i for i in range(after, len(words)) if words[i : i + len(k)] == k)
+                spots.append((k, after))
+                after += len(k)
+            starts = [[i for i in range(len(w)) if w[i : i + len(k)] == k] for k, _ in spots]
+            keyed = {j for k, q in spots for j in range(q, q + len(k))}
+            for s in starts[0]:
+                last = s
+                for m in range(1, len(spots)):
+                    shift = spots[m][1] - spots[m - 1][1]
+                    last = next((z for z in starts[m] if last is not None and abs(z - last - shift) <= slack), None)
+                if last is None:
+                    continue
+                there = [j in keyed or words[j] in w[max(0, s + j - spots[0][1] - slack) : max(0, s + j - spots[0][1] + slack + 1)] for j in range(len(words))]
+                total = sum(idf(x) for x in words)
+                cover = min(1.0, sum(idf(x) for x, ok in zip(words, there) if ok) / total) if total > 0 else 1.0
+                if n < len(licences.BASE) or cover >= least:
+                    labels.add(t.label)
+                    score = max(score, cover)
+        out.append((",".join(sorted(labels)), round(score, 9)))
+    return out
+
+
+def test_licence_notices(spark):
+    gpl = "you can redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation, either version {} of the License"
+    texts = [
+        gpl.format(3),
+        gpl.format(2),
+        gpl.format(9),
+        "the Free Software Foundation likes version 3; the GNU General Public License as published",
+        "GNU General Public License v3",
+        "// SPDX-License-Identifier: MIT",
+        "SPDX-License-Identifier: Apache-2.0",
+        "SPDX License Identifier",
+        "GNU General Public License, published by Free Software Foundation, any version 3",
+        gpl.format(3) + " " + "x " * 50 + "all rights reserved, under the MIT license " * 3,
+        "rights reserved all reserved rights",
+        "public license general gnu",
+        "é" * 5000,
+        "",
+        None,
+    ]
+    rng = np.random.default_rng(3)
+    bag = sorted({x for t in licences.BASE + licences.NOTICES for x in t.text.split()})
+    for _ in range(60):
+        parts = [rng.choice([t.text for t in licences.BASE + licences.NOTICES]).split() for _ in range(rng.integers(1, 4))]
+        words = [x for p in parts for x in p]
+        for _ in range(rng.integers(0, 5)):
+            k = int(rng.integers(0, len(words)))
+            words[k : k + int(rng.integers(0, 2))] = [str(rng.choice(bag))]
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    rows.append(rows[0])
+    got = licences.scan_licences(docs_of(spark, rows)).collect()
+    want = naive_notices(rows, licences.BASE + licences.NOTICES)
+    assert sorted((r["doc_id"], r["labels"], round(r["score"], 9)) for r in got) == sorted((i, a, b) for (i, _), (a, b) in zip(rows, want))
+    labels = {r["doc_id"]: r["labels"] for r in got}
+    assert [labels[i] for i in range(8)] == ["gpl-3", "gpl-2", "", "", "gpl-3", "mit", "apache-2", ""]
+
+
 def naive_pack(sizes, sources, clusters, capacity):
     bins, out = [], []
     for n, s, c in zip(sizes, sources, clusters):
