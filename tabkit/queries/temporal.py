@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabkit.operators import local_regression as lr
 from tabkit.operators import series as ts
 from tabkit.queries.registry import query, table
 
@@ -43,6 +44,54 @@ def _(spark, d):
     return out.select("event_type", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "x", *[F.round(c, 9).alias(c) for c in ("trend", "season", "remainder")])
 
 
+def line_sql(points: str, at: str, q: int) -> str:
+    """Local line as SQL over points (event_type, ph, p, n, y) at the places of at (event_type, ph, pos, place, n)."""
+    lo = f"greatest(0, least(pos - {(q - 1) // 2}, n - {q}))"
+    return f"""(with a as (select *, {lo} as lo, least(n - 1, {lo} + {q - 1}) as hi from {at}),
+        b as (select *, greatest(place - lo, hi - place) + case when n < {q} then ({q} - n) // 2 else 0 end as h from a),
+        k as (select b.event_type, b.ph, b.pos, b.place, b.n, p.y, p.p - place as d, abs(p.p - place) as r, h from b join {points} p on p.event_type = b.event_type and p.ph = b.ph and p.p between lo and hi),
+        w as (select *, case when r <= 0.001 * h then 1 when r <= 0.999 * h then (1 - (r / h) ** 3) ** 3 else 0 end::double as w from k),
+        m as (select event_type, ph, place, any_value(n) as n, sum(w * d) / sum(w) as md, sum(w * y) / sum(w) as my, sum(w * d * d) / sum(w) as dd, sum(w * d * y) / sum(w) as dy from w group by 1, 2, 3)
+        select event_type, ph, place, case when dd - md * md <= (0.001 * (n - 1)) ** 2 then my else my - md * (dy - md * my) / (dd - md * md) end as v from m)"""
+
+
+def local_sql(period: int, ns: int, nt: int, nl: int, inner: int) -> str:
+    """Seasonal-trend decomposition by local lines as SQL over the hourly events."""
+    sql = HOURLY + ", d0 as (select event_type, x as y, row_number() over (partition by event_type order by hour) - 1 as i, count(*) over (partition by event_type) as n, 0.0::double as trend, 0.0::double as season, hour from s)"
+    for k in range(inner):
+        sql += f""",
+        z{k} as (select event_type, i % {period} as ph, i // {period} as p, (n - 1 - i % {period}) // {period} + 1 as n, n as total, y - trend as y from d{k}),
+        za{k} as (select event_type, ph, p as pos, p as place, n from z{k} union all select event_type, ph, 0, -1, n from z{k} where p = 0 union all select event_type, ph, n - 1, n, n from z{k} where p = n - 1),
+        c{k} as (select event_type, place * {period} + ph as i, v from {line_sql(f'z{k}', f'za{k}', ns)}),
+        m1{k} as (select event_type, i, avg(v) over (partition by event_type order by i rows between current row and {period - 1} following) as v from c{k}),
+        m2{k} as (select event_type, i, avg(v) over (partition by event_type order by i rows between current row and {period - 1} following) as v from m1{k}),
+        m3{k} as (select event_type, i + {period} as i, avg(v) over (partition by event_type order by i rows between current row and 2 following) as v from m2{k}),
+        l{k} as (select d.event_type, 0 as ph, d.i as p, d.n, v as y from m3{k} m join d{k} d on m.event_type = d.event_type and m.i = d.i),
+        la{k} as (select event_type, ph, p as pos, p as place, n from l{k}),
+        e{k} as (select c.event_type, c.i, c.v - l.v as season from c{k} c join {line_sql(f'l{k}', f'la{k}', nl)} l on l.event_type = c.event_type and l.place = c.i),
+        t{k} as (select d.event_type, 0 as ph, d.i as p, n, y - e.season as y from d{k} d join e{k} e on d.event_type = e.event_type and d.i = e.i),
+        ta{k} as (select event_type, ph, p as pos, p as place, n from t{k}),
+        d{k + 1} as (select d.event_type, d.y, d.i, d.n, t.v as trend, e.season, d.hour from d{k} d join e{k} e on d.event_type = e.event_type and d.i = e.i join {line_sql(f't{k}', f'ta{k}', nt)} t on t.event_type = d.event_type and t.place = d.i)"""
+    return sql + f" select event_type, strftime(hour, '%Y-%m-%d %H') as hour, round(trend, 6) as trend, round(season, 6) as season, round(y - trend - season, 6) as remainder from d{inner} where n >= {2 * period}"
+
+
+@query("Q2_local_decompose", local_sql(24, 13, 41, 25, 2))
+def _(spark, d):
+    out = lr.decompose_locally(hourly(spark, d), "event_type", "hour", "x", 24).where("trend is not null")
+    return out.select("event_type", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), *[F.round(c, 6).alias(c) for c in ("trend", "season", "remainder")])
+
+
+@query(
+    "Q2_local_line",
+    HOURLY + f", p as (select event_type, 0 as ph, row_number() over (partition by event_type order by hour) - 1 as p, count(*) over (partition by event_type) as n, x as y from s), a as (select event_type, ph, p as pos, p as place, n from p) select event_type, place, round(v, 6) as fit from {line_sql('p', 'a', 25)}",
+)
+def _(spark, d):
+    out = lr.local_line(hourly(spark, d), "event_type", "hour", "x", 25)
+    first = out.groupBy("event_type").agg(F.min("hour").alias("lo"))
+    place = F.timestamp_diff("HOUR", F.col("lo"), F.col("hour")).alias("place")
+    return out.join(first, "event_type").select("event_type", place, F.round("fit", 6).alias("fit"))
+
+
 @query(
     "Q3_exponential_smoothing",
     "with recursive e as (select event_id, user_id, value, row_number() over (partition by user_id order by ts) as i from events), r as (select event_id, user_id, i, value as level from e where i = 1 union all select e.event_id, e.user_id, e.i, e.value / 3 + r.level * 2 / 3 from r join e on e.user_id = r.user_id and e.i = r.i + 1) select event_id, round(level, 6) as level from r",
