@@ -76,7 +76,20 @@ def _(spark, d):
     return q.select("l_returnflag", *[F.round(c, 4).alias(c) for c in ("p25", "med", "p90")])
 
 
-@query("G7_jeffreys_interval")
+# Beta quantiles by integration: with t = sin(v)^2 the density is a power of sin(v) times a power of cos(v);
+# cells of Simpson's rule around its mode, and a quadratic step inside the cell that a quantile falls into.
+JEFFREYS = """with g as (select o_orderpriority, count(*) as n, count(*) filter (o_orderstatus = 'F') as k from orders group by 1),
+    s as (select *, atan2(sqrt(k), sqrt(n - k)) as mode, 10 / sqrt(2.0 * n) as wide from g),
+    r as (select *, greatest(mode - wide, 1e-12) as v0, (least(mode + wide, pi() / 2 - 1e-12) - greatest(mode - wide, 1e-12)) / 4000 as h from s),
+    c as (select *, unnest(range(0, 4000)) as i from r),
+    e as (select *, [exp(2 * k * ln(sin(v) / greatest(sin(mode), 1e-300)) + 2 * (n - k) * ln(cos(v) / greatest(cos(mode), 1e-300))) for v in [v0 + i * h, v0 + (i + 0.5) * h, v0 + (i + 1) * h]] as f from c),
+    t as (select *, h / 6 * (f[1] + 4 * f[2] + f[3]) as cell, sum(h / 6 * (f[1] + 4 * f[2] + f[3])) over (partition by o_orderpriority order by i) as upto, sum(h / 6 * (f[1] + 4 * f[2] + f[3])) over (partition by o_orderpriority) as total from e),
+    q as (select *, unnest([0.025, 0.975]) as p from t),
+    x as (select *, (p * total - upto + cell) as rest, (p * total - upto + cell) / (f[1] + (f[3] - f[1]) / 2 * ((p * total - upto + cell) / cell)) as step from q where upto >= p * total and upto - cell < p * total)
+    select o_orderpriority, any_value(n) as n, any_value(k) as n_event, round(any_value(k / n), 6) as pct, round(max(case when p < 0.5 then sin(v0 + i * h + step) ** 2 end), 6) as low, round(max(case when p > 0.5 then sin(v0 + i * h + step) ** 2 end), 6) as high from x group by 1"""
+
+
+@query("G7_jeffreys_interval", JEFFREYS)
 def _(spark, d):
     j = ag.jeffreys_rate(table(spark, d, "orders"), "o_orderpriority", F.col("o_orderstatus") == "F")
     return j.select("o_orderpriority", "n", "n_event", *[F.round(c, 6).alias(c) for c in ("pct", "low", "high")])
