@@ -297,6 +297,25 @@ def _(spark, d):
     return rounded(one_step(c, st.StepYeoJohnson(["price", "skewed"])), "price", "skewed")
 
 
+def components_sql(cols: list[str], source: str, k: int) -> str:
+    """Standardised columns as list v in z, loadings as lists w1, w2, ... by squaring the correlation matrix until one component is left."""
+    n = len(cols)
+    cell = lambda f: "[" + ", ".join(f(i, j) for i in range(n) for j in range(n)) + "]"
+    square = cell(lambda i, j: " + ".join(f"m[{n * i + l + 1}] * m[{n * l + j + 1}]" for l in range(n)))
+    trace = lambda m: " + ".join(f"{m}[{n * i + i + 1}]" for i in range(n))
+    sql = f"""with recursive a as (select {", ".join(f"favg({c}) as m{i}" for i, c in enumerate(cols))} from {source}),
+    s as (select {", ".join(f"any_value(m{i}) as m{i}, sqrt(fsum(({c} - m{i}) ** 2) / (count(*) - 1)) as s{i}" for i, c in enumerate(cols))} from {source}, a),
+    z as (select {source}.*, [{", ".join(f"({c} - m{i}) / s{i}" for i, c in enumerate(cols))}] as v from {source}, s),
+    c1 as (select {cell(lambda i, j: f"fsum(v[{i + 1}] * v[{j + 1}]) / (count(*) - 1)")} as c from z)"""
+    for a in range(1, k + 1):
+        sql += f""",
+    p{a} as (select 0 as step, [x / ({trace("c")}) for x in c] as m from c{a} union all select step + 1, [x / list_sum([y * y for y in m]) for x in {square}] from p{a} where step < 45),
+    b{a} as (select m, list_position([m[(i - 1) * {n} + i] for i in range(1, {n + 1})], list_max([m[(i - 1) * {n} + i] for i in range(1, {n + 1})])) as top from p{a} where step = 45),
+    w{a} as (select [m[(i - 1) * {n} + top] / sqrt(m[(top - 1) * {n} + top]) for i in range(1, {n + 1})] as w{a} from b{a}),
+    c{a + 1} as (select [c[i] - list_dot_product(c, m) * m[i] for i in range(1, {n * n + 1})] as c from c{a}, b{a})"""
+    return sql
+
+
 @query("F22_pca")
 def _(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -304,6 +323,18 @@ def _(spark, d):
     return rounded(r.prep(li).juice(), "PC1", "PC2")
 
 
+@query(
+    "F22_pca_first_component",
+    components_sql(["l_quantity", "l_extendedprice", "net", "l_tax"], "li", 1).replace("with recursive ", "with recursive li as (select l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_extendedprice * (1 - l_discount) as net, l_tax from lineitem), ")
+    + " select l_orderkey, l_linenumber, round(list_dot_product(v, w1), 6) as PC1 from z, w1",
+)
+def _(spark, d):
+    """Two columns that go together set the first component well apart from the rest, as a comparison by digits needs."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"), "l_tax")
+    r = Recipe(ids=["l_orderkey", "l_linenumber"]).add(st.StepNormalize(all_numeric_predictors()), st.StepPca(all_numeric_predictors(), 1))
+    return rounded(r.prep(li).juice(), "PC1")
+
+
 @query("F22_pca_loadings")
 def _(spark, d):
     dims = [F.col("embedding")[i].cast("double").alias(f"e{i:02d}") for i in range(64)]
