@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,6 +18,8 @@ from tabkit.session import stage
 
 BANDS, ROWS = 24, 6
 PAIRS_UP_TO = 16
+CELLS = 512
+PARITY = [f"p{i}" for i in range(CELLS // 64)]
 EMPTY = U(0xFFFFFFFFFFFFFFFF)
 _jumps = mix(np.arange(1, 1025, dtype=np.uint64)[:, None] * U(0x2545F4914F6CDD1D) + mix(np.arange(BANDS * ROWS, dtype=np.uint64))[None, :])
 JUMPS = (_jumps % U(BANDS * ROWS)).astype(np.int64)
@@ -66,11 +69,29 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
         return mix(s + BAND_SALTS)
 
 
-SIGNATURE = "doc_id {id}, n_shingles long, k1 long, k2 long, bands array<long>"
+def parities(row: np.ndarray, h: np.ndarray, rows: int) -> np.ndarray:
+    """rows x CELLS / 64 numbers; bit c of a row says whether an odd number of its hashes fall into cell c."""
+    odd = np.bincount(row * CELLS + (h & U(CELLS - 1)).astype(np.int64), minlength=rows * CELLS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(rows, CELLS // 64)
+
+
+def may_link(a: str, b: str, per_cent: int) -> Column:
+    """Whether sets of sizes {a}n and {b}n with their parities can have 100 * intersection >= per_cent * union.
+
+    A cell whose parity differs holds a shingle of one set alone, so such cells
+    count no more than the shingles outside the intersection. Linked sets have
+    at most (100 - per_cent) / (100 + per_cent) of both sizes' sum outside it.
+    No pair of linked sets is turned away.
+    """
+    apart = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}"))) for p in PARITY])
+    return apart * (100 + per_cent) <= (F.col(f"{a}n") + F.col(f"{b}n")) * (100 - per_cent)
+
+
+SIGNATURE = "doc_id {id}, n_shingles long, k1 long, k2 long, bands array<long>, " + ", ".join(f"{p} long" for p in PARITY)
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, set size, 128-bit key of the set, and its band keys (null without words)."""
+    """doc_id, set size, 128-bit key of the set, its band keys (null without words) and the parities of its cells."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -86,9 +107,10 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 flat = pa.array(keys[size > 0].ravel())
                 ends = np.concatenate([[0], np.cumsum(np.where(size > 0, BANDS, 0))]).astype(np.int32)
                 bands = pa.ListArray.from_arrays(pa.array(ends), flat)
+                cells = [pa.array(c) for c in np.ascontiguousarray(parities(row, h, w.rows).T)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(w.row0, w.rows), pa.array(size.astype(np.int64)), as_long(k1), as_long(k2), bands],
-                    ["doc_id", "n_shingles", "k1", "k2", "bands"],
+                    [batch.column(0).slice(w.row0, w.rows), pa.array(size.astype(np.int64)), as_long(k1), as_long(k2), bands, *cells],
+                    ["doc_id", "n_shingles", "k1", "k2", "bands", *PARITY],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -141,8 +163,10 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
     they have met everything in it; all others stay, linked or not. Buckets
     that lie in one component are done. The number of centres grows eightfold
     a round until no bucket is open, so every two classes of a bucket are
-    compared, or in one component already, or too unlike in size: nothing is
-    capped. The first centres are the classes that meet the most others, as an
+    compared, or in one component already, or surely not linked by their sizes
+    and the parities of their hash cells (``may_link``): nothing is capped, and
+    copies of one original that do not resemble each other cost a few bit
+    counts a pair, no row. The first centres are the classes that meet the most others, as an
     original does among its edited copies, so most buckets close early.
 
     Null, empty or wordless text: n_shingles 0, its own component. Null doc_id:
@@ -152,26 +176,27 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
     base = stage_batched(signatures(docs, k))
     sets = base.where("n_shingles > 0 and doc_id is not null")
-    classes = stage(sets.groupBy("k1", "k2", "n_shingles").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").cast("long").alias("doc")))
+    classes = stage(sets.groupBy("k1", "k2", "n_shingles").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").cast("long").alias("doc"), *[F.first(p).alias(p) for p in PARITY]))
     rows = stage(classes.select("doc", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")))
     named = stage(classes.select("k1", "k2", "n_shingles", F.col("doc").alias("rep")))
     shared = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
     # a class is one row with the keys of its open buckets, so components are attached per class, not per bucket
-    held = stage(rows.join(broadcast_below(shared), "key").groupBy("doc", "n").agg(F.sum("m").alias("met"), F.collect_list("key").alias("keys")))
+    held = rows.join(broadcast_below(shared), "key").groupBy("doc", "n").agg(F.sum("m").alias("met"), F.collect_list("key").alias("keys"))
+    held = stage(held.join(classes.select("doc", *PARITY), "doc"))
     links, labels, tested = None, None, None
     few = 1
     while True:
         now = held.withColumn("comp", F.col("doc"))
         if labels is not None:
             now = held.join(broadcast_below(labels.withColumnRenamed("node", "doc")), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
-        now = now.select("doc", "n", "met", "comp", F.explode("keys").alias("key"))
+        now = now.select("doc", "n", "met", "comp", *PARITY, F.explode("keys").alias("key"))
         # buckets that still hold two components
         torn = now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("m"))
         torn = stage(torn.where("low < high").select("key", "m"))
         now = stage(now.join(broadcast_below(torn), "key"))
         if now.isEmpty():
             break
-        mate = F.struct("doc", "n", "comp")
+        mate = F.struct("doc", "n", "comp", *PARITY)
         small = now.where(F.col("m") <= PAIRS_UP_TO).select("key", mate.alias("c"))
         large = now.where(F.col("m") > PAIRS_UP_TO)
         if few == 1:
@@ -180,10 +205,10 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
         else:
             order = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("met"), "doc"))
             large = large.withColumn("r", order).where(F.col("r") <= few).select("key", mate.alias("c"))
-        top = stage(small.unionByName(large).select("key", F.col("c.doc").alias("c_doc"), F.col("c.n").alias("c_n"), F.col("c.comp").alias("c_comp")))
+        top = stage(small.unionByName(large).select("key", F.col("c.doc").alias("c_doc"), F.col("c.n").alias("c_n"), F.col("c.comp").alias("c_comp"), *[F.col(f"c.{p}").alias(f"c_{p}") for p in PARITY]))
         star = now.join(broadcast_below(top), "key").where("comp <> c_comp")
-        # sets whose sizes differ too much cannot be similar enough
-        star = star.where(F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * per_cent)
+        # sets whose sizes differ too much cannot be similar enough, nor sets with too many shingles of their own
+        star = star.where((F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * per_cent) & may_link("", "c_", per_cent))
         star = star.select(F.least("doc", "c_doc").alias("a"), F.greatest("doc", "c_doc").alias("b")).distinct()
         if tested is not None:
             star = star.join(tested, ["a", "b"], "left_anti")
@@ -195,10 +220,10 @@ def near_copies(docs: DataFrame, k: int = 5, per_cent: int = 80) -> DataFrame:
             if not new.isEmpty():
                 labels = components(links)
         met = broadcast_below(top.select("key", F.col("c_doc").alias("doc")))
-        held = stage(now.join(met, ["key", "doc"], "left_anti").groupBy("doc", "n", "met").agg(F.collect_list("key").alias("keys")))
+        held = stage(now.join(met, ["key", "doc"], "left_anti").groupBy("doc", "n", "met", *PARITY).agg(F.collect_list("key").alias("keys")))
         few *= 8
     if labels is not None:
         named = stage(named.join(broadcast_below(labels), F.col("rep") == F.col("node"), "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("rep")))
-    out = base.drop("bands").join(named, ["k1", "k2", "n_shingles"], "left")
+    out = base.drop("bands", *PARITY).join(named, ["k1", "k2", "n_shingles"], "left")
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).otherwise(F.col("doc_id")).cast(kind)
     return out.select("doc_id", "n_shingles", own.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

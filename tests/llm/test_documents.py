@@ -9,6 +9,7 @@ import struct
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tabkit.llm import licences, lines, mixing, nearcopies, packing, repeats
 from tabkit.llm.graph import components
@@ -105,6 +106,25 @@ def test_near_copies_of_one_late_original(spark):
     assert got == comp and set(comp.values()) == {0}
 
 
+def test_parities_turn_away_no_linked_pair_and_most_others(spark):
+    """Copies of one original with other words here and there: pairs under the limit must not become candidates."""
+    r = random.Random(13)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for at in r.sample(range(150), r.choice([1, 3, 9])):
+            w[at] = f"n{r.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+    sets = {i: {tuple(t.split()[j : j + 3]) for j in range(148)} for i, t in rows}
+    sig = nearcopies.signatures(docs_of(spark, rows), 3).select(F.col("doc_id").alias("i"), F.col("n_shingles").alias("n"), *nearcopies.PARITY)
+    a, b = (sig.select([F.col(c).alias(f"{s}_{c}") for c in sig.columns]) for s in "ab")
+    got = {(x["a_i"], x["b_i"]) for x in a.join(b, F.col("a_i") < F.col("b_i")).where(nearcopies.may_link("a_", "b_", 85)).collect()}
+    like = {(x, y): len(sets[x] & sets[y]) / len(sets[x] | sets[y]) for x, y in itertools.combinations(sets, 2)}
+    assert {p for p, j in like.items() if j >= 0.85} <= got
+    assert not [p for p in got if like[p] < 0.78] and min(like.values()) < 0.7
+
+
 def test_near_copies_empty_and_repeated_ids(spark):
     assert nearcopies.near_copies(docs_of(spark, [])).count() == 0
     got = sorted(map(tuple, nearcopies.near_copies(docs_of(spark, [(4, "a b c"), (4, "a b c"), (2, "a b c"), (4, "z")])).collect()))
