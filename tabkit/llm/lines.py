@@ -84,53 +84,70 @@ def _near(a: str, b: str, least: float) -> Column:
 def similar_lines(lines: DataFrame, docs: DataFrame, least: float) -> DataFrame | None:
     """(node, component) of lines that are linked: they share a block, differ in at most MOST_BITS bits and have edit similarity >= least.
 
-    One shuffle by bucket: a line meets the line before it in hash order and
-    the bucket's first. That is every pair of a bucket of up to three lines. In
-    larger buckets all lines then meet a few centres, which leave the bucket, as
-    they have met everything in it; the others stay, linked or not. Buckets that
-    lie in one component are done. The number of centres grows fourfold a round
-    until no bucket is open, so no pair of two components is left out.
+    A bucket's key has 21 bits, so lines without any likeness share more and
+    more buckets as lines grow. One shuffle by bucket therefore keeps only the
+    rows that have a partner in their bucket by length and bits; a row leaves
+    the search at its first one, and the others cost a comparison each and
+    give no row. Of the rest a line meets the line before it in hash order and
+    the bucket's first. Then rounds go over the rows that still have a partner
+    of another component in their bucket: all of them meet a few centres, which
+    leave the bucket, as they have met everything in it; the others stay,
+    linked or not. The number of centres grows eightfold a round until no row
+    has such a partner, so no pair of two components is left out.
     """
     rows = _buckets(lines)
+    mine, others = rows.alias("x"), rows.alias("y")
+    shared = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & _near("x.", "y.", least)
+    rows = stage(mine.join(others.hint("merge"), shared, "left_semi"))
+    if rows.isEmpty():
+        return None
     w = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(8), "id"), "id")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     me = F.struct("id", "s0", "s1", "size")
     mates = [F.lag(me, 1).over(w), F.nth_value(me, 1).over(before)]
-    met = rows.select("*", F.row_number().over(w).alias("r"), *[m.alias(f"m{i}") for i, m in enumerate(mates)])
-    near = [F.coalesce(_near("", f"m{i}.", least), F.lit(False)) for i in range(len(mates))]
-    met = met.where(reduce(lambda a, b: a | b, near) | (F.col("r") == 4))
-    met = stage(met.select("key", "id", "r", F.array_compact(F.array(*[F.when(n, F.col(f"m{i}.id")) for i, n in enumerate(near)])).alias("mates")))
-    pairs = met.select("id", F.explode("mates").alias("mate")).where("id <> mate")
-    pairs = stage(pairs.select(F.least("id", "mate").alias("a"), F.greatest("id", "mate").alias("b")).distinct())
+    met = rows.select("*", *[m.alias(f"m{i}") for i, m in enumerate(mates)])
+    met = met.select("id", F.explode(F.array_compact(F.array(*[F.when(_near("", f"m{i}.", least), F.col(f"m{i}.id")) for i in range(len(mates))]))).alias("mate"))
+    pairs = stage(met.where("id <> mate").select(F.least("id", "mate").alias("a"), F.greatest("id", "mate").alias("b")).distinct())
     links = stage(_verified(pairs, lines, docs, least))
     labels = None if links.isEmpty() else components(links)
-    large = stage(met.where("r = 4").select("key"))
-    rows = stage(rows.join(broadcast_below(large), "key", "left_semi"))
-    few = 4
+    # links found later join the first components, a graph far smaller than all links
+    rows = rows.withColumn("base", F.col("id"))
+    if labels is not None:
+        rows = rows.join(broadcast_below(labels.toDF("id", "component")), "id", "left").withColumn("base", F.coalesce("component", "id")).drop("component")
+    rows = stage(rows)
+    joins, moved = None, None
+    few = 8
     while True:
-        now = rows.withColumn("comp", F.col("id"))
-        if labels is not None:
-            now = rows.join(broadcast_below(labels.withColumnRenamed("node", "id")), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-        # buckets that still hold two components
+        now = rows.withColumn("comp", F.col("base"))
+        if moved is not None:
+            now = rows.join(broadcast_below(moved.toDF("base", "component")), "base", "left").withColumn("comp", F.coalesce("component", "base")).drop("component")
+        # buckets that still hold two components, and in them the rows with a partner of another one
         torn = now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
         now = stage(now.join(broadcast_below(stage(torn)), "key", "left_semi"))
+        mine, others = now.alias("x"), now.alias("y")
+        apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & _near("x.", "y.", least)
+        now = stage(mine.join(others.hint("merge"), apart, "left_semi"))
         if now.isEmpty():
             break
         top = now.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64(F.lit(few), "id"), "id"))).where(F.col("r") <= few).drop("r")
-        top = stage(top.select("key", *[F.col(c).alias(f"c_{c}") for c in ("id", "s0", "s1", "size", "comp")]))
+        top = stage(top.select("key", *[F.col(c).alias(f"c_{c}") for c in ("id", "s0", "s1", "size", "base", "comp")]))
         star = now.join(broadcast_below(top), "key").where((F.col("comp") != F.col("c_comp")) & _near("", "c_", least))
-        star = star.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        star = stage(star)
+        ends = F.struct("id", "base"), F.struct(F.col("c_id").alias("id"), F.col("c_base").alias("base"))
+        star = star.select(F.least(*ends).alias("p"), F.greatest(*ends).alias("q")).select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.col("p.base").alias("p"), F.col("q.base").alias("q"))
+        star = stage(star.distinct().join(pairs, ["a", "b"], "left_anti"))
         if not star.isEmpty():
-            pairs = pairs.unionByName(star)
-            new = stage(_verified(star, lines, docs, least))
-            links = links.unionByName(new)
+            pairs = pairs.unionByName(star.select("a", "b"))
+            new = stage(_verified(star.select("a", "b"), lines, docs, least).join(star, ["a", "b"]).select("p", "q"))
             if not new.isEmpty():
-                labels = components(links)
+                joins = new if joins is None else joins.unionByName(new)
+                moved = components(joins, "p", "q")
         met = broadcast_below(top.select("key", F.col("c_id").alias("id")))
         rows = stage(now.join(met, ["key", "id"], "left_anti").select(rows.columns))
-        few *= 4
-    return labels
+        few *= 8
+    if labels is None or moved is None:
+        return moved if labels is None else labels
+    later = labels.join(broadcast_below(moved.toDF("component", "to")), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return stage(later.unionByName(moved.join(labels.select("node"), "node", "left_anti")))
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, least: float) -> DataFrame:

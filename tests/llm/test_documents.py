@@ -458,3 +458,21 @@ def test_lines_of_one_large_bucket(spark):
     df = spark.createDataFrame(list(enumerate(all_lines)), "doc_id long, text string").repartition(3)
     got = {x["doc_id"]: x["n_removed"] for x in lines.dedup_lines(df).collect()}
     assert got == {i: int(comp[i] != i) for i in range(300)}
+
+
+def test_unlike_lines_that_share_a_block_leave_the_search_at_once(spark, monkeypatch):
+    """Chance collisions of one 21-bit block: no row of them is stored for the rounds."""
+    r = random.Random(9)
+    rows = [(i, i, 0, 100, r.getrandbits(42) << 21 | 12345, r.getrandbits(63)) for i in range(60)]
+    made = spark.createDataFrame(rows, "id long, doc long, line int, size int, s0 long, s1 long")
+    stored, stage = [], lines.stage
+
+    def counted(df):
+        out = stage(df)
+        if "key" in out.columns:
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines, "stage", counted)
+    assert lines.similar_lines(made, docs_of(spark, [(i, f"line {i}") for i in range(60)]), 0.8) is None
+    assert sum(stored) == 0
