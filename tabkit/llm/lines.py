@@ -13,56 +13,80 @@ from tabkit.llm.graph import components
 from tabkit.session import stage
 
 BLOCK_BITS, BLOCKS = 21, 6
-LANES = 1 | 1 << BLOCK_BITS | 1 << 2 * BLOCK_BITS
 MOST_BITS = 26
 LONG_WORD = 5
+LANE_BITS, WIDE_LANE_BITS = 9, 27
+AHEAD = 4
+
+
+# ASCII signs other than letters, digits, space and line break; named one by one they are looked up in a table
+SIGNS = "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum() and c not in (0x0A, 0x20))
 
 
 def normal_lines(text: str) -> Column:
     """The lines of a text in lower case, every run of ASCII signs other than letters and digits as one space, none at the ends."""
-    plain = F.regexp_replace(F.lower(text), r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+", " ")
+    # a lone space is what it would be replaced by, so it is no match
+    plain = F.regexp_replace(F.lower(text), f"[ {SIGNS}](?:[ {SIGNS}]++|(?<! ))", " ")
     return F.split(plain, "\n")
 
 
-def _sums() -> list[Column]:
-    """42 counters over a line's words. A sum holds three 21-bit lanes: how many words have bit j of blocks 0-2 or 3-5 set."""
-    return [F.sum(F.shiftrightunsigned(F.col(f"h{half}"), j).bitwiseAND(F.lit(LANES))).alias(f"c{half}_{j}") for half in range(2) for j in range(BLOCK_BITS)]
+def _ones(width: int) -> int:
+    """The lowest bit of every whole lane of ``width`` bits among 63."""
+    return sum(1 << at for at in range(0, 3 * BLOCK_BITS - width + 1, width))
+
+
+def _sums(half: int) -> list[Column]:
+    """9 counters over a line's words. Sum j holds lanes: how many words have bit j, and the bits a lane or more above it, set."""
+    return [F.sum(F.shiftrightunsigned(F.col(f"h{half}"), j).bitwiseAND(F.col("ones"))).alias(f"c{half}_{j}") for j in range(LANE_BITS)]
 
 
-def _half(half: int) -> Column:
-    """63 SimHash bits: bit j of a block is set if more than half of the words have it."""
-    bits = []
-    for block in range(3):
-        for j in range(BLOCK_BITS):
-            count = F.shiftright(F.col(f"c{half}_{j}"), block * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-            bits.append(F.when(count * 2 > F.col("n_words"), F.lit(1 << (block * BLOCK_BITS + j))).otherwise(F.lit(0).cast("long")))
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+def _majority(half: int) -> Column:
+    """The SimHash bits counted in a row: set if more than half of the words have the bit.
+
+    ``over`` has in every lane what lifts a count of more than half of the words to the lane's highest bit.
+    """
+    bits = [F.shiftleft(F.call_function("shiftrightunsigned", F.col(f"c{half}_{j}") + F.col("over"), F.col("high")).bitwiseAND(F.col("ones")), j) for j in range(LANE_BITS)]
+    return F.call_function("shiftleft", reduce(lambda a, b: a.bitwiseOR(b), bits), F.col("part"))
 
 
 def simhashes(docs: DataFrame) -> DataFrame:
     """Distinct normalised lines, told apart by 128 bits: id (64 of them), doc, line (its first place), size, s0, s1 (126 SimHash bits).
 
     A SimHash is made from the line's words of LONG_WORD letters or more, or of
-    all its words if it has none so long. One shuffle: equal lines meet by
-    their hash, partly joined before it; the words of the survivors are counted
-    where they are.
+    all its words if it has none so long. Words are counted where the line is
+    read, so no text is shuffled. Counts of up to 511 words need 9 bits, and one
+    row holds all counters of a line; the words of a longer line are counted in
+    four rows with counters of 27 bits, for a part of the SimHash bits each.
+    Equal lines have equal bits, so they, and the parts of a line, become one by
+    a bitwise or.
     """
-    cut = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("doc"), F.posexplode(normal_lines("text")).alias("line", "raw"))
-    cut = cut.select("doc", "line", F.trim("raw").alias("norm")).where("norm <> ''")
-    cut = cut.select(F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"), F.struct("doc", "line").alias("at"), "norm")
-    one = cut.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("norm").alias("norm"))
+    # rows that repeat a doc_id are counted apart
+    cut = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("doc"), F.monotonically_increasing_id().alias("row"), F.posexplode(normal_lines("text")).alias("line", "raw"))
+    cut = cut.select("doc", "row", "line", F.trim("raw").alias("norm")).where("norm <> ''")
     # what holds for the whole line is computed before its words are many rows
-    one = one.select("k1", "k2", F.col("at.doc").alias("doc"), F.col("at.line").alias("line"), F.length("norm").alias("size"), F.col("norm").rlike(f"[^ ]{{{LONG_WORD}}}").alias("has_long"), "norm")
-    words = one.select("k1", "k2", "doc", "line", "size", "has_long", F.explode(F.split("norm", " ")).alias("word"))
+    one = cut.select(F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), "norm").alias("k2"), "doc", "row", "line", F.length("norm").alias("size"), F.col("norm").rlike(f"[^ ]{{{LONG_WORD}}}").alias("has_long"), "norm")
+    most_words = F.floor((F.col("size") + 1) / F.when(F.col("has_long"), LONG_WORD + 1).otherwise(2))
+    one = one.withColumn("wide", most_words >= 1 << LANE_BITS)
+    # lanes of a wide row start at bits 0 and 27 of the hash, 9 and 36, 18 and 45, or 54
+    parts = F.when(F.col("wide"), F.array(*[F.lit(at) for at in (0, 9, 18, 54)])).otherwise(F.array(F.lit(0)))
+    of_part = ["k1", "k2", "doc", "row", "line", "size", "wide", "part"]
+    one = one.select(*of_part[:-1], "has_long", "norm", F.explode(parts).alias("part"))
+    words = one.select(*of_part, "has_long", F.explode(F.split("norm", " ")).alias("word"))
     # common words are short: without them, unlike lines of one language get unlike hashes
     words = words.where((F.length("word") >= LONG_WORD) | ~F.col("has_long"))
-    words = words.select("k1", "k2", "doc", "line", "size", *[F.xxhash64(F.lit(half), F.col("word")).alias(f"h{half}") for half in range(2)])
-    sums = words.groupBy("k1", "k2", "doc", "line", "size").agg(F.count(F.lit(1)).alias("n_words"), *_sums())
-    return stage(sums.select(F.col("k1").alias("id"), "doc", "line", "size", _half(0).alias("s0"), _half(1).alias("s1")))
+    hashes = [F.call_function("shiftrightunsigned", F.xxhash64(F.lit(half), F.col("word")), F.col("part")).alias(f"h{half}") for half in range(2)]
+    ones = F.when(F.col("wide"), _ones(WIDE_LANE_BITS)).otherwise(_ones(LANE_BITS)).alias("ones")
+    sums = words.select(*of_part, ones, *hashes).groupBy(*of_part).agg(F.count(F.lit(1)).alias("n_words"), *_sums(0), *_sums(1))
+    high = F.when(F.col("wide"), WIDE_LANE_BITS - 1).otherwise(LANE_BITS - 1)
+    over = (F.when(F.col("wide"), (1 << WIDE_LANE_BITS - 1) - 1).otherwise((1 << LANE_BITS - 1) - 1) - F.expr("n_words div 2")) * ones
+    bits = sums.withColumns({"ones": ones, "high": high, "over": over})
+    bits = bits.select("k1", "k2", F.struct("doc", "line").alias("at"), "size", _majority(0).alias("s0"), _majority(1).alias("s1"))
+    one = bits.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.min("size").alias("size"), F.bit_or("s0").alias("s0"), F.bit_or("s1").alias("s1"))
+    return stage(one.select(F.col("k1").alias("id"), F.col("at.doc").alias("doc"), F.col("at.line").alias("line"), "size", "s0", "s1"))
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
-    """(key, id, s0, s1, size) of every block of every line; the key holds block number, block value and length class.
+    """(id, s0, s1, size, key) of every block of every line; the key holds block number, block value and length class.
 
     Classes are powers of four; a line that a line up to a quarter longer would
     find in the next class goes there too, so no pair of similar length parts.
@@ -72,7 +96,8 @@ def _buckets(lines: DataFrame) -> DataFrame:
     reach = ((F.length(F.bin(F.ceil(F.col("size") * 1.25))) - 1) / 2).cast("int")
     placed = lines.select("id", "s0", "s1", "size", *[v.alias(f"b{i}") for i, v in enumerate(values)], F.explode(F.array_distinct(F.array(kind, reach))).alias("kind"))
     keys = F.array(*[F.col(f"b{i}") + F.lit(i << 24) + F.shiftleft(F.col("kind").cast("long"), 40) for i in range(BLOCKS)])
-    return placed.select(F.explode(keys).alias("key"), "id", "s0", "s1", "size")
+    # in this order both sides of a join of the rows with themselves are one shuffle
+    return placed.select("id", "s0", "s1", "size", F.explode(keys).alias("key"))
 
 
 def _near(a: str, b: str, least: float) -> Column:
@@ -165,28 +190,57 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, least: float)
     text = text.select("id", F.trim(F.element_at(normal_lines("raw"), 1)).alias("norm"))
     text = text.groupBy("id").agg(F.first("norm").alias("norm"))
     both = pairs.join(text.toDF("a", "a_norm"), "a").join(text.toDF("b", "b_norm"), "b")
-    longer = F.greatest(F.length("a_norm"), F.length("b_norm"))
-    both = both.withColumn("most", F.floor((1 - least) * longer + 1e-9).cast("int"))
-    both = both.withColumn("x", F.split("a_norm", " ")).withColumn("y", F.split("b_norm", " "))
-    return both.where(_within()).select("a", "b")
+    return both.where(_within("a_norm", "b_norm", least)).select("a", "b")
+
+
+def _by_words(x: Column, y: Column, most: Column) -> Column:
+    """Whether one way of turning words x into words y takes at most ``most`` edits; the edit distance of the lines is no more.
+
+    Word by word: equal words are kept; if the word stands a little later in y,
+    the words before it are put in; if y's word stands a little later in x, this
+    one is left out; else one word is changed into the other.
+    """
+    whole = lambda words: F.aggregate(words, F.lit(0), lambda n, w: n + F.length(w) + 1)
+
+    def step(s: Column, i: Column) -> Column:
+        word, there = F.get(x, i), F.get(y, s["j"])
+        state = lambda j, cost: F.struct(j.alias("j"), cost.alias("cost"))
+        later = F.array_position(F.slice(y, s["j"] + 2, F.lit(AHEAD)), word).cast("int")
+        gone = F.array_position(F.slice(x, i + 2, F.lit(AHEAD)), there) > 0
+        put_in = state(s["j"] + later + 1, s["cost"] + whole(F.slice(y, s["j"] + 1, later)))
+        left_out = state(s["j"], s["cost"] + F.length(word) + 1)
+        changed = state(s["j"] + 1, s["cost"] + F.levenshtein(word, there))
+        return F.when(word == there, state(s["j"] + 1, s["cost"])).when(s["cost"] > most, s).when(later > 0, put_in).when(there.isNull() | gone, left_out).otherwise(changed)
+
+    start = F.struct(F.lit(0).alias("j"), F.lit(0).alias("cost"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(x) - 1), start, step, lambda s: s["cost"] + whole(F.slice(y, s["j"] + 1, F.size(y))) <= most)
 
 
-def _within() -> Column:
-    """Whether the edit distance of the lines with words x and y is at most ``most``.
+def _within(a: str, b: str, least: float) -> Column:
+    """Whether the edit distance of lines a and b is at most 1 - least of the longer one's length.
 
-    Word by word in place, the distances add up to no less than that of the
-    lines; if that is little enough the answer is yes. Else equal words at both
-    ends, which change nothing, are cut off and the distance of the rest is taken.
+    If one way word by word takes little enough the answer is yes, in a time that
+    grows with the line and not with its square. Else equal words at both ends,
+    which change nothing, are cut off and the distance of the rest is taken.
     """
-    in_place = F.aggregate(F.zip_with("x", "y", lambda u, v: F.when(u == v, 0).otherwise(F.levenshtein(u, v))), F.lit(0), lambda s, d: s + d)
-    sure = F.when(F.size("x") == F.size("y"), in_place <= F.col("most")).otherwise(F.lit(False))
-    ahead = F.expr("array_position(zip_with(x, y, (u, v) -> u <=> v), false) - 1")
-    # x <> y, so there is a first difference; the longer line's surplus counts as one
-    behind = F.expr("array_position(zip_with(reverse(x), reverse(y), (u, v) -> u <=> v), false) - 1")
-    head = F.greatest(ahead, F.lit(0)).cast("int")
-    tail = F.least(F.greatest(behind, F.lit(0)), F.least(F.size("x"), F.size("y")) - head).cast("int")
-    middle = lambda c: F.array_join(F.transform(F.slice(F.col(c), head + 1, F.size(c) - head - tail), lambda w: F.concat(w, F.lit(" "))), "")
-    return sure | (F.call_function("levenshtein", middle("x"), middle("y"), F.col("most")) >= 0)
+    most = F.floor((1 - least) * F.greatest(F.length(a), F.length(b)) + 1e-9).cast("int")
+    # as fields of a lambda's variable the words are split once, not wherever they are named
+    pair = F.struct(F.split(a, " ").alias("x"), F.split(b, " ").alias("y"), most.alias("most"))
+    return F.exists(F.array(pair), lambda t: _by_words(t["x"], t["y"], t["most"]) | _between_ends(t["x"], t["y"], t["most"]))
+
+
+def _between_ends(x: Column, y: Column, most: Column) -> Column:
+    """Whether the edit distance of the lines with words x and y, without equal words at their ends, is at most ``most``."""
+    # the longer line's surplus counts as a difference; equal lines have none
+    same = lambda u, v: F.array_position(F.zip_with(u, v, lambda p, q: p.eqNullSafe(q)), False) - 1
+    head = F.greatest(same(x, y), F.lit(0)).cast("int")
+    tail = F.least(F.greatest(same(F.reverse(x), F.reverse(y)), F.lit(0)), F.least(F.size(x), F.size(y)) - head).cast("int")
+
+    def distance(ends: Column) -> Column:
+        middle = lambda c: F.array_join(F.transform(F.slice(c, ends["head"] + 1, F.size(c) - ends["head"] - ends["tail"]), lambda w: F.concat(w, F.lit(" "))), "")
+        return F.call_function("levenshtein", middle(x), middle(y), most) >= 0
+
+    return F.exists(F.array(F.struct(head.alias("head"), tail.alias("tail"))), distance)
 
 
 BLANK = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -225,7 +279,7 @@ def dedup_lines(docs: DataFrame, least: float = 0.8) -> DataFrame:
     a doc_id keep the same line numbers, those kept for any of them. Only
     documents that lose a line are rebuilt; no text is shuffled for it while
     their line numbers are small enough to broadcast (their size is checked). A line of
-    over 2**21 words may get a blurred SimHash, no more. Other columns pass
+    over 2**27 words may get a blurred SimHash, no more. Other columns pass
     through; n_lines and n_removed replace columns of that name.
     """
     base = docs.withColumn("text", F.col("text").cast("string"))

@@ -476,3 +476,54 @@ def test_unlike_lines_that_share_a_block_leave_the_search_at_once(spark, monkeyp
     monkeypatch.setattr(lines, "stage", counted)
     assert lines.similar_lines(made, docs_of(spark, [(i, f"line {i}") for i in range(60)]), 0.8) is None
     assert sum(stored) == 0
+
+
+def test_simhashes_of_short_and_long_lines(spark):
+    """Majorities of lines with up to 3,000 words, with or without long words, and of rows that repeat an id, against plain counting."""
+    r = random.Random(12)
+    word = lambda low, high: "".join(r.choice("abcdefghijklm") for _ in range(r.randint(low, high)))
+    texts = [" ".join(word(1, 4) if short else word(3, 8) for _ in range(n)) for n in (1, 2, 7, 126, 129, 509, 511, 512, 513, 600, 3000) for short in (True, False)]
+    texts += [" ".join(["alone"] * n) for n in (511, 512, 1025)]
+    rows = [(i, f"{t}\n{t.upper()}!") for i, t in enumerate(texts)] + [(3, texts[3])] * 600 + [(900, texts[5]), (5, "...\n\n"), (None, "none"), (901, None)]
+    got = lines.simhashes(docs_of(spark, rows).repartition(3)).collect()
+    want = {(i, 0): (len(t), *(simhash_blocks(t)[k] for k in range(lines.BLOCKS))) for i, t in enumerate(texts)}
+    bits = lambda s: [s >> b * lines.BLOCK_BITS & (1 << lines.BLOCK_BITS) - 1 for b in range(3)]
+    assert len(got) == len(want)
+    assert {(x["doc"], x["line"]): (x["size"], *bits(x["s0"]), *bits(x["s1"])) for x in got} == want
+
+
+def test_simhashes_shuffle_no_text(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(lines, "stage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    lines.simhashes(docs_of(spark, [(1, "one line\nanother line")]))
+    assert "Exchange" in plans[0]
+    assert not [x for x in plans[0].splitlines() if "Aggregate" in x and "norm" in x]
+
+
+def test_edit_similarity_of_lines_with_changed_words(spark):
+    """Words changed, put in, left out and swapped: the answer is that of the plain edit distance, and words are split once a line."""
+    r = random.Random(13)
+    word = lambda: "".join(r.choice("abcdeäß") for _ in range(r.randint(1, 9)))
+    pairs = []
+    for _ in range(400):
+        x = [word() for _ in range(r.randint(1, 30))]
+        y = list(x)
+        for _ in range(r.randint(1, 6)):
+            at = r.randrange(len(y) + 1)
+            how = r.randrange(4)
+            if how == 0:
+                y[at : at + 1] = [word()]
+            elif how == 1:
+                y[at:at] = [word() for _ in range(r.randint(1, 3))]
+            elif how == 2 and len(y) > 2:
+                del y[at : at + 2]
+            elif 0 < at < len(y):
+                y[at - 1], y[at] = y[at], y[at - 1]
+        if y and x != y:
+            pairs.append((" ".join(x), " ".join(y)))
+    want = [distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9 for a, b in pairs]
+    assert 50 < sum(want) < len(want) - 50
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i long, a string, b string")
+    near = lines._within("a", "b", 0.8)
+    assert [x["near"] for x in df.select("i", near.alias("near")).orderBy("i").collect()] == want
+    assert df.where(near)._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
