@@ -1,6 +1,7 @@
 """Properties of splits, models, tuning, explanation and matching."""
 
 import math
+import os
 import random
 
 import numpy as np
@@ -12,6 +13,7 @@ from tabkit.modelling import ensemble, explain, metrics as m, models, neighbours
 from tabkit.operators import geo, matching, series
 from tabkit.plans import adversarial, places
 from tabkit.sources import tables as io
+from tabkit.session import scratch_dir, stage
 
 
 @pytest.fixture(scope="module")
@@ -86,6 +88,47 @@ def test_knn_equals_brute_force_with_a_crowded_cell(spark):
             assert [got[i][k] for k in (1, 2, 3, 4)] == want
 
 
+@pytest.mark.parametrize("dim,metric", [(2, "l2"), (12, "l2"), (3, "l1")])
+def test_knn_part_by_part_equals_brute_force(spark, monkeypatch, dim, metric):
+    """References in many parts, a crowded cell, ties, far-off values, missing components of queries, ids as text."""
+    monkeypatch.setattr(neighbours, "PART_BYTES", 8 * (dim + 2) * 30)
+    rng = np.random.default_rng(dim)
+    refs = np.vstack([rng.normal(1000, 0.01, (80, dim)), rng.normal(1000, 3, (70, dim)), rng.integers(0, 3, (50, dim))]).round(3)
+    qs = np.vstack([refs[::4], rng.normal(1000, 2, (30, dim))])
+    qs[::11, 0] = np.nan
+    name = [f"r{(i * 7) % 200:03}" for i in range(200)]
+    rs = spark.createDataFrame([(n, v.tolist()) for n, v in zip(name, refs)], "name string, v array<double>")
+    df = spark.createDataFrame([(i, [None if np.isnan(x) else float(x) for x in v]) for i, v in enumerate(qs)], "id int, v array<double>")
+    got = {}
+    for r in neighbours.knn(df, rs, 6, "id", "name", "v", "v", metric=metric, pivots=9, tile=20).collect():
+        got.setdefault(r["q_id"], {})[r["rk"]] = (r["r_id"], r["d"])
+    d = neighbours.distances(qs, refs, metric).round(9)
+    for i in range(len(qs)):
+        want = sorted(range(200), key=lambda j: (d[i, j], name[j]))[:6]
+        assert [got[i][k + 1] for k in range(6)] == [(name[j], d[i, j]) for j in want]
+
+
+def test_knn_of_repeated_and_missing_ids(spark):
+    df = spark.createDataFrame([(1, [0.0, 1.0]), (1, [0.0, 1.0]), (2, [5.0, 5.0]), (None, [0.0, 2.0])], "id long, v array<float>")
+    got = [tuple(r) for r in neighbours.knn(df, df, 3, "id", "id", "v", "v").collect()]
+    assert sorted(r for r in got if r[0] == 1) == [(1, 1, 0.0, 1), (1, 1, 0.0, 2), (1, 1, 0.0, 3)]
+    assert sorted((r for r in got if r[0] is None), key=lambda r: r[3]) == [(None, None, 0.0, 1), (None, 1, 1.0, 2), (None, 1, 1.0, 3)]
+    assert neighbours.knn(df.limit(0), df, 3, "id", "id", "v", "v").collect() == []
+    assert neighbours.knn(df, df, 9, "id", "id", "v", "v").count() == 8 + 4 + 4
+
+
+def test_knn_stores_no_query_for_every_cell_it_visits(spark):
+    x = np.random.default_rng(2).normal(size=(2000, 64))
+    df = stage(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>"))
+
+    def stored():
+        return sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(scratch_dir(spark)) for f in names if f.endswith(".parquet"))
+
+    before = stored()
+    assert neighbours.knn(df, df, 3, "id", "id", "v", "v", pivots=40, tile=100).count() == 6000
+    assert stored() - before < 4 * x.nbytes
+
+
 def test_fuzzy_join_equals_all_pairs(spark):
     random.seed(4)
     word = lambda: "".join(random.choice("abcdeo") for _ in range(random.randint(1, 7)))
