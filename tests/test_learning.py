@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabkit.functions import text_distance as td, udf
+from tabkit.functions import scalars, text_distance as td, udf
 from tabkit.modelling import ensemble, explain, metrics as m, models, neighbours, resample as rs, tune
 from tabkit.operators import geo, matching, series
 from tabkit.plans import adversarial, places
@@ -221,6 +221,30 @@ def test_geometry(spark):
     assert (c["cx"], c["cy"]) == (1.0, 1.0)
 
 
+def test_near_pairs_in_crowded_cells(spark, monkeypatch):
+    """All pairs, whatever the cells hold, and the pairs of one cell come from many tasks."""
+    monkeypatch.setattr(geo, "PAIRS", 500)
+    rng = np.random.default_rng(7)
+    pts = {n: np.vstack([rng.normal(0, 0.6, (k, 2)), rng.normal(0, 40, (60, 2)), [[1e6, 1e6]]]).round(2) for n, k in (("a", 250), ("b", 220))}
+    a, b = (spark.createDataFrame([(i // 2, float(x), float(y)) for i, (x, y) in enumerate(p)] + [(9999, None, 1.0)], f"{n} long, x double, y double") for n, p in pts.items())
+    for scale in (1.0, 0.5):
+        out = geo.near_pairs(a, b, 1.5, "a", "b", scale=scale)
+        got = sorted((r["a"], r["b"], round(r["d"], 9)) for r in out.collect())
+        d = np.sqrt(((pts["a"][:, None] - pts["b"][None]) ** 2).sum(axis=2)) * scale
+        assert got == sorted((int(i) // 2, int(j) // 2, round(float(d[i, j]), 9)) for i, j in np.argwhere(d < 1.5))
+    one = spark.range(300).select("id", (F.col("id") / 1000).alias("x"), F.lit(0.5).alias("y"))
+    out = geo.near_pairs(one, one.withColumnRenamed("id", "other"), 1.0, "id", "other")
+    assert out.count() == 300 * 300
+    assert out.select(F.spark_partition_id().alias("task")).distinct().count() > 2
+
+
+def test_fast_rounding_equals_round(spark):
+    rng = np.random.default_rng(4)
+    v = [0.0, 0.1234565, 2.5e-7, 5e-7, 1.0000005, 12.3456785, 1e15 + 0.3, -1.2345675, -3e-7, float("nan"), float("inf"), None, *rng.random(2000).tolist(), *(rng.integers(0, 10**8, 2000) / 2e6 / 10).tolist()]
+    df = spark.createDataFrame([(x,) for x in v], "d double")
+    assert df.where(~scalars.round_fast("d", 6).eqNullSafe(F.round("d", 6))).count() == 0
+
+
 def test_match_places(spark):
     g = spark.createDataFrame([(1, "Chez Anna", 0.0, 0.0), (2, "La Tour", 5.0, 5.0), (3, "Nowhere", 50.0, 50.0)], "gid int, name string, x double, y double")
     y = spark.createDataFrame([(10, "Anna", 0.001, 0.0), (11, "La Toure", 9.0, 9.0), (12, "Xyz", 20.0, 20.0)], "sid int, name string, x double, y double")
