@@ -183,6 +183,28 @@ def test_shapley_adds_up(spark, signal):
     assert sorted(r["x"] for r in lin.collect()) == [-4.0, 4.0]
 
 
+def test_shapley_in_slices_drops_its_shuffles(spark, signal, monkeypatch):
+    """The same values whatever the slices hold, and no shuffle file is left behind."""
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {str(found.apply(i).getName()) for i in range(found.size())}
+
+    def run():
+        rows = explain.shapley(lambda d: d.withColumn("pred", F.col("x") * F.col("z")), twice, twice, ["x", "z"], "id", nsim=3)
+        return sorted((r["id"], round(r["x"], 9), round(r["z"], 9), round(r["baseline"], 9)) for r in rows.collect())
+
+    twice = stage(signal.select(F.when(F.col("id") > 5, F.col("id")).alias("id"), "x", "z").where("id > 9").unionByName(signal.select("id", "x", "z").limit(20)).repartition(5))
+    whole = run()
+    assert len(whole) == twice.count()
+    monkeypatch.setattr(explain, "SLICE_DRAWS", 210)
+    before = files()
+    assert run() == whole
+    assert not {f for f in files() - before if f.startswith("shuffle_")}
+    none = twice.where("id < 0")
+    assert explain.shapley(lambda d: d.withColumn("pred", F.col("x")), none, twice, ["x"], "id").count() == 0
+
+
 def test_permutation_keeps_the_values(spark, signal):
     p = explain.permute(signal, "x", "id")
     assert p.select("x").exceptAll(signal.select("x")).isEmpty()
